@@ -224,6 +224,9 @@ def make_model(model_type: str, params: dict | None = None, features_col: str =
     if model_type == "RandomForestRegressor":
         kw.setdefault("featureSubsetStrategy", "all")
         kw.setdefault("maxBins", 128)
+        # deep forests: more node statistics per pass, node ids cached per row
+        kw.setdefault("maxMemoryInMB", 512)
+        kw.setdefault("cacheNodeIds", True)
         est = RandomForestRegressor(featuresCol=features_col, labelCol=label, **kw)
         if use_w:
             est.setWeightCol(use_w)
@@ -243,7 +246,10 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS):
 
     Returns ({name: fitted model}, report DataFrame(dataset, model, status, error)).
     """
-    data = prepare_training(train, u).select("features", "label", "w").cache()
+    # spread the (usually few) input splits over every core: tree induction
+    # runs one aggregation pass per level, each as wide as the data partitions
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions())
+    data = prepare_training(train, u).select("features", "label", "w").repartition(parts).cache()
     fitted, report = {}, []
     try:
         for name, mtype, params in models:
@@ -303,8 +309,10 @@ def evaluate_all(fitted: dict, test: DataFrame, u: UseCase) -> DataFrame:
         for name, model in fitted.items():
             try:
                 rows.append(evaluate(model, test, u, name).first())
-            except Exception:  # skipped, like the reference
-                continue
+            except Exception as e:  # skipped (and reported), like the reference
+                import sys
+
+                print(f"evaluation of {u.name}/{name} failed: {e}", file=sys.stderr)
     finally:
         test.unpersist()
     spark = test.sparkSession

@@ -82,8 +82,20 @@ def raw_score(df: DataFrame, u: UseCase, model, out: str = SCORE) -> DataFrame:
     from tidemark.operators.ml import assemble
 
     cols = df.columns
-    scored = model.transform(assemble(df, u, out="_features"))
-    return scored.select(*cols, F.col("prediction").alias(out))
+    fcol = _features_col(model)
+    pred = model.getPredictionCol() if hasattr(model, "getPredictionCol") else "prediction"
+    scored = model.transform(assemble(df.drop(fcol), u, out=fcol))
+    return scored.select(*cols, F.col(pred).alias(out))
+
+
+def _features_col(model) -> str:
+    from pyspark.ml import PipelineModel
+
+    first = model.stages[0] if isinstance(model, PipelineModel) else model
+    for getter in ("getFeaturesCol", "getInputCol"):
+        if hasattr(first, getter):
+            return getattr(first, getter)()
+    return "features"
 
 
 def score(df: DataFrame, u: UseCase, model, score_col: str = "predicted_qoe", class_col: str = "qoe_class") -> DataFrame:
