@@ -15,11 +15,10 @@ def spark():
     from tidemark.session import local_session
 
     s = local_session(cores="*", shuffle_partitions=8)
-    # tests set their own shared folder only because none is configured
-    if not s.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="tidemark-test-")
-        s.conf.set("spark.checkpoint.dir", root)
-        s.sparkContext.setCheckpointDir(root)
+    from tidemark.session import checkpoint_root
+
+    # the configured shared folder, or (only when none is set) a local one
+    checkpoint_root(s)
     yield s
 
 

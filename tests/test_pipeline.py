@@ -69,12 +69,13 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
 def test_stream_equals_batch_and_restarts(spark, tmp_dir):
     u = CLOUD_GAMING
     kpi = kpi_view(spark, SF_SMALL, u, dirty=True)
-    topic = stage_topic(kpi, u, f"{tmp_dir}/topic", files=3)
-    assert len(glob.glob(f"{local_dir(topic)}/*.parquet")) == 3
+    topic, per = stage_topic(kpi, u, f"{tmp_dir}/topic", files=3)
+    # k parallel files per segment, one segment per micro-batch
+    assert len(glob.glob(f"{local_dir(topic)}/*.parquet")) == 3 * per
     args = (u, fixed_scorer(u), f"{tmp_dir}/raw", f"{tmp_dir}/pred", f"{tmp_dir}/ck")
-    run_available(build_pipeline(kpi_stream(spark, "parquet", topic), *args, trigger={"availableNow": True}))
+    run_available(build_pipeline(kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), *args, trigger={"availableNow": True}))
     # restart from the checkpoint: nothing is processed twice
-    run_available(build_pipeline(kpi_stream(spark, "parquet", topic), *args, trigger={"availableNow": True}))
+    run_available(build_pipeline(kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), *args, trigger={"availableNow": True}))
     raw = read_predictions(spark, f"{tmp_dir}/raw")
     pred = read_predictions(spark, f"{tmp_dir}/pred")
     assert raw.count() == kpi.count()

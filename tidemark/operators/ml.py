@@ -191,7 +191,25 @@ _PARAM_MAP = {
 WEIGHTED = {"LinearRegression", "ElasticNet", "RandomForestRegressor"}
 
 
-def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w"):
+def node_stats_budget_mb(spark: SparkSession | None = None) -> int:
+    """Memory for per-pass tree-node histograms: a quarter of the executor
+    memory the session is configured with (driver memory in local mode),
+    bounded to [256, 4096] MB. More memory = more nodes split per data pass."""
+    text = None
+    if spark is not None:
+        text = spark.conf.get("spark.executor.memory", None) or spark.conf.get("spark.driver.memory", None)
+    mb = 1024
+    if text:
+        m = text.strip().lower()
+        units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+        num = "".join(ch for ch in m if ch.isdigit() or ch == ".")
+        unit = next((units[ch] for ch in m if ch in units), 1 / (1024 * 1024))
+        if num:
+            mb = float(num) * unit
+    return int(min(4096, max(256, mb / 4)))
+
+
+def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w", spark: SparkSession | None = None):
     """estimator for a model type; unknown type or parameter -> ValueError.
 
     Linear models get a population-std scaler stage (like the reference's
@@ -225,7 +243,7 @@ def make_model(model_type: str, params: dict | None = None, features_col: str =
         kw.setdefault("featureSubsetStrategy", "all")
         kw.setdefault("maxBins", 128)
         # deep forests: more node statistics per pass, node ids cached per row
-        kw.setdefault("maxMemoryInMB", 512)
+        kw.setdefault("maxMemoryInMB", node_stats_budget_mb(spark))
         kw.setdefault("cacheNodeIds", True)
         est = RandomForestRegressor(featuresCol=features_col, labelCol=label, **kw)
         if use_w:
@@ -254,7 +272,7 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS):
     try:
         for name, mtype, params in models:
             try:
-                est = make_model(mtype, params)
+                est = make_model(mtype, params, spark=train.sparkSession)
                 fitted[name] = est.fit(data)
                 report.append((u.name, name, "ok", None))
             except Exception as e:  # reported per model, like the reference

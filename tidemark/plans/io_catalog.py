@@ -106,8 +106,8 @@ def _avro_oracle(u: UseCase) -> str:
 
 def _run_pipeline(spark, sf_dir, u: UseCase, dirty: bool):
     root = work_path(spark, f"pipeline_{u.name}")
-    topic = stage_topic(kpi_view(spark, sf_dir, u, dirty=dirty), u, f"{root}/topic", files=4, sid=SID)
-    msgs = kpi_stream(spark, "parquet", topic)
+    topic, per = stage_topic(kpi_view(spark, sf_dir, u, dirty=dirty), u, f"{root}/topic", files=4, sid=SID)
+    msgs = kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per)
     q = build_pipeline(msgs, u, fixed_scorer(u), f"{root}/raw", f"{root}/predictions", f"{root}/_checkpoint", AVAILABLE)
     run_available(q)
     return root
@@ -145,8 +145,8 @@ def stream_class_counts(spark, sf_dir):
     is the cumulative count."""
     u = CLOUD_GAMING
     root = work_path(spark, "stream_counts")
-    topic = stage_topic(kpi_view(spark, sf_dir, u), u, f"{root}/topic", files=4, sid=SID)
-    scored = score(decode_messages(kpi_stream(spark, "parquet", topic), u), u, fixed_scorer(u))
+    topic, per = stage_topic(kpi_view(spark, sf_dir, u), u, f"{root}/topic", files=4, sid=SID)
+    scored = score(decode_messages(kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), u), u, fixed_scorer(u))
     counts = ST.running_class_counts(scored)
     q = (
         counts.writeStream.outputMode("update")
@@ -163,8 +163,8 @@ def stream_trailing(spark, sf_dir):
     """30 s windows sliding every 10 s with a watermark (update mode)."""
     u = VIDEO_STREAMING
     root = work_path(spark, "stream_trailing")
-    topic = stage_topic(kpi_view(spark, sf_dir, u), u, f"{root}/topic", files=4, sid=SID)
-    rec = decode_messages(kpi_stream(spark, "parquet", topic), u)
+    topic, per = stage_topic(kpi_view(spark, sf_dir, u), u, f"{root}/topic", files=4, sid=SID)
+    rec = decode_messages(kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), u)
     win = ST.trailing_window_counts(rec, width=u.window_seconds, slide=10)
     q = (
         win.writeStream.outputMode("update")
@@ -183,8 +183,8 @@ def stream_alerts(spark, sf_dir):
     u = CLOUD_GAMING
     root = work_path(spark, "stream_alerts")
     pts = alert_series(spark, sf_dir)
-    write_ordered(pts, f"{root}/points", "sec", files=4)
-    src = spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/points")
+    per = write_ordered(pts, f"{root}/points", "sec", files=4)
+    src = spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", per).parquet(f"{root}/points")
     states = ST.stream_alerts(src, u.alert_low, u.alert_high, u.alert_hold_seconds, origin=SERIES_ORIGIN)
     q = (
         states.writeStream.outputMode("append")

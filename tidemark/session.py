@@ -20,6 +20,7 @@ _CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -41,23 +42,63 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings every job relies on (UTC, AQE); safe on a shared session."""
+    """Runtime settings every job relies on (UTC, AQE); safe on a shared session.
+
+    Also ships this package to the executors (once per application), so the
+    Arrow codecs and state functions import on workers wherever the driver
+    was started from.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of the package (what ``--py-files`` does at submit)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    fd, zpath = tempfile.mkstemp(prefix="tidemark-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset.
+
+    ``spark.checkpoint.dir`` is a static setting: a session without it (local
+    tests) gets a fresh folder through ``setCheckpointDir`` instead.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOT:
+        _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_ROOT[app])
+    return _LOCAL_ROOT[app]
 
 
 def work_path(spark: SparkSession, name: str) -> str:

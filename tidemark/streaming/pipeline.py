@@ -65,10 +65,11 @@ def build_pipeline(messages: DataFrame, u: UseCase, model, raw_path: str, pred_p
     return w.start()
 
 
-def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int = 1) -> str:
+def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int = 1) -> tuple[str, int]:
     """Write KPI records as a Kafka-shaped topic (framed Avro values, offsets
-    in id order) split into ``files`` Parquet files for a file-source replay.
-    ``kpi`` needs ``id`` (becomes the offset) and ``ingestion_timestamp``.
+    in id order) in ``files`` consecutive offset ranges for a file-source
+    replay. ``kpi`` needs ``id`` (becomes the offset) and
+    ``ingestion_timestamp``. Returns (path, files per trigger).
     """
     msgs = encode_avro(kpi.select("id", "ingestion_timestamp", *u.features), u, sid, keep=["id", "ingestion_timestamp"])
     out = msgs.select(
@@ -79,31 +80,45 @@ def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int
         F.col("id").cast("bigint").alias("offset"),
         F.col("ingestion_timestamp").cast("timestamp").alias("timestamp"),
     )
-    write_ordered(out, path, "offset", files)
-    return path
+    return path, write_ordered(out, path, "offset", files)
 
 
-def write_ordered(df: DataFrame, path: str, order: str, files: int = 4) -> str:
-    """Write ``df`` as ``files`` Parquet files holding consecutive ranges of
-    ``order``, created one after another: a file source lists files by
-    modification time, so a replay reads the ranges in order (as a consumer
-    reads one partition of a topic). Range bounds come from one small
-    aggregate; the input is cached for the sequential writes.
+def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: int | None = None) -> int:
+    """Write ``df`` as ``files`` segments holding consecutive ranges of
+    ``order``, written one after another: a file source lists files by
+    modification time, so a replay reads the segments in order (as a consumer
+    reads one partition of a topic).
+
+    Each segment is written by ``k`` parallel tasks (round-robin, so exactly
+    ``k`` files, each sorted on ``order``); a reader taking ``k`` files per
+    trigger sees one segment per micro-batch. ``k`` defaults to the shuffle
+    partitions spread over the segments and never exceeds the rows of the
+    smallest segment. Returns ``k``. Range bounds and segment sizes come from
+    one small aggregate; the input is cached for the sequential writes.
     """
     df = df.persist()
     try:
         b = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
         if b["lo"] is None:
             df.limit(0).write.mode("overwrite").parquet(path)
-            return path
+            return 1
         lo, hi = int(b["lo"]), int(b["hi"])
         step = (hi - lo) // files + 1
+        seg = F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")
+        sizes = {r["s"]: r["n"] for r in df.groupBy(seg.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if tasks is None:
+            tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // files)
+        k = max(1, min([tasks, *sizes.values()]))
+        first = True
         for i in range(files):
+            if not sizes.get(i):
+                continue
             part = df.filter((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
-            part.coalesce(1).sortWithinPartitions(order).write.mode("overwrite" if i == 0 else "append").parquet(path)
+            part.repartition(k).sortWithinPartitions(order).write.mode("overwrite" if first else "append").parquet(path)
+            first = False
     finally:
         df.unpersist()
-    return path
+    return k
 
 
 def run_available(query) -> None:
