@@ -30,6 +30,26 @@ def test_split_refinement_equals_direct_rank(spark):
     assert {r.id for r in coarse.collect()} == {r.id for r in fine.collect()}
 
 
+def test_global_rank_spans_partitions(spark):
+    df = spark.range(0, 5000).withColumn("k", (F.col("id") * 7919) % 997)
+    r = ML._global_rank(df, ["k", "id"], rows=5000, rows_per_task=300)
+    got = [(x.k, x.id, x._r) for x in r.collect()]
+    want = sorted((k, i) for k, i, _ in got)
+    assert sorted(got, key=lambda t: t[2]) == [(k, i, n + 1) for n, (k, i) in enumerate(want)]
+
+
+def test_split_with_a_hot_key(spark):
+    # a third of the rows share one split key: the boundary range cannot be
+    # refined further and is ranked across partitions
+    df = spark.range(0, 3000)
+    key = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") * 7 % 1000)
+    train, test = ML.train_test_split(df, key=key, rank_rows=100, buckets=8)
+    te = {r.id for r in test.collect()}
+    assert len(te) == 600 and train.count() == 2400
+    rows = sorted((5 if i % 3 == 0 else i * 7 % 1000, i) for i in range(3000))
+    assert te == {i for _, i in rows[:600]}
+
+
 def test_balanced_weights_sum_to_n(spark):
     df = spark.createDataFrame([(i, float(1 + i % 3 + (0.5 if i % 7 == 0 else 0))) for i in range(300)], "id long, y double")
     w = ML.balanced_weights(df, "y")

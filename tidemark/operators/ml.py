@@ -95,10 +95,8 @@ def train_test_split(
     need = target - taken
     below = F.col("_split_key") < F.lit(lo)
     above = F.col("_split_key") > F.lit(hi)
-    from pyspark.sql import Window
-
     inside = keyed.filter(~below & ~above)
-    ranked = inside.withColumn("_r", F.row_number().over(Window.orderBy("_split_key", id_col)))
+    ranked = _global_rank(inside, ["_split_key", id_col], span_rows)
     ids_test = ranked.filter(F.col("_r") <= need).select(id_col)
     boundary_test = inside.join(ids_test, id_col, "left_semi")
     boundary_train = inside.join(ids_test, id_col, "left_anti")
@@ -107,6 +105,27 @@ def train_test_split(
     return train, test
 
 
+def _global_rank(df: DataFrame, order: list[str], rows: int, rows_per_task: int = 1_000_000) -> DataFrame:
+    """1-based rank of every row by ``order`` without gathering rows in one
+    task: range-partition on ``order``, number rows inside each partition,
+    then add the row count of all earlier partitions (one small aggregate of
+    at most ``parts`` rows, applied as a literal map)."""
+    from pyspark.sql import Window
+
+    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task)))
+    cols = [F.col(c) for c in order]
+    # persisted: the range bounds are sampled once, so counts and ranks agree
+    parted = df.repartitionByRange(parts, *cols).withColumn("_p", F.spark_partition_id()).persist()
+    sizes = sorted((r["_p"], r["n"]) for r in parted.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, acc = [], 0
+    for p, n in sizes:
+        offsets += [F.lit(p), F.lit(acc)]
+        acc += n
+    base = F.element_at(F.create_map(*offsets), F.col("_p")) if offsets else F.lit(0)
+    local = F.row_number().over(Window.partitionBy("_p").orderBy(*cols))
+    return parted.withColumn("_r", (local + base).cast("bigint")).drop("_p")
+
+
 # ----------------------------------------------------------- weights, scale
 
 
