@@ -210,22 +210,33 @@ _PARAM_MAP = {
 WEIGHTED = {"LinearRegression", "ElasticNet", "RandomForestRegressor"}
 
 
+def _memory_mb(text: str | None, default: float) -> float:
+    if not text:
+        return default
+    m = text.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    num = "".join(ch for ch in m if ch.isdigit() or ch == ".")
+    unit = next((units[ch] for ch in m if ch in units), 1 / (1024 * 1024))
+    return float(num) * unit if num else default
+
+
 def node_stats_budget_mb(spark: SparkSession | None = None) -> int:
-    """Memory for per-pass tree-node histograms: a quarter of the executor
-    memory the session is configured with (driver memory in local mode),
-    bounded to [256, 4096] MB. More memory = more nodes split per data pass."""
-    text = None
-    if spark is not None:
-        text = spark.conf.get("spark.executor.memory", None) or spark.conf.get("spark.driver.memory", None)
-    mb = 1024
-    if text:
-        m = text.strip().lower()
-        units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-        num = "".join(ch for ch in m if ch.isdigit() or ch == ".")
-        unit = next((units[ch] for ch in m if ch in units), 1 / (1024 * 1024))
-        if num:
-            mb = float(num) * unit
-    return int(min(4096, max(256, mb / 4)))
+    """Memory for the tree-node histograms each training task builds per data
+    pass (MLlib ``maxMemoryInMB``, allocated by every concurrent task): half
+    of one executor's heap split over its task slots, bounded to [64, 2048]
+    MB. Executor heap = ``spark.executor.memory`` (Spark's 1g default when
+    unset); in local mode the driver JVM's heap, which is the executor. More
+    memory = more nodes split per pass = fewer passes."""
+    if spark is None:
+        return 256
+    sc = spark.sparkContext
+    if (sc.master or "").startswith("local"):
+        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+        slots = sc.defaultParallelism
+    else:
+        heap = _memory_mb(spark.conf.get("spark.executor.memory", None), 1024.0)
+        slots = int(spark.conf.get("spark.executor.cores", "1")) // max(1, int(spark.conf.get("spark.task.cpus", "1")))
+    return int(min(2048, max(64, heap / 2 / max(1, slots))))
 
 
 def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w", spark: SparkSession | None = None):
