@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -57,9 +59,10 @@ def test_month_predicate_added_for_partitioned_tables(spark):
     assert "ym" in plan and "202403" in plan
 
 
-def test_trailing_count_equals_range_window(spark):
+@pytest.mark.parametrize("chunk", [None, 30, 47])
+def test_trailing_count_equals_range_window(spark, chunk):
     df = spark.createDataFrame(_rows(900, per_sec=3), SCHEMA).withColumn("k", F.col("id") % 4)
-    got = {r.id: r.n_window for r in DB.trailing_count(df, "k", 30).collect()}
+    got = {r.id: r.n_window for r in DB.trailing_count(df, "k", 30, chunk=chunk).collect()}
     w = Window.partitionBy("k").orderBy(F.unix_seconds("ingestion_timestamp")).rangeBetween(-30, 0)
     want = {r.id: r.n for r in df.select("id", F.count(F.lit(1)).over(w).alias("n")).collect()}
     assert got == want

@@ -122,21 +122,38 @@ def trailing_points(df: DataFrame, as_of, seconds: int = 30, ts: str = TS) -> Da
     return df.filter((F.col(ts) >= a - F.expr(f"INTERVAL {int(seconds)} SECONDS")) & (F.col(ts) <= a))
 
 
-def trailing_count(df: DataFrame, key: str, seconds: int = 30, ts: str = TS, id_col: str = "id") -> DataFrame:
+def trailing_count(df: DataFrame, key: str, seconds: int = 30, ts: str = TS, id_col: str = "id", chunk: int | None = None) -> DataFrame:
     """G1 per-row form: rows of the same key in ``[ts - seconds, ts]``.
 
-    Equal to a RANGE window, but skew-safe: rows are first counted per
-    (key, second); each second's count is sent to the ``seconds + 1`` seconds
-    whose window contains it and summed there; rows join back on (key, second).
-    Work is spread over (key, second) pairs, not gathered per key.
+    Equal to a RANGE window over each key, but skew-safe and compact: rows are
+    first counted per (key, second); the per-second counts are cut into
+    (key, time chunk) partitions of ``chunk`` seconds, and each count whose
+    second lies in the last ``seconds`` of its chunk is also copied into the
+    next chunk as context (at most ``seconds / chunk`` extra rows). A RANGE
+    window inside each (key, chunk) then sees every second it needs, so one
+    key's history is spread over many tasks and each task holds at most
+    ``chunk + seconds`` rows. Rows join back on (key, second).
     """
+    s = int(seconds)
+    c = int(chunk or max(60, 4 * s))
+    if c < s:
+        raise ValueError("chunk must cover the window")
     sec = F.unix_seconds(F.col(ts).cast("timestamp"))
     rows = df.select(id_col, key, ts, sec.alias("_sec"))
     per_sec = rows.groupBy(key, "_sec").agg(F.count(F.lit(1)).alias("_n"))
-    spread = per_sec.select(
-        key, F.explode(F.sequence(F.col("_sec"), F.col("_sec") + F.lit(int(seconds)))).alias("_sec"), "_n"
+    own = F.floor(F.col("_sec") / F.lit(c))
+    is_tail = F.col("_sec") - own * F.lit(c) >= F.lit(c - s)
+    placed = per_sec.select(
+        key,
+        "_sec",
+        "_n",
+        F.explode(
+            F.when(is_tail, F.array(F.struct(own.alias("c"), F.lit(True).alias("own")), F.struct((own + 1).alias("c"), F.lit(False).alias("own"))))
+            .otherwise(F.array(F.struct(own.alias("c"), F.lit(True).alias("own"))))
+        ).alias("_p"),
     )
-    window_counts = spread.groupBy(key, "_sec").agg(F.sum("_n").alias("n_window"))
+    w = Window.partitionBy(key, F.col("_p.c")).orderBy("_sec").rangeBetween(-s, 0)
+    window_counts = placed.withColumn("n_window", F.sum("_n").over(w)).filter(F.col("_p.own")).select(key, "_sec", "n_window")
     return rows.join(window_counts, [key, "_sec"], "inner").select(id_col, key, ts, F.col("n_window").cast("bigint"))
 
 

@@ -91,9 +91,10 @@ def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: i
 
     Each segment is written by ``k`` parallel tasks (round-robin, so exactly
     ``k`` files, each sorted on ``order``); a reader taking ``k`` files per
-    trigger sees one segment per micro-batch. ``k`` defaults to the shuffle
-    partitions spread over the segments and never exceeds the rows of the
-    smallest segment. Returns ``k``. Range bounds and segment sizes come from
+    trigger sees one segment per micro-batch, read by ``k`` parallel tasks.
+    ``k`` defaults to the cluster's cores (or the shuffle partitions spread
+    over the segments, if more) and never exceeds the rows of the smallest
+    segment. Returns ``k``. Range bounds and segment sizes come from
     one small aggregate; the input is cached for the sequential writes.
     """
     df = df.persist()
@@ -107,7 +108,8 @@ def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: i
         seg = F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")
         sizes = {r["s"]: r["n"] for r in df.groupBy(seg.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
         if tasks is None:
-            tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // files)
+            spark = df.sparkSession
+            tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // files)
         k = max(1, min([tasks, *sizes.values()]))
         first = True
         for i in range(files):
