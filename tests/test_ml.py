@@ -50,6 +50,16 @@ def test_split_with_a_hot_key(spark):
     assert te == {i for _, i in rows[:600]}
 
 
+def test_training_parts():
+    # light fits on small data stay on one task; a forest spreads to the cores
+    assert ML.training_parts(8_000, 1, 8) == 1
+    assert ML.training_parts(8_000, 300, 8) == 8
+    assert ML.training_parts(8_000, 30, 8) == 5
+    # huge inputs: never more than 1M rows per partition, whatever the cores
+    assert ML.training_parts(10**10, 1, 8) == 10_000
+    assert ML.training_parts(0, 300, 8) == 1
+
+
 def test_balanced_weights_sum_to_n(spark):
     df = spark.createDataFrame([(i, float(1 + i % 3 + (0.5 if i % 7 == 0 else 0))) for i in range(300)], "id long, y double")
     w = ML.balanced_weights(df, "y")

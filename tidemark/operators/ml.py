@@ -289,27 +289,50 @@ def prepare_training(df: DataFrame, u: UseCase) -> DataFrame:
     return assemble(weighted, u).withColumn("label", F.col(u.target).cast("double"))
 
 
+def training_parts(rows: int, work_per_row: int, cores: int, rows_per_part: int = 1_000_000, work_per_task: int = 50_000) -> int:
+    """Partitions for a fit: enough that no partition holds more than
+    ``rows_per_part`` rows, and, up to the cluster's cores, one per
+    ``work_per_task`` row-trees of work per pass (a forest bags every row
+    into each tree; boosting and linear models see each row once). Small,
+    light fits stay on few tasks, where per-task overhead would dominate."""
+    floor_parts = -(-rows // rows_per_part)
+    want = -(-rows * max(1, work_per_row) // work_per_task)
+    return int(max(1, floor_parts, min(cores, want)))
+
+
+def _work_per_row(model_type: str, params: dict | None) -> int:
+    if model_type == "RandomForestRegressor":
+        return int((params or {}).get("n_estimators", 20))
+    return 1
+
+
 def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS):
     """fit each configured model; a failure is reported, not raised.
 
+    The training frame (features, label, weight) is cached once, partitioned
+    for the heaviest model; lighter models read it through a no-shuffle
+    ``coalesce`` to their own partition count (``training_parts``).
+
     Returns ({name: fitted model}, report DataFrame(dataset, model, status, error)).
     """
-    # spread the (usually few) input splits over every core: tree induction
-    # runs one aggregation pass per level, each as wide as the data partitions
-    parts = max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions())
+    spark = train.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    rows = train.count()
+    work = {name: _work_per_row(mtype, params) for name, mtype, params in models}
+    parts = training_parts(rows, max(work.values(), default=1), cores)
     data = prepare_training(train, u).select("features", "label", "w").repartition(parts).cache()
     fitted, report = {}, []
     try:
         for name, mtype, params in models:
             try:
-                est = make_model(mtype, params, spark=train.sparkSession)
-                fitted[name] = est.fit(data)
+                est = make_model(mtype, params, spark=spark)
+                p = training_parts(rows, work[name], cores)
+                fitted[name] = est.fit(data.coalesce(p) if p < parts else data)
                 report.append((u.name, name, "ok", None))
             except Exception as e:  # reported per model, like the reference
                 report.append((u.name, name, "failed", str(e)[:500]))
     finally:
         data.unpersist()
-    spark = train.sparkSession
     rep = spark.createDataFrame(report, "dataset string, model string, status string, error string")
     return fitted, rep
 
