@@ -89,3 +89,23 @@ def test_stream_equals_batch_and_restarts(spark, tmp_dir):
     p = {r.Bandwidth_MBps: r.predicted_qoe for r in pred.select("Bandwidth_MBps", "predicted_qoe").collect()}
     b = {r.Bandwidth_MBps: r.predicted_qoe for r in batch.select("Bandwidth_MBps", "predicted_qoe").collect()}
     assert all(b.get(k) is not None for k in list(p)[:50])
+
+
+def test_batch_counts_observed(spark, tmp_dir):
+    from tidemark.streaming.pipeline import batch_counts
+
+    u = CLOUD_GAMING
+    kpi = kpi_view(spark, SF_SMALL, u, dirty=True)
+    topic, per = stage_topic(kpi, u, f"{tmp_dir}/topic", files=2)
+    q = build_pipeline(
+        kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per),
+        u, fixed_scorer(u), f"{tmp_dir}/raw", f"{tmp_dir}/pred", f"{tmp_dir}/ck", trigger={"availableNow": True},
+    )
+    run_available(q)
+    counts = batch_counts(q)
+    assert len(counts) == 2
+    from tidemark.operators.quality import validate
+
+    assert sum(c["rows"] for c in counts) == kpi.count()
+    assert sum(c["valid"] for c in counts) == validate(kpi, u).count()
+    assert sum(c["valid"] for c in counts) == read_predictions(spark, f"{tmp_dir}/pred").count()

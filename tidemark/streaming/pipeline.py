@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import second_now
+from tidemark.operators.quality import is_valid
 from tidemark.operators.scoring import score
 from tidemark.sinks.tables import fan_out, write_predictions, write_raw
 from tidemark.sources.framing import decode_avro, encode_avro, flatten
@@ -54,9 +55,34 @@ def pipeline_sink(u: UseCase, model, raw_path: str, pred_path: str):
     return fan_out(raw, predictions)
 
 
+BATCH_METRICS = "kpi_batch"
+
+
+def observe_batch(records: DataFrame, u: UseCase) -> DataFrame:
+    """Per micro-batch counts, computed while the batch is processed (no
+    extra pass): records, malformed messages, and valid records (= the
+    predictions written). Read them with ``batch_counts(query)``."""
+    return records.observe(
+        BATCH_METRICS,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.col("_malformed").cast("long")), F.lit(0)).alias("malformed"),
+        F.coalesce(F.sum(is_valid(u).cast("long")), F.lit(0)).alias("valid"),
+    )
+
+
+def batch_counts(query) -> list[dict]:
+    """``{batch_id, rows, malformed, valid}`` of each recent micro-batch."""
+    out = []
+    for p in query.recentProgress:
+        m = (p.get("observedMetrics") or {}).get(BATCH_METRICS)
+        if m is not None:
+            out.append({"batch_id": p["batchId"], "rows": m["rows"], "malformed": m["malformed"], "valid": m["valid"]})
+    return out
+
+
 def build_pipeline(messages: DataFrame, u: UseCase, model, raw_path: str, pred_path: str, checkpoint: str, trigger: dict | None = None, query_name: str | None = None):
     """Start the scoring stream (append mode, default or given trigger)."""
-    records = stamp(decode_messages(messages, u))
+    records = observe_batch(stamp(decode_messages(messages, u)), u)
     w = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(pipeline_sink(u, model, raw_path, pred_path))
     if query_name:
         w = w.queryName(query_name)
