@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, language, mixing
 
 
 def llm_queries() -> dict:
     return {
         "op1_byte_bpe": bpe.op1_byte_bpe,
+        "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_language_id": language.op6_language_id,
     }
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return {"op5_mix_sources": mixing.OP5_SQL}
