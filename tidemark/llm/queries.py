@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing
+from tidemark.llm import bpe, language, mixing, paritysketch
 
 
 def llm_queries() -> dict:
@@ -10,6 +10,7 @@ def llm_queries() -> dict:
         "op1_byte_bpe": bpe.op1_byte_bpe,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_language_id": language.op6_language_id,
+        "op7_ngram_jaccard": paritysketch.op7_ngram_jaccard,
     }
 
 
