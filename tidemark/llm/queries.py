@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing, paritysketch
+from tidemark.llm import bpe, language, mixing, paritysketch, pii
 
 
 def llm_queries() -> dict:
@@ -11,6 +11,7 @@ def llm_queries() -> dict:
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_language_id": language.op6_language_id,
         "op7_ngram_jaccard": paritysketch.op7_ngram_jaccard,
+        "op8_pii": pii.op8_pii,
     }
 
 
