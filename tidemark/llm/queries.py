@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing, paritysketch, pii
+from tidemark.llm import bpe, language, mixing, paritysketch, pii, subspace
 
 
 def llm_queries() -> dict:
     return {
         "op1_byte_bpe": bpe.op1_byte_bpe,
+        "op3_embedding_dedup": subspace.op3_embedding_dedup,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_language_id": language.op6_language_id,
         "op7_ngram_jaccard": paritysketch.op7_ngram_jaccard,
