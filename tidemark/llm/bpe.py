@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemark.llm.common import table
+from tidemark.llm.common import saved, table
 
 _BUCKETS = 16384
 
@@ -122,11 +122,24 @@ class ByteBpe:
 
 
 def frequent_words(bpe: ByteBpe, docs: DataFrame, text_col: str, dictionary: int, max_word: int) -> list:
-    """(word, ids) of the most frequent words of all texts; at most ``dictionary`` rows."""
+    """(word, ids) of the most frequent words of all texts; at most ``dictionary`` rows.
+
+    A histogram of counts gives the least count that a word of the dictionary has, so
+    only these words leave the executors, however many partitions the counts have.
+    """
     words = docs.select(F.explode(bpe.words(F.col(text_col))).alias("w"))
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("c")).where((F.octet_length("w") <= max_word) & (F.col("c") > 1))
-    top = counts.orderBy(F.desc("c"), "w").limit(dictionary)
-    return [tuple(r) for r in top.select("w", bpe.fold(bpe.as_bytes(F.col("w"))).alias("ids")).collect()]
+    counts = saved(counts.withColumn("step", F.floor(F.log2("c") * 16)), "bpe-counts")
+    steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)
+    room, least = dictionary, None
+    for step, n in steps:
+        room -= n
+        if room < 0:
+            break
+        least = step
+    if least is None:
+        return []
+    return [tuple(r) for r in counts.where(F.col("step") >= least).select("w", bpe.fold(bpe.as_bytes(F.col("w"))).alias("ids")).collect()]
 
 
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -176,7 +189,7 @@ def _worker_state(shared, pattern: str) -> tuple:
     return _WORKER["find"], _WORKER["words"], _WORKER["ranks"], _WORKER["rare"]
 
 
-def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str = "ids", dictionary: int = 131072, max_word: int = 64, cache: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str = "ids", dictionary: int = 65536, max_word: int = 64, cache: int = 200_000) -> DataFrame:
     """``docs`` with ``ids_col`` array<int>, the ids of each whole text.
 
     ``dictionary``: how many frequent words Spark folds beforehand; ``cache``: how many
