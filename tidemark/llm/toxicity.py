@@ -27,6 +27,7 @@ only the named columns are read. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,26 +129,31 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.slope * top + self.shift, -50, 50))))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Primal squared-hinge SVM by Newton steps: (weights, bias)."""
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Primal squared-hinge SVM by Newton steps with halving: (weights, bias)."""
     x1 = np.hstack((x, np.ones((len(x), 1))))
+    pull = ridge * weight.sum() * np.array([1.0] * x.shape[1] + [1e-3])
+    loss = lambda w: float(weight @ np.maximum(0, 1 - y * (x1 @ w)) ** 2 + pull @ w**2)
     w = np.zeros(x1.shape[1])
-    for _ in range(25):
+    now = loss(w)
+    for _ in range(60):
         inside = y * (x1 @ w) < 1
         a = x1[inside] * weight[inside, None]
-        h = x1[inside].T @ a + ridge * weight.sum() * np.diag([1.0] * x.shape[1] + [1e-3])
-        new = np.linalg.solve(h, a.T @ y[inside])
-        if np.abs(new - w).max() < 1e-6:
+        step = np.linalg.solve(x1[inside].T @ a + np.diag(pull), a.T @ y[inside]) - w
+        size = 1.0
+        while (new := loss(w + size * step)) > now and size > 1e-4:
+            size /= 2
+        if new >= now * (1 - 1e-7):
             break
-        w = new
+        w, now = w + size * step, new
     return w[:-1], float(w[-1])
 
 
 def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(slope, shift) of Platt's curve, classes weighted alike."""
+    """(slope, shift) of Platt's curve; the sample's toxic texts weigh as a quarter, for they are rarer in a corpus."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    c = np.where(y == 1, 0.5 / n1, 0.5 / n0) * len(y)
+    c = np.where(y == 1, 0.25 / n1, 0.75 / n0) * len(y)
     x, w = np.stack((s, np.ones(len(s))), 1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
@@ -164,8 +170,21 @@ def _inserted(word: str, rng: np.random.Generator) -> str:
     return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
 
 
-def train(texts: list[list[str]], toxic: list[int], landmarks: int = 160, rounds: int = 4) -> Machine | None:
+def _first_of_copies(texts: list[list[str]]) -> list[int]:
+    """Indices of the sample's texts without near copies of earlier ones: a copied text's words are no evidence of their own."""
+    seen, out = set(), []
+    for i, t in enumerate(texts):
+        marks = [(k, min(zlib.crc32(f"{k}{w}".encode()) for w in t)) for k in range(4)] if t else []
+        if sum(m in seen for m in marks) < 2:
+            out.append(i)
+        seen.update(marks)
+    return out
+
+
+def train(texts: list[list[str]], toxic: list[int], landmarks: int = 320, rounds: int = 4) -> Machine | None:
     """A machine from the distinct units of each labelled text."""
+    first = [*_first_of_copies([t if k == 1 else [] for t, k in zip(texts, toxic, strict=True)])]
+    texts, toxic = [texts[i] for i in first], [toxic[i] for i in first]
     y = np.array(toxic)
     if not (y == 1).any() or not (y == 0).any():
         return None
@@ -179,10 +198,12 @@ def train(texts: list[list[str]], toxic: list[int], landmarks: int = 160, rounds
     n1, n0 = (y == 1).sum(), (y == 0).sum()
     p, q = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
     sure = np.log(p / q) * np.sqrt(in1)  # far more often in toxic texts, and often enough to tell
-    liked = np.argsort(-sure, kind="stable")[: landmarks // 2]
-    liked = liked[sure[liked] > 0]
+    liked = np.argsort(-sure, kind="stable")[: landmarks * 2 // 3]
+    liked = liked[(sure[liked] > 0) & (p[liked] > 5 * q[liked])]
     plain = np.argsort(-np.where(sure < 1, in0, -1), kind="stable")[: landmarks - len(liked)]
     z = features([words[i] for i in np.concatenate((liked, plain))])
+    used = np.flatnonzero(z.any(axis=0))  # what no landmark has does not enter the kernel
+    z = z[:, used]
     value, vec = np.linalg.eigh((z @ z.T).astype(np.float64))
     keep = value > 1e-6 * value[-1]
     root = vec[:, keep] / np.sqrt(value[keep])  # Nystroem: k(x, Z) @ root
@@ -200,17 +221,19 @@ def train(texts: list[list[str]], toxic: list[int], landmarks: int = 160, rounds
             return machine
         some, n = np.unique(pos, return_counts=True)
         # a word that clean texts hold about as often is no witness
-        fair = p[some] > 2 * q[some]
+        fair = p[some] > 5 * q[some]
         some = np.union1d(some[fair] if fair.any() else some, certain)
         n = np.sqrt(in1[some])
         changed = [_inserted(words[i], rng) for i in some]  # the same words with a letter put in
         neg = np.setdiff1d(neg, some)
         use = [*(words[i] for i in some), *changed, *(words[i] for i in neg)]
-        x = np.concatenate([features(use[s : s + 128]) @ z.T for s in range(0, len(use), 128)]).astype(np.float64) @ root
+        x = np.concatenate([features(use[s : s + 128])[:, used] @ z.T for s in range(0, len(use), 128)]).astype(np.float64) @ root
         target = np.concatenate((np.ones(2 * len(some)), -np.ones(len(neg))))
-        weight = np.concatenate((n * len(neg) / n.sum(), 0.3 * n * len(neg) / n.sum(), np.ones(len(neg))))
+        weight = np.concatenate((n * len(neg) / n.sum(), 0.1 * n * len(neg) / n.sum(), np.ones(len(neg))))
         w, bias = _svm(x, target, weight)
-        machine = Machine((root @ w) @ z.astype(np.float64), bias)
+        weights = np.zeros(LETTERS**3)
+        weights[used] = (root @ w) @ z
+        machine = Machine(weights, bias)
         score = np.concatenate([machine.score(words[s : s + 20000]) for s in range(0, len(words), 20000)])
     top = np.array([score[r].max() if len(r) else machine.bias for r in rows])
     machine.slope, machine.shift = _logistic(top, y)
