@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing, paritysketch, pii, subspace, toxicity
+from tidemark.llm import bpe, language, mixing, paritysketch, pii, repair, subspace, toxicity
 
 
 def llm_queries() -> dict:
@@ -13,6 +13,7 @@ def llm_queries() -> dict:
         "op6_language_id": language.op6_language_id,
         "op7_ngram_jaccard": paritysketch.op7_ngram_jaccard,
         "op8_pii": pii.op8_pii,
+        "op9_token_files": repair.op9_token_files,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
