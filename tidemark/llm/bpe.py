@@ -33,9 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemark.llm.common import saved, table
+from tidemark.llm.common import extended, saved, table
 
 _BUCKETS = 16384
 
@@ -223,8 +222,7 @@ def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str =
             flat = np.concatenate(out) if out else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[*batch.schema.names, ids_col])
 
-    schema = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, extended(docs, docs.columns, **{ids_col: "array<int>"}))
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tidemark.session import configure, work_path
 
@@ -26,6 +27,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, names: list[str], **fields: DataType | str) -> StructType:
+    """Schema of the named columns of ``df`` and further fields (types as objects or DDL)."""
+    more = [StructField(k, DataType.fromDDL(t) if isinstance(t, str) else t) for k, t in fields.items()]
+    return StructType([*(StructField(c, df.schema[c].dataType) for c in names), *more])
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the decimal id, divisible by 5: rows no model learns from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

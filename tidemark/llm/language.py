@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import extended, held_out, table
 
 _STATE: dict = {}
 
@@ -133,7 +133,8 @@ def identify(docs: DataFrame, langs: list[str], log_p: np.ndarray, penalty: floa
     """``docs`` (doc_id, text, ...) without its text, with lang_pred, score and ``mix`` (language -> proportion)."""
     cells = log_p.shape[0]
     model = docs.sparkSession.sparkContext.broadcast((langs, log_p))
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "mix")]
+    docs = docs.select(*rest, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, log_p = model.value
@@ -154,8 +155,7 @@ def identify(docs: DataFrame, langs: list[str], log_p: np.ndarray, penalty: floa
             maps = pa.array([list(m.items()) for m in mixes], pa.map_(pa.string(), pa.float64()))
             yield pa.RecordBatch.from_arrays([*own, pa.array(pred, pa.string()), pa.array(score, pa.float64()), maps], names=[*rest, "lang_pred", "score", "mix"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double, mix map<string,double>")
+    return docs.mapInArrow(run, extended(docs, rest, lang_pred="string", score="double", mix="map<string,double>"))
 
 
 def predictions(docs: DataFrame, cells: int = 65536, per_language: int = 2000, penalty: float = 8.0) -> DataFrame:
@@ -164,6 +164,14 @@ def predictions(docs: DataFrame, cells: int = 65536, per_language: int = 2000, p
     return identify(docs.select("doc_id", "text"), langs, log_p, penalty)
 
 
+def known_language(docs: DataFrame, cells: int = 65536, per_language: int = 2000, penalty: float = 8.0) -> DataFrame:
+    """The rows of ``docs`` whose text has a language; all columns as they are."""
+    langs, log_p = learn(docs.select("doc_id", "text", "lang"), cells, per_language)
+    rest = [c for c in docs.columns if c != "text"]
+    found = identify(docs.select(F.struct(*rest).alias("row"), "text").withColumn("kept", F.col("text")).select("row", "kept", "text"), langs, log_p, penalty)
+    return found.where("lang_pred <> 'und'").select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the four fifths that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

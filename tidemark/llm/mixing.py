@@ -68,8 +68,8 @@ def apportion(parties: DataFrame, group: list[str], votes: str, seats: str, orde
     return k.groupBy(*keep, "_lo").agg((F.col("_lo") + F.sum("_won")).alias("quota")).drop("_lo")
 
 
-def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, most: int = 2, block: int = 16, docs_per_shard: int = 1000, seed: str = "mix") -> DataFrame:  # noqa: B006
-    """One row per row of ``docs`` (doc_id, source, size): its source's size and target, and ``taken`` words.
+def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, most: int = 2, block: int = 16, docs_per_shard: int = 1000, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:  # noqa: B006
+    """One row per row of ``docs`` (doc_id, source, size): its source's size and target, ``taken`` words, and the columns of ``carry``.
 
     Also: ``passes``, how many times the whole document is taken, and ``start``, ``run_from``,
     ``run_len``, ``blocks``: where it begins in its shard and the run of blocks taken once more.
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, mos
     s = s.withColumn("one", F.lit(1)).withColumn("seats", F.floor(F.sum("target").over(Window.partitionBy("one")) / block + 0.5).cast("long"))
     s = apportion(s, ["one"], "target", "seats", "rn").select("rn", "source", "source_size", "target", F.col("quota").alias("source_quota"), F.ceil(F.col("n_docs") / docs_per_shard).cast("long").alias("n_shards"))
     s = saved(s, "mix-sources")  # one row per source
-    d = docs.alias("d").join(s.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.doc_id", "d.size", "s.rn", "s.source_size", "s.target", "s.n_shards")
+    d = docs.alias("d").join(s.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.doc_id", "d.size", *(f"d.{c}" for c in carry), "s.rn", "s.source_size", "s.target", "s.n_shards")
     d = d.withColumn("shard", _hash32(F.concat(F.lit(f"{seed}:s:"), key)) % F.col("n_shards")).drop("n_shards")
     shards = d.groupBy("rn", "shard").agg(F.sum("size").alias("shard_size")).join(s.select("rn", "source_quota"), "rn")
     shards = apportion(shards, ["rn"], "shard_size", "source_quota", "shard")
@@ -99,7 +99,7 @@ def mix(docs: DataFrame, weights: list[int] = [3, 1, 2], share: float = 1.5, mos
 
     run = inside(begin, F.least(end, words)) + inside(F.lit(0), end - words)  # a run past the last block goes on at the first
     taken = F.coalesce(F.col("passes") * F.col("size") + run, F.lit(0))
-    return d.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "passes", "start", "run_from", "run_len", "blocks")
+    return d.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "passes", "start", "run_from", "run_len", "blocks", *carry)
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -107,6 +107,24 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
 
 
+def mixed(docs: DataFrame, block: int = 16) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, the columns of ``docs``.
+
+    Whole passes repeat the row. Where the run of blocks cuts a document, a further row has the words
+    of the run, joined by spaces; documents of which nothing is taken are left out. ``n_chars``, if there, is counted anew.
+    """
+    rows = docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.struct(*docs.columns).alias("row"))
+    m = mix(rows, block=block, carry=("row",))
+    text, extra = F.col("row")["text"], F.col("taken") - F.coalesce(F.col("passes"), F.lit(0)) * F.col("size")
+    at = lambda i: F.floor((F.col("start") + i) / block)
+    cut = F.filter(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda _, i: F.pmod(at(i) - F.col("run_from"), F.col("blocks")) < F.col("run_len"))
+    none = F.array().cast("array<string>")
+    more = F.when(extra == F.col("size"), F.array(text)).when(extra > 0, F.array(F.array_join(cut, " "))).otherwise(none)
+    m = m.where("taken > 0").withColumn("text", F.explode(F.concat(F.array_repeat(text, F.col("passes").cast("int")), more)))
+    new = {"text": F.col("text"), **({"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})}
+    return m.select(*[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: weights 3, 1, 2 repeating, 150 % of all words, at most twice each source."""
     docs = saved(measured(table(spark, sf_dir, "documents")), "mix-sizes")  # read by three steps: counted once

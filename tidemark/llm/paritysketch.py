@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tidemark.llm.common import components, saved, table
 
@@ -227,6 +228,17 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return ids.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 
 
+def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose id names its group, one row for each id; rows with a null id stay."""
+    found = groups(docs.select("doc_id", "text"), width, percent)
+    named = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+    kept = docs.join(named, F.col("doc_id") == F.col("__id"), "left_semi")
+    if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
+        one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[c for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)]))
+        kept = kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that links of five-word shingles at 0.8 Jaccard form."""
     return groups(table(spark, sf_dir, "documents"))

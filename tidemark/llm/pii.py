@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import extended, table
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, MAX_CHARS, NEAR = 40, 90, 14
@@ -356,9 +356,8 @@ def find(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
                 more.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in m])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base, item), pa.array(more, item)], names=[*batch.schema.names, "base", "added"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     kind = "array<struct<start:int,kind:int,end:int>>"
-    return docs.mapInArrow(run, f"{schema}, base {kind}, added {kind}")
+    return docs.mapInArrow(run, extended(docs, own, base=kind, added=kind))
 
 
 def redacted(text, spans):
@@ -374,6 +373,17 @@ def redacted(text, spans):
     return F.aggregate(F.array_sort(spans), start, step, lambda s: F.concat(s["t"], F.substring(text, s["at"] + 1, F.length(text))))
 
 
+def without_personal_data(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with every span, of the patterns and the model, replaced; ``n_chars``, if there, is counted anew."""
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*rest).alias("row"), "text")
+    text = F.col("text")
+    found = find(rows, learn(rows))
+    clean = F.when(F.size("base") + F.size("added") > 0, redacted(text, F.concat("base", "added"))).otherwise(text)
+    new = {"text": clean, **({"n_chars": F.char_length(clean).cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {})}
+    return found.select(*[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def _joined(spans):
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing, paritysketch, pii, repair, subspace, toxicity
+from tidemark.llm import bpe, language, mixing, paritysketch, pii, repair, search, sitestyle, subspace, toxicity
 
 
 def llm_queries() -> dict:
     return {
         "op1_byte_bpe": bpe.op1_byte_bpe,
+        "op2_main_text": sitestyle.op2_main_text,
         "op3_embedding_dedup": subspace.op3_embedding_dedup,
+        "op4_search": search.op4_search,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_language_id": language.op6_language_id,
         "op7_ngram_jaccard": paritysketch.op7_ngram_jaccard,

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import extended, held_out, table
 
 DECAY, SPAN, LETTERS = 0.7, 8, 42
 _EDGE = LETTERS - 1
@@ -289,8 +289,7 @@ def score(docs: DataFrame, machine: Machine | None, cache: int = 1_000_000) -> D
                 out += [machine.probability(max(map(known.__getitem__, t), default=machine.bias)) for t in sets]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(out, pa.float64())], names=[*rest, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in rest)
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return docs.mapInArrow(run, extended(docs, rest, score="double"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
