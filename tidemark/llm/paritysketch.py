@@ -17,9 +17,11 @@ partners may lie in the next octave has keys there as well.
 Pairs. Equal word sequences are one class beforehand. In each bucket of a key
 the class with the smallest id is first compared with every other, exactly;
 the components of these links are found; then only pairs of one bucket that are
-still in different components are compared. So a large group of copies
-costs a link for each member, not one for each pair, and no link between
-different components is lost.
+still in different components are looked at: their dense sketches (two bits for each
+shingle of the octave) are XORed where they are, and a pair goes on to
+the exact comparison only if its Hamming distance is at most D. So a large group of copies costs a link for
+each member and no rows for its pairs, and no link between different components is lost. A bucket above
+``bucket_rows`` rows is cut into chunks, and its pairs of chunks are groups of their own.
 
 Defined cases: null, empty and blank texts have the empty set and link with
 nothing; a text with fewer than ``width`` words is one shingle; rows with a null
@@ -152,27 +154,113 @@ def _keys(docs: DataFrame, width: int, percent: int, common) -> DataFrame:
     return docs.mapInArrow(run, "key long, doc_id long, n int")
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the shingles in each of 2**j cells, as 64-bit words; at least two cells for each shingle."""
+    bits = 1 << max(6, len(s).bit_length() + 1)
+    odd = np.bincount((_mix(s ^ np.uint64(0xA0761D6478BD642F)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(words: np.ndarray, size: int) -> np.ndarray:
+    """A sketch of fewer cells: the XOR of its parts, since a cell is the low bits of a hash."""
+    return np.bitwise_xor.reduce(words.reshape(-1, size), axis=0)
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, s): the sorted shingle hashes as bytes."""
+    """(doc_id, s, sketch): the sorted shingle hashes, and their dense sketch, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n, out = [], [], []
+            ids, out, dense = [], [], []
             for i, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 s = shingles(words_of(text.as_py()), width)
                 ids.append(i.as_py())
-                n.append(len(s))
                 out.append(s.tobytes())
+                dense.append(sketch(s).tobytes())
                 if len(out) >= 500:
-                    yield _rows(ids, n, out)
-                    ids, n, out = [], [], []
+                    yield _rows(ids, out, dense)
+                    ids, out, dense = [], [], []
             if out:
-                yield _rows(ids, n, out)
+                yield _rows(ids, out, dense)
+
+    def _rows(ids: list, out: list, dense: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary()), pa.array(dense, pa.binary())], names=["doc_id", "s", "sketch"])
+
+    return docs.mapInArrow(run, "doc_id long, s binary, sketch binary")
+
+
+def _close(rows: DataFrame, percent: int, bucket_rows: int) -> DataFrame:
+    """Pairs (a, b) of one bucket of ``rows`` (key, doc_id, n, comp, sketch) in different components that sketches do not rule out."""
+    large = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > bucket_rows).select("key", F.ceil(F.col("c") / bucket_rows).cast("int").alias("chunks"))
+    rows = rows.join(large, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "n", "comp", "sketch")
+
+    def fits(x: int, y: int) -> bool:
+        return 100 * min(x, y) >= percent * max(x, y)
+
+    def few(p: int, q: int, rows: list) -> list[tuple[int, int]]:
+        """Pairs of a small group, with sketches as whole numbers."""
+        size = min(len(r[4]) for r in rows)
+        folded = []
+        for r in rows:
+            x = int.from_bytes(r[4], "little")
+            bits = 8 * len(r[4])
+            while bits > 8 * size:
+                bits //= 2
+                x = (x >> bits) ^ (x & ((1 << bits) - 1))
+            folded.append(x)
+        out = []
+        for i, (own, doc, n, comp, _) in enumerate(rows):
+            for k in range(i):
+                own2, doc2, n2, comp2, _ = rows[k]
+                if comp != comp2 and doc != doc2 and (p == q or own != own2) and fits(n, n2) and (folded[i] ^ folded[k]).bit_count() <= (100 - percent) * (n + n2) // (100 + percent):
+                    out.append((min(doc, doc2), max(doc, doc2)))
+        return out
+
+    def many(p: int, q: int, rows: list) -> Iterator[tuple[int, int]]:
+        """Pairs of a group by rows of a matrix of distances."""
+        own, doc, n, comp = (np.array([r[c] for r in rows]) for c in range(4))
+        raw = [np.frombuffer(r[4], np.uint64) for r in rows]
+        size = min(map(len, raw))
+        words = np.stack([_folded(x, size) for x in raw])
+        left = np.flatnonzero(own == p)
+        right = left if p == q else np.flatnonzero(own == q)
+        step = max(1, 4_000_000 // max(1, len(right) * size))
+        for at in range(0, len(left), step):
+            x = left[at : at + step]
+            most = (100 - percent) * (n[x][:, None] + n[right]) // (100 + percent)
+            ok = np.bitwise_count(words[x][:, None, :] ^ words[right]).sum(axis=2, dtype=np.int64) <= most
+            ok &= comp[x][:, None] != comp[right]
+            ok &= 100 * np.minimum(n[x][:, None], n[right]) >= percent * np.maximum(n[x][:, None], n[right])
+            i, j = np.nonzero(ok)
+            a, b = doc[x[i]], doc[right[j]]
+            keep = a != b if p != q else a < b
+            yield from zip(np.minimum(a, b)[keep].tolist(), np.maximum(a, b)[keep].tolist(), strict=True)
 
-    def _rows(ids: list, n: list, out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "n", "s"])
-
-    return docs.mapInArrow(run, "doc_id long, n int, s binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups one after the other, as the rows of a partition are sorted; only one is held."""
+        now, held, found = None, [], set()
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("key", "p", "q", "own", "doc_id", "n", "comp", "sketch")]
+            for key, p, q, *row in zip(*cols, strict=True):
+                if (key, p, q) != now:
+                    if len(held) > 1:
+                        found.update((few if len(held) <= 8 else many)(now[1], now[2], held))
+                    now, held = (key, p, q), []
+                held.append(row)
+            if len(found) > 50_000:
+                yield pairs(found)
+                found = set()
+        if len(held) > 1:
+            found.update((few if len(held) <= 8 else many)(now[1], now[2], held))
+        yield pairs(found)
+
+    def pairs(found: set) -> pa.RecordBatch:
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long").distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +281,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def groups(docs: DataFrame, width: int = 5, percent: int = 80, bucket_rows: int = 1000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every id of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
@@ -217,9 +305,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     # pairs of a bucket that are still apart
     of = buckets.join(comp, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
     of = saved(of.withColumn("lo", F.min("comp").over(by_key)).withColumn("hi", F.max("comp").over(by_key)).where("lo < hi").select("key", "doc_id", "n", "comp"), "parity-apart")
-    x, y = of.alias("x"), of.alias("y")
-    apart = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.comp") != F.col("y.comp")) & (F.col("x.doc_id") < F.col("y.doc_id")) & fits(F.col("x.n"), F.col("y.n")))
-    apart = apart.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    apart = _close(of.join(sets.select("doc_id", "sketch"), "doc_id"), percent, bucket_rows)
     apart = saved(apart.join(star, ["a", "b"], "left_anti"), "parity-pairs")
     more = saved(_linked(apart, sets, percent), "parity-more")
     alias = member.where("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
