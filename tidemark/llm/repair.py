@@ -1,6 +1,6 @@
 """Token ids as files: Re-Pair grammars of shards, with random access to a document.
 
-Documents are tokenised where they are read, range-partitioned by id and cut into
+Documents are range-partitioned by id, tokenised and cut into
 shards of about ``shard_ids`` ids. In a shard, frequent adjacent pairs of ids are replaced by
 new symbols, again and again: each round counts all pairs and replaces the most
 frequent ones that do not overlap each other (no symbol is the first of one pair and
@@ -18,13 +18,13 @@ The file format is a Parquet table with one row for a shard:
 ``symbols``        the shard's symbols, little-endian, 16 bits if they fit and else 32
 
 Defined cases: a null or empty text has only the end id; a null doc_id comes first in
-the order; repeated rows and ids are documents of their own, ordered by their ids; only the named columns are
+the order; repeated rows and ids are documents of their own, ordered by their text; only the named columns are
 read. An empty table writes no shard and reads back as no row.
 """
 
 from __future__ import annotations
 
-import zlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,41 +40,82 @@ _SCHEMA = "part long, seq long, doc_id array<long>, ends array<int>, sizes array
 _STATE: dict = {}
 
 
-def _tokenizer(path: str):
-    if _STATE.get("path") != path:
-        from tokenizers import Tokenizer
+#: The last letter that has one code point, lower case by itself, and no combining form.
+_LATIN = "\u024f"
+
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _STATE.update(path=path, tokenizer=t, known={})
-    return _STATE["tokenizer"], _STATE["known"]
+_BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int, cache: int = 1_500_000) -> DataFrame:
-    """(doc_id, ids): ids of each whole text and the end id, as little-endian unsigned 32-bit integers.
+def _split(text: str) -> list[str]:
+    """Parts between white space; four separators that Python counts as such are none to the tokenizer."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return [p for p in _BLANK.split(text) if p]
+    return text.split()
 
-    The vocabulary drops white space and never joins over it, so a text's ids are those of
-    its white-space separated parts; a worker encodes a part once and remembers it.
+
+class Encoder:
+    """The tokenizers library behind a memory of what it has encoded.
+
+    The vocabulary drops white space and never joins over it, so a text's ids are
+    those of its white-space separated parts, and a part's those of the words that the tokenizer's
+    own pattern finds in it. A part of Latin letters is lowered and cut here, since that is what the
+    tokenizer does first; other parts go to it as they are.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, known = _tokenizer(path)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                rows = batch.slice(at, 200)
-                parts = [(x or "").split() for x in rows.column("text").to_pylist()]
-                if len(known) > cache:
-                    known.clear()
-                new = list(set().union(*parts).difference(known)) if parts else []
-                for s in range(0, len(new), 5000):
-                    some = new[s : s + 5000]
-                    for p, e in zip(some, t.encode_batch(some, add_special_tokens=False), strict=True):
-                        known[p] = np.array(e.ids, "<u4").tobytes()
-                get = known.__getitem__
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([b"".join(map(get, p)) + end for p in parts], pa.binary())], names=["doc_id", "ids"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    def __init__(self, path: str, cache: int):
+        import json
+
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as f:
+            split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.cache = cache
+
+    def _encode(self, words: list[str]) -> None:
+        """Remember the ids of words that the tokenizer does not cut, many in one call."""
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            if len(first) == len(some):
+                self.pieces.update(zip(some, (x.tobytes() for x in np.split(ids, first[1:])), strict=True))
+            else:
+                self._each(some)
+
+    def _each(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+            self.pieces[w] = np.array(e.ids, "<u4").tobytes()
+
+    def texts(self, texts: list[str | None], end: bytes) -> list[bytes]:
+        """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
+        rows = [_split(x or "") for x in texts]
+        parts, pieces = self.parts, self.pieces
+        if len(parts) > self.cache or len(pieces) > self.cache:
+            parts.clear()
+            pieces.clear()
+        new = set().union(*rows).difference(parts) if rows else set()
+        plain = {p for p in new if p.isascii() or max(p) <= _LATIN and "\u0130" not in p}
+        cut = {p: self.words(p.lower()) if p in plain else [p] for p in new}
+        self._encode(list({w for p in plain for w in cut[p]}.difference(pieces)))
+        self._each(list(new.difference(plain).difference(pieces)))
+        for p, ws in cut.items():
+            parts[p] = b"".join([pieces[w] for w in ws])
+        get = parts.__getitem__
+        return [b"".join(map(get, r)) + end for r in rows]
+
+
+def _encoder(path: str, cache: int) -> Encoder:
+    if _STATE.get("path") != path:
+        _STATE.update(path=path, encoder=Encoder(path, cache))
+    return _STATE["encoder"]
 
 
 def compress(ids: np.ndarray, last: np.ndarray, rounds: int, least: int, most_rules: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -101,13 +142,17 @@ def compress(ids: np.ndarray, last: np.ndarray, rounds: int, least: int, most_ru
         if not chosen:
             break
         order = np.sort(np.array(chosen))
-        at = np.minimum(np.searchsorted(order, key), len(order) - 1)
-        hit = np.flatnonzero((order[at] == key) & ~last[:-1])
+        is_left, is_right = np.zeros(first + len(rules), bool), np.zeros(first + len(rules), bool)
+        is_left[list(left)], is_right[list(right)] = True, True
+        hit = np.flatnonzero(is_left[s[:-1]] & is_right[s[1:]] & ~last[:-1])
+        at = np.minimum(np.searchsorted(order, key[hit]), len(order) - 1)
+        same = order[at] == key[hit]
+        hit, at = hit[same], at[same]
         # only runs of one symbol have hits next to each other: every second one of a run counts
         start = np.concatenate(([True], np.diff(hit) > 1))
         offset = np.arange(len(hit)) - np.maximum.accumulate(np.where(start, np.arange(len(hit)), 0))
-        hit = hit[offset % 2 == 0]
-        s[hit] = first + len(rules) + at[hit]
+        hit, at = hit[offset % 2 == 0], at[offset % 2 == 0]
+        s[hit] = first + len(rules) + at
         last = last.copy()
         last[hit] = last[hit + 1]
         keep = np.ones(len(s), bool)
@@ -137,20 +182,24 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return np.array(n, np.int64)
 
 
-def write_shards(tokens: DataFrame, path: str, shard_ids: int = 500_000, rounds: int = 6, least: int = 40, most_rules: int = 16_000) -> None:
-    """Write (doc_id, ids) as shards in ascending doc_id order."""
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_ids: int = 500_000, rounds: int = 4, least: int = 40, most_rules: int = 16_000, cache: int = 1_500_000) -> None:
+    """Write the ids of (doc_id, text), an end id after each text, as shards in ascending doc_id order."""
+    # texts are dealt, not ids: the ranges are sampled beforehand, and that must not tokenise
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = _encoder(tokenizer, cache), np.array([end_id], "<u4").tobytes()
         part, seq, doc, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
-            for i, x in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                doc.append(i)
-                ids.append(np.frombuffer(x.as_buffer(), "<u4"))
-                held += len(ids[-1])
-                if held >= shard_ids:
-                    yield shard(part, seq, doc, ids)
-                    seq, doc, ids, held = seq + 1, [], [], 0
+            for at in range(0, batch.num_rows, 500):
+                rows = batch.slice(at, 500)
+                for i, x in zip(rows.column("doc_id").to_pylist(), encoder.texts(rows.column("text").to_pylist(), end), strict=True):
+                    doc.append(i)
+                    ids.append(np.frombuffer(x, "<u4"))
+                    held += len(ids[-1])
+                    if held >= shard_ids:
+                        yield shard(part, seq, doc, ids)
+                        seq, doc, ids, held = seq + 1, [], [], 0
         if doc:
             yield shard(part, seq, doc, ids)
 
@@ -219,7 +268,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_path(spark, "repair-shards")
-    write_shards(tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), 2), path)
+    write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), 2, path)
     return read_ids(spark, path).select(
         "doc_id",
         "start",
