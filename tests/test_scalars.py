@@ -90,6 +90,7 @@ def test_fixed2_and_to_count(spark):
     assert _eval(spark, [2.456, 3.0], S.fixed2) == ["2.46", "3.00"]
     df = spark.createDataFrame([("7",), ("",), (None,), ("x",)], "x string")
     assert [r[0] for r in df.select(S.to_count("x")).collect()] == [7, 0, 0, 0]
+    assert _eval(spark, [2.675, 1.005, 0.125, -2.675], S.fixed2) == ["2.67", "1.00", "0.13", "-2.67"]
 
 
 @pytest.mark.parametrize("u", [CLOUD_GAMING, VIDEO_STREAMING])

@@ -114,22 +114,42 @@ def parse_ts(s, fallback=None) -> Column:
     return F.coalesce(F.try_to_timestamp(_c(s)), fb)
 
 
+def _decimals(x: Column, scale: float, even: bool) -> Column:
+    """Round the binary value, not its shortest decimal text (2.675 is below the tie, so 2.67).
+
+    ``a * scale`` may itself be rounded onto a tie; what it lost is exact in two
+    halves of ``a`` and says on which side of the tie the value lies.
+    """
+    a = F.abs(x)
+    big = a * F.lit(134217729.0)
+    high = big - (big - a)
+    y = a * F.lit(scale)
+    lost = (high * F.lit(scale) - y) + (a - high) * F.lit(scale)
+    down = F.floor(y).cast("double")
+    tie = y - down == 0.5
+    n = F.when(~tie, F.rint(y)).when(lost < 0, down).when(lost > 0, down + 1).otherwise(F.rint(y) if even else down + 1)
+    return F.when(x < 0, -n).otherwise(n) / F.lit(scale)
+
+
 def fixed2(x) -> Column:
-    """Number -> text with exactly two decimals (half-up on the decimal value)."""
-    return F.format_string("%.2f", _c(x))
+    """Number -> text with exactly two decimals; a tie goes away from zero."""
+    return F.format_string("%.2f", _decimals(_c(x).cast("double"), 100.0, even=False))
 
 
 def percent2(x) -> Column:
-    return F.format_string("%.2f%%", _c(x) * F.lit(100.0))
+    """Share -> percent text with two decimals; a tie goes to the even digit."""
+    return F.format_string("%.2f%%", _decimals(_c(x).cast("double") * F.lit(100.0), 100.0, even=True))
 
 
 def fixed4(x) -> Column:
-    return F.format_string("%.4f", _c(x))
+    """Number -> text with four decimals; a tie goes to the even digit."""
+    return F.format_string("%.4f", _decimals(_c(x).cast("double"), 10000.0, even=True))
 
 
 def to_count(x) -> Column:
-    """Loose number coercion of a count cell: unparsable/empty/null -> 0."""
-    return F.coalesce(F.expr(f"try_cast({_name(x)} AS BIGINT)"), F.lit(0).cast("bigint"))
+    """Loose number coercion of a count cell: unparsable/empty/null -> 0, fractions kept."""
+    n = F.expr(f"try_cast(trim({_name(x)}) AS DOUBLE)")
+    return F.when(is_number(n), n).otherwise(F.lit(0.0))
 
 
 def _name(x) -> str:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import fixed2
+from tidemark.functions.scalars import fixed2, is_number
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
@@ -41,7 +41,8 @@ def alert_states(
 ) -> DataFrame:
     """Per-row alert state; ``t`` is a numeric time in seconds (bigint)."""
     v = F.col(value)
-    sig = F.when(v < F.lit(low), F.lit("D")).when(v >= F.lit(high), F.lit("R"))
+    # a value that is no number gives no signal (Spark would order NaN above all)
+    sig = F.when(is_number(v) & (v < F.lit(low)), F.lit("D")).when(is_number(v) & (v >= F.lit(high)), F.lit("R"))
     s = df.select(id_col, key, t, value).withColumn("_sig", sig).withColumn(
         "_c", F.floor(F.col(t) / F.lit(int(chunk))).cast("bigint")
     )
@@ -74,7 +75,9 @@ def alert_states(
     summ = summ.withColumn("rec_in", F.lag("_rec_end", 1).over(by_key)).select(key, "_c", "ls_in", "ep_in", "rec_in")
 
     # 4) combine carry-in with the local scan
-    j = s.join(summ, [key, "_c"], "inner")
+    # null-safe: rows without a key are a series of their own, rows without a time its first segment
+    carry = summ.select(F.col(key).alias("_key"), F.col("_c").alias("_chunk"), "ls_in", "ep_in", "rec_in")
+    j = s.join(carry, F.col(key).eqNullSafe(F.col("_key")) & F.col("_c").eqNullSafe(F.col("_chunk")), "left")
     ls = F.coalesce(F.col("_ls"), F.col("ls_in"))
     ep = F.col("ep_in") + F.col("_lep")
     rec = F.when(F.col("_lep") > 0, F.col("_lrec")).otherwise(F.least(F.col("rec_in"), F.col("_lrec")))

@@ -23,13 +23,13 @@ def _ts_lit(since):
     return since
 
 
-def read_since(df: DataFrame, since, until=None, ts: str = TS, month_col: str = "ym") -> DataFrame:
-    """Rows with ``ts > since`` (and ``ts <= until``); adds a month-partition
+def read_since(df: DataFrame, since, until=None, ts: str = TS, month_col: str = "ym", inclusive: bool = False) -> DataFrame:
+    """Rows with ``ts > since`` (``>=`` if ``inclusive``; and ``ts <= until``); adds a month-partition
     predicate ``ym >= yyyymm(since)`` when the table is month-partitioned, so
     whole month directories are pruned at planning time.
     """
     since_c = _ts_lit(since)
-    out = df.filter(F.col(ts) > since_c)
+    out = df.filter(F.col(ts) >= since_c if inclusive else F.col(ts) > since_c)
     if until is not None:
         out = out.filter(F.col(ts) <= _ts_lit(until))
     if month_col in df.columns:
@@ -62,7 +62,7 @@ def points_since(df: DataFrame, since, limit: int = 500, ts: str = TS, value: st
     top-k plus a final merge (``TakeOrderedAndProject``), never a full sort.
     """
     return (
-        df.filter(F.col(ts) > _ts_lit(since))
+        read_since(df, since, ts=ts)
         .select(id_col, ts, value)
         .orderBy(F.col(ts), F.col(id_col))
         .limit(limit)
@@ -77,10 +77,12 @@ def points_page(df: DataFrame, since_ts, since_id=None, limit: int = 500, until=
     """
     t = F.col(ts)
     s = _ts_lit(since_ts)
-    cond = t > s if since_id is None else (t > s) | ((t == s) & (F.col(id_col) > F.lit(since_id)))
-    out = df.filter(cond)
-    if until is not None:
-        out = out.filter(t <= _ts_lit(until))
+    if since_id is None:
+        out = read_since(df, since_ts, until, ts=ts)
+    else:
+        # the conjunct on time alone reaches the scan; the cursor's tie rule is what remains
+        out = read_since(df, since_ts, until, ts=ts, inclusive=True)
+        out = out.filter((t > s) | ((t == s) & (F.col(id_col) > F.lit(since_id))))
     return out.select(id_col, ts, value).orderBy(t, F.col(id_col)).limit(limit)
 
 
@@ -119,7 +121,7 @@ def latest_per_series(df: DataFrame, key: str, value: str, ts: str = TS, id_col:
 def trailing_points(df: DataFrame, as_of, seconds: int = 30, ts: str = TS) -> DataFrame:
     """G1 as-of form: points in ``[as_of - seconds, as_of]``."""
     a = _ts_lit(as_of)
-    return df.filter((F.col(ts) >= a - F.expr(f"INTERVAL {int(seconds)} SECONDS")) & (F.col(ts) <= a))
+    return read_since(df, a - F.expr(f"INTERVAL {int(seconds)} SECONDS"), a, ts=ts, inclusive=True)
 
 
 def trailing_count(df: DataFrame, key: str, seconds: int = 30, ts: str = TS, id_col: str = "id", chunk: int | None = None) -> DataFrame:
@@ -154,39 +156,50 @@ def trailing_count(df: DataFrame, key: str, seconds: int = 30, ts: str = TS, id_
     )
     w = Window.partitionBy(key, F.col("_p.c")).orderBy("_sec").rangeBetween(-s, 0)
     window_counts = placed.withColumn("n_window", F.sum("_n").over(w)).filter(F.col("_p.own")).select(key, "_sec", "n_window")
-    return rows.join(window_counts, [key, "_sec"], "inner").select(id_col, key, ts, F.col("n_window").cast("bigint"))
+    # rows without a key are a group of their own; a row without a time has no window, and null as its count
+    counts = window_counts.select(F.col(key).alias("_key"), F.col("_sec").alias("_s"), "n_window")
+    joined = rows.join(counts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_sec") == F.col("_s")), "left")
+    return joined.select(id_col, key, ts, F.col("n_window").cast("bigint"))
+
+
+def tick_counts(df: DataFrame, tick: str = "second", klass: str = "qoe_class", ts: str = TS) -> DataFrame:
+    """Rows per (tick, class): what the documents carry as ``delta_counts``."""
+    return df.groupBy(F.date_trunc(tick, F.col(ts)).alias("tick"), F.col(klass)).agg(F.count(F.lit(1)).alias("c"))
+
+
+def tick_points(df: DataFrame, tick: str = "second", limit: int = 500, ts: str = TS, value: str = "predicted_qoe", id_col: str = "id") -> DataFrame:
+    """Points of each tick in (time, id) order with their position and page.
+
+    A page has ``limit`` points; a busy tick has as many pages as it needs, so
+    the points of all pages are the rows of the tick.
+    """
+    w = Window.partitionBy("tick").orderBy(F.col(ts), F.col(id_col))
+    pts = df.select(F.date_trunc(tick, F.col(ts)).alias("tick"), ts, id_col, value).withColumn("pos", F.row_number().over(w))
+    return pts.withColumn("page", F.floor((F.col("pos") - 1) / limit).cast("int"))
 
 
-def tick_payload(df: DataFrame, tick: str = "day", limit: int = 500, klass: str = "qoe_class", ts: str = TS, value: str = "predicted_qoe", id_col: str = "id") -> DataFrame:
-    """One document per tick: ``{ts, delta_counts, points}`` as JSON.
+def tick_payload(df: DataFrame, tick: str = "second", limit: int = 500, klass: str = "qoe_class", ts: str = TS, value: str = "predicted_qoe", id_col: str = "id") -> DataFrame:
+    """JSON documents ``{ts, delta_counts, points}`` per tick, ``limit`` points each.
 
-    Points per tick are cut to ``limit`` with a row_number filter, which Spark
-    plans as a window group limit (top-k per map partition before the
-    shuffle), so a busy tick never ships more than limit x partitions rows.
+    The first document of a tick (page 0) has its counts; the points beyond
+    ``limit`` come in follow-up documents with empty counts.
     """
-    t = F.date_trunc(tick, F.col(ts)).alias("tick")
     counts = (
-        df.groupBy(t, F.col(klass))
-        .agg(F.count(F.lit(1)).alias("c"))
+        tick_counts(df, tick, klass, ts)
         .groupBy("tick")
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.col(klass).cast("string"), F.col("c")))).alias("delta_counts"))
+        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(klass).cast("string"), F.col("c"))))).alias("delta_counts"))
+        .withColumn("page", F.lit(0))
     )
-    w = Window.partitionBy("tick").orderBy(F.col(ts), F.col(id_col))
     pts = (
-        df.select(t, ts, id_col, value)
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= limit)
-        .groupBy("tick")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(F.col("_rn"), iso_utc(F.col(ts)).alias("ts"), F.col(value).cast("double").alias("qoe")))
-            ).alias("_pts")
-        )
-        .select("tick", F.transform("_pts", lambda p: F.struct(p["ts"].alias("ts"), p["qoe"].alias("qoe"))).alias("points"))
+        tick_points(df, tick, limit, ts, value, id_col)
+        .groupBy("tick", "page")
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), iso_utc(F.col(ts)).alias("ts"), F.col(value).cast("double").alias("qoe")))).alias("_pts"))
+        .select("tick", "page", F.transform("_pts", lambda p: F.struct(p["ts"].alias("ts"), p["qoe"].alias("qoe"))).alias("points"))
     )
-    doc = counts.join(pts, "tick", "full_outer")
+    doc = counts.join(pts, ["tick", "page"], "full_outer")
     return doc.select(
         iso_utc(F.col("tick")).alias("tick"),
+        "page",
         F.to_json(
             F.struct(
                 iso_utc(F.col("tick")).alias("ts"),
@@ -201,5 +214,5 @@ PAYLOAD_SCHEMA = "ts string, delta_counts map<string,bigint>, points array<struc
 
 
 def decode_payload(payloads: DataFrame, col: str = "payload") -> DataFrame:
-    """JSON tick document back to its struct."""
-    return payloads.select(F.from_json(F.col(col), PAYLOAD_SCHEMA).alias("p")).select("p.*")
+    """JSON tick document back to its page and struct."""
+    return payloads.select("page", F.from_json(F.col(col), PAYLOAD_SCHEMA).alias("p")).select("page", "p.*")

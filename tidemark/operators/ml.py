@@ -57,7 +57,8 @@ def train_test_split(
     holds at most ``rank_rows`` rows; only that range is ranked.
     ``threshold``: key below a fixed cut (one pass, size ~ test_size * n).
     """
-    k = key if key is not None else hash_key(id_col, seed)
+    # total: a row without a key has a place in the order too
+    k = F.coalesce(key, F.lit(-1)) if key is not None else hash_key(id_col, seed)
     keyed = df.withColumn("_split_key", k)
     if mode == "threshold":
         cut = int(test_size * (2**63 - 1)) if key is None else None
@@ -97,9 +98,8 @@ def train_test_split(
     above = F.col("_split_key") > F.lit(hi)
     inside = keyed.filter(~below & ~above)
     ranked = _global_rank(inside, ["_split_key", id_col], span_rows)
-    ids_test = ranked.filter(F.col("_r") <= need).select(id_col)
-    boundary_test = inside.join(ids_test, id_col, "left_semi")
-    boundary_train = inside.join(ids_test, id_col, "left_anti")
+    boundary_test = ranked.filter(F.col("_r") <= need).drop("_r")
+    boundary_train = ranked.filter(F.col("_r") > need).drop("_r")
     test = keyed.filter(below).unionByName(boundary_test).drop("_split_key")
     train = keyed.filter(above).unionByName(boundary_train).drop("_split_key")
     return train, test
@@ -113,9 +113,14 @@ def _global_rank(df: DataFrame, order: list[str], rows: int, rows_per_task: int
     from pyspark.sql import Window
 
     parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task)))
+    from tidemark.session import work_path
+
     cols = [F.col(c) for c in order]
-    # persisted: the range bounds are sampled once, so counts and ranks agree
-    parted = df.repartitionByRange(parts, *cols).withColumn("_p", F.spark_partition_id()).persist()
+    # written: the range bounds are sampled once, so counts and ranks agree, whatever executor is lost
+    path = work_path(df.sparkSession, "ranked")
+    parted = df.repartitionByRange(parts, *cols).withColumn("_p", F.spark_partition_id())
+    parted.write.parquet(path)
+    parted = df.sparkSession.read.schema(parted.schema).parquet(path)
     sizes = sorted((r["_p"], r["n"]) for r in parted.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = [], 0
     for p, n in sizes:
@@ -137,11 +142,14 @@ def balanced_weights(df: DataFrame, y: str, out: str = "w", max_broadcast_classe
     """
     cls = round_class(F.col(y))
     counts = df.groupBy(cls.alias("_cls")).agg(F.count(F.lit(1)).alias("_nc"))
-    k_rows = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_nc").alias("n")).first()
-    k, n = int(k_rows["k"]), int(k_rows["n"] or 0)
-    weights = counts.select("_cls", (F.lit(float(n)) / (F.lit(k) * F.col("_nc"))).alias(out))
-    if k <= max_broadcast_classes:
-        weights = F.broadcast(weights)
+    few = counts.limit(max_broadcast_classes + 1).collect()  # one row per class
+    if len(few) <= max_broadcast_classes:
+        k, n = len(few), sum(r["_nc"] for r in few)
+        rows = [(r["_cls"], n / (k * r["_nc"])) for r in few]
+        weights = F.broadcast(df.sparkSession.createDataFrame(rows, f"_cls int, `{out}` double"))
+    else:
+        total = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_nc").alias("n")).first()
+        weights = counts.select("_cls", (F.lit(float(total["n"])) / (F.lit(total["k"]) * F.col("_nc"))).alias(out))
     return df.withColumn("_cls", cls).join(weights, "_cls", "left").drop("_cls")
 
 
@@ -239,11 +247,13 @@ def node_stats_budget_mb(spark: SparkSession | None = None) -> int:
     return int(min(2048, max(64, heap / 2 / max(1, slots))))
 
 
-def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w", spark: SparkSession | None = None):
+def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w", spark: SparkSession | None = None, label_std: float = 1.0):
     """estimator for a model type; unknown type or parameter -> ValueError.
 
-    Linear models get a population-std scaler stage (like the reference's
-    unweighted scaler); trees see raw features.
+    Linear models get a scaler stage (MLlib's, by the sample standard deviation); trees see
+    raw features. ``label_std`` is the (weighted) standard deviation of the label: MLlib
+    divides the L2 part of an elastic net by it, which the parameters here undo, so that
+    the fit minimises ``alpha * (l1_ratio * |b| + (1 - l1_ratio) / 2 * |b|^2)`` as configured.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler
@@ -264,6 +274,10 @@ def make_model(model_type: str, params: dict | None = None, features_col: str =
         if model_type == "LinearRegression":
             kw.setdefault("regParam", 0.0)
             kw.setdefault("solver", "normal")
+        if model_type == "ElasticNet":
+            a, r = float(kw.get("regParam", 1.0)), float(kw.get("elasticNetParam", 0.5))
+            kw["regParam"] = a * r + a * (1 - r) * label_std
+            kw["elasticNetParam"] = a * r / kw["regParam"] if kw["regParam"] else 0.0
         lin = LinearRegression(featuresCol="_scaled", labelCol=label, standardization=False, **kw)
         if use_w:
             lin.setWeightCol(use_w)
@@ -289,52 +303,57 @@ def prepare_training(df: DataFrame, u: UseCase) -> DataFrame:
     return assemble(weighted, u).withColumn("label", F.col(u.target).cast("double"))
 
 
-def training_parts(rows: int, work_per_row: int, cores: int, rows_per_part: int = 1_000_000, work_per_task: int = 50_000) -> int:
-    """Partitions for a fit: enough that no partition holds more than
-    ``rows_per_part`` rows, and, up to the cluster's cores, one per
-    ``work_per_task`` row-trees of work per pass (a forest bags every row
-    into each tree; boosting and linear models see each row once). Small,
-    light fits stay on few tasks, where per-task overhead would dominate."""
-    floor_parts = -(-rows // rows_per_part)
-    want = -(-rows * max(1, work_per_row) // work_per_task)
-    return int(max(1, floor_parts, min(cores, want)))
+def training_parts(rows: int, rows_per_part: int = 20_000) -> int:
+    """Partitions for a fit: a constant number of rows each, whatever the cluster.
 
+    MLlib bags and samples per partition, so a model depends on the partitioning;
+    this one depends on the data alone."""
+    return int(max(1, -(-rows // rows_per_part)))
 
-def _work_per_row(model_type: str, params: dict | None) -> int:
-    if model_type == "RandomForestRegressor":
-        return int((params or {}).get("n_estimators", 20))
-    return 1
 
+def training_rows(train: DataFrame, u: UseCase, id_col: str = "id") -> DataFrame:
+    """Features, label and weight, dealt by a hash of the row and sorted inside partitions: the same
+    rows give the same partitions on any cluster."""
+    keys = [c for c in (id_col, *u.features, u.target) if c in train.columns]
+    rows = prepare_training(train, u).withColumn("_k", F.xxhash64(*keys))
+    parts = training_parts(train.count())
+    return rows.repartition(parts, "_k").sortWithinPartitions("_k", *keys).select("features", "label", "w")
 
-def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS):
-    """fit each configured model; a failure is reported, not raised.
 
-    The training frame (features, label, weight) is cached once, partitioned
-    for the heaviest model; lighter models read it through a no-shuffle
-    ``coalesce`` to their own partition count (``training_parts``).
+def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int = 4):
+    """fit each configured model; a failure is reported, not raised, unless no model fits.
+
+    The training frame (features, label, weight) is cached once and the models are
+    fitted on it side by side.
 
     Returns ({name: fitted model}, report DataFrame(dataset, model, status, error)).
     """
+    from multiprocessing.pool import ThreadPool
+
     spark = train.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    rows = train.count()
-    work = {name: _work_per_row(mtype, params) for name, mtype, params in models}
-    parts = training_parts(rows, max(work.values(), default=1), cores)
-    data = prepare_training(train, u).select("features", "label", "w").repartition(parts).cache()
-    fitted, report = {}, []
+    train = train.cache()
+    data = training_rows(train, u).cache()
     try:
-        for name, mtype, params in models:
+        mean = data.agg((F.sum(F.col("w") * F.col("label")) / F.sum("w")).alias("m")).first()["m"]
+        std = data.agg(F.sqrt(F.sum(F.col("w") * (F.col("label") - F.lit(mean)) ** 2) / F.sum("w")).alias("s")).first()["s"] if mean is not None else None
+
+        def fit(model):
+            name, mtype, params = model
             try:
-                est = make_model(mtype, params, spark=spark)
-                p = training_parts(rows, work[name], cores)
-                fitted[name] = est.fit(data.coalesce(p) if p < parts else data)
-                report.append((u.name, name, "ok", None))
-            except Exception as e:  # reported per model, like the reference
-                report.append((u.name, name, "failed", str(e)[:500]))
+                return name, make_model(mtype, params, spark=spark, label_std=std or 1.0).fit(data), None
+            except Exception as e:  # reported per model
+                return name, None, str(e)
+
+        with ThreadPool(max(1, min(parallel, len(models)))) as pool:
+            done = pool.map(fit, models, chunksize=1)
     finally:
         data.unpersist()
-    rep = spark.createDataFrame(report, "dataset string, model string, status string, error string")
-    return fitted, rep
+        train.unpersist()
+    fitted = {name: m for name, m, _ in done if m is not None}
+    if models and not fitted:
+        raise RuntimeError("no model could be fitted: " + "; ".join(f"{name}: {e}" for name, _, e in done))
+    report = [(u.name, name, "ok" if m is not None else "failed", e) for name, m, e in done]
+    return fitted, spark.createDataFrame(report, "dataset string, model string, status string, error string")
 
 
 # ----------------------------------------------------------------- metrics
@@ -354,6 +373,21 @@ def metrics(df: DataFrame, y: str, p: str, u: UseCase) -> DataFrame:
     return agg.select("mae", "rmse", (F.lit(1.0) - F.col("_sse") / F.col("_sst")).alias("r2"), "class_accuracy")
 
 
+def metrics_of(df: DataFrame, y: str, predictions: dict[str, Column], u: UseCase) -> DataFrame:
+    """``metrics`` of several prediction columns in one aggregate: one row (model, mae, ...) for each."""
+    aggs = []
+    for i, p in enumerate(predictions.values()):
+        err = F.col(y) - p
+        same = (classify(F.col(y), u) == classify(p, u)).cast("double")
+        aggs += [F.avg(F.abs(err)).alias(f"a{i}"), F.avg(err * err).alias(f"q{i}"), F.sum(err * err).alias(f"s{i}"), F.avg(same).alias(f"c{i}")]
+    one = df.agg((F.count(F.lit(1)) * F.var_pop(F.col(y))).alias("t"), *aggs)
+    rows = [
+        F.struct(F.lit(name).alias("model"), F.col(f"a{i}").alias("mae"), F.sqrt(f"q{i}").alias("rmse"), (F.lit(1.0) - F.col(f"s{i}") / F.col("t")).alias("r2"), F.col(f"c{i}").alias("class_accuracy"))
+        for i, name in enumerate(predictions)
+    ]
+    return one.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+
+
 def evaluate(model, test: DataFrame, u: UseCase, name: str) -> DataFrame:
     """metrics of one model on the test rows."""
     from tidemark.operators.scoring import raw_score
@@ -374,6 +408,7 @@ def leaderboard(results: DataFrame) -> DataFrame:
 
 
 def evaluate_all(fitted: dict, test: DataFrame, u: UseCase) -> DataFrame:
+    owned = not test.is_cached
     test = test.cache()
     try:
         rows = []
@@ -385,7 +420,8 @@ def evaluate_all(fitted: dict, test: DataFrame, u: UseCase) -> DataFrame:
 
                 print(f"evaluation of {u.name}/{name} failed: {e}", file=sys.stderr)
     finally:
-        test.unpersist()
+        if owned:
+            test.unpersist()
     spark = test.sparkSession
     schema = "dataset string, model string, mae double, rmse double, r2 double, class_accuracy double"
     return leaderboard(spark.createDataFrame([tuple(r) for r in rows], schema))
@@ -411,15 +447,10 @@ def save_model(model, root: str, dataset: str, name: str) -> str:
 
 def load_model(path: str):
     """Load any saved MLlib model / pipeline model."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+    from pyspark.ml.util import DefaultParamsReader
+    from pyspark.sql import SparkSession as S
 
-    for cls in (PipelineModel, RandomForestRegressionModel, GBTRegressionModel):
-        try:
-            return cls.load(path)
-        except Exception:
-            continue
-    raise ValueError(f"no model at {path}")
+    return DefaultParamsReader.loadParamsInstance(path, S.getActiveSession())
 
 
 def select_candidates(registry: DataFrame, dataset: str) -> DataFrame:
@@ -442,7 +473,3 @@ def promote_best(board: DataFrame, fitted: dict, root: str, dataset: str) -> Dat
     spark = board.sparkSession
     return spark.createDataFrame(reg, "dataset string, model string, rmse double, promoted boolean, kind string, path string")
 
-
-def read_training_csv(spark: SparkSession, path: str, u: UseCase, header: bool = True) -> DataFrame:
-    """A5: training CSV with a declared schema (no inference)."""
-    return spark.read.schema(u.training_schema).option("header", header).csv(path)

@@ -21,7 +21,8 @@ from tidemark.functions.scalars import (
 from tidemark.operators import alerts as AL
 from tidemark.operators import dashboard as DB
 from tidemark.operators import ml as ML
-from tidemark.operators.quality import cast_double, project_kpi, quarantine, validate
+from tidemark.functions import scalars as SC
+from tidemark.operators.quality import cast_double, features_target, project_kpi, quarantine, skip_empty, validate
 from tidemark.plans.views import PAGE_SINCE_ID, SINCE, scored_view, ts_out
 from tidemark.sources.fixtures import alert_series, kpi_view, training_frame
 from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
@@ -83,30 +84,32 @@ def cumulative_class_counts(spark, sf_dir):
 
 
 def delta_since(spark, sf_dir):
-    delta = DB.read_since(scored_view(spark, sf_dir, CLOUD_GAMING), SINCE)
+    delta = DB.read_since(scored_view(spark, sf_dir, CLOUD_GAMING, since=SINCE), SINCE)
     c = DB.class_counts(delta)
     return c.select("qoe_class", "c", ts_text(F.col("max_ts")).alias("max_ts"), "class_rank")
 
 
 def next_cursor(spark, sf_dir):
-    delta = DB.read_since(scored_view(spark, sf_dir, CLOUD_GAMING), SINCE)
+    delta = DB.read_since(scored_view(spark, sf_dir, CLOUD_GAMING, since=SINCE), SINCE)
     return DB.next_cursor(DB.class_counts(delta), SINCE).select(ts_text(F.col("cursor")).alias("cursor"))
 
 
 def points_since(spark, sf_dir):
-    return DB.chart_points(DB.points_since(scored_view(spark, sf_dir, CLOUD_GAMING), SINCE, limit=CLOUD_GAMING.point_limit))
+    return DB.chart_points(DB.points_since(scored_view(spark, sf_dir, CLOUD_GAMING, since=SINCE), SINCE, limit=CLOUD_GAMING.point_limit))
 
 
 def points_paged(spark, sf_dir):
-    page = DB.points_page(scored_view(spark, sf_dir, VIDEO_STREAMING), SINCE, PAGE_SINCE_ID, limit=VIDEO_STREAMING.point_limit)
+    page = DB.points_page(scored_view(spark, sf_dir, VIDEO_STREAMING, since=SINCE), SINCE, PAGE_SINCE_ID, limit=VIDEO_STREAMING.point_limit)
     return DB.chart_points(page)
 
 
 def trailing_points(spark, sf_dir):
     """Points of the last 30 s before the newest row (the dashboard's 'now')."""
-    scored = scored_view(spark, sf_dir, CLOUD_GAMING)
-    as_of = scored.agg(F.max("ingestion_timestamp")).scalar()
-    return DB.chart_points(DB.trailing_points(scored, as_of, CLOUD_GAMING.window_seconds))
+    seconds = CLOUD_GAMING.window_seconds
+    newest = scored_view(spark, sf_dir, CLOUD_GAMING).agg(F.max("ingestion_timestamp").alias("m"))
+    first = newest.select((F.col("m") - F.expr(f"INTERVAL {seconds} SECONDS")).alias("since"), "m").first()
+    scored = scored_view(spark, sf_dir, CLOUD_GAMING, since=first["since"])
+    return DB.chart_points(DB.trailing_points(scored, first["m"], seconds))
 
 
 def trailing_count(spark, sf_dir):
@@ -150,19 +153,53 @@ def alert_messages(spark, sf_dir):
 
 
 def tick_payload(spark, sf_dir):
-    return DB.tick_payload(scored_view(spark, sf_dir, CLOUD_GAMING), tick="day", limit=CLOUD_GAMING.point_limit)
+    """One-second ticks, as the dashboard polls."""
+    return DB.tick_payload(scored_view(spark, sf_dir, CLOUD_GAMING), limit=CLOUD_GAMING.point_limit)
 
 
 def tick_points(spark, sf_dir):
+    """The points of all documents of a tick, decoded: every row of the table."""
+    limit = CLOUD_GAMING.point_limit
     doc = DB.decode_payload(tick_payload(spark, sf_dir))
-    return doc.select(F.col("ts").alias("tick"), F.posexplode("points").alias("pos", "p")).select(
-        "tick", (F.col("pos") + 1).alias("pos"), F.col("p.ts").alias("ts"), F.col("p.qoe").alias("qoe")
+    return doc.select("page", F.col("ts").alias("tick"), F.posexplode("points").alias("pos", "p")).select(
+        "tick", (F.col("page") * limit + F.col("pos") + 1).alias("pos"), F.col("p.ts").alias("ts"), F.col("p.qoe").alias("qoe")
     )
 
 
+def day_points(spark, sf_dir):
+    """Day ticks, whose points fill many pages: still every row."""
+    limit = CLOUD_GAMING.point_limit
+    doc = DB.decode_payload(DB.tick_payload(scored_view(spark, sf_dir, CLOUD_GAMING), tick="day", limit=limit))
+    return doc.select(F.col("ts").alias("tick"), "page", F.size("points").alias("points"), F.size("delta_counts").alias("classes"))
+
+
 def tick_counts(spark, sf_dir):
-    doc = DB.decode_payload(tick_payload(spark, sf_dir))
-    return doc.select(F.col("ts").alias("tick"), F.explode("delta_counts").alias("qoe_class", "c"))
+    c = DB.tick_counts(scored_view(spark, sf_dir, CLOUD_GAMING))
+    return c.select(iso_utc(F.col("tick")).alias("tick"), "qoe_class", "c")
+
+
+def text_forms(spark, sf_dir):
+    """Number and time texts of each record, ties, fractions and odd cells included."""
+    odd = F.element_at(F.array(*[F.lit(x) for x in ("3.7", "12", "", "abc", " 8 ")]), (F.col("id") % 5 + 1).cast("int"))
+    tie = F.element_at(F.array(*[F.lit(x) for x in (2.675, 1.005, 0.125, 4.0, -2.675)]), (F.col("id") % 5 + 1).cast("int"))
+    v = scored_view(spark, sf_dir, CLOUD_GAMING).withColumn("cell", odd).withColumn("x", tie)
+    return v.select(
+        "id",
+        SC.fixed2("x").alias("fixed2"),
+        SC.to_count("cell").alias("count"),
+        SC.clock_label("ingestion_timestamp").alias("clock"),
+        SC.ts_text(SC.parse_ts(SC.iso_utc("ingestion_timestamp"))).alias("parsed"),
+        SC.percent2(F.col("CPU_usage") / 128.0).alias("percent"),
+        SC.fixed4(F.col("Jitter_ms") / 64.0).alias("fixed4"),
+    )
+
+
+def feature_target(spark, sf_dir):
+    """Features and target of the training rows, behind the guard for an empty batch."""
+    u = VIDEO_STREAMING
+    rows = training_frame(spark, sf_dir, u)
+    out = features_target(rows, u)
+    return out.limit(0) if skip_empty(rows) else out
 
 
 # ------------------------------------------------------------- F: ML data
@@ -221,13 +258,9 @@ def leaderboard(spark, sf_dir):
     rows = []
     for u in (CLOUD_GAMING, VIDEO_STREAMING):
         preds = _fixed_predictions(spark, sf_dir, u)
-        for name, col in _candidates(preds).items():
-            m = ML.metrics(preds.withColumn("_q", col), u.target, "_q", u)
-            rows.append(m.select(F.lit(u.name).alias("dataset"), F.lit(name).alias("model"), *[F.round(c, ROUND).alias(c) for c in m.columns]))
-    allm = rows[0]
-    for r in rows[1:]:
-        allm = allm.unionByName(r)
-    return ML.leaderboard(allm)
+        m = ML.metrics_of(preds, u.target, _candidates(preds), u)
+        rows.append(m.select(F.lit(u.name).alias("dataset"), "model", *[F.round(c, ROUND).alias(c) for c in m.columns if c != "model"]))
+    return ML.leaderboard(rows[0].unionByName(rows[1]))
 
 
 # --------------------------------------------------------------- registry
@@ -255,7 +288,10 @@ def batch_queries() -> dict[str, Query]:
         alert_messages=alert_messages,
         tick_payload=tick_payload,
         tick_points=tick_points,
+        day_points=day_points,
         tick_counts=tick_counts,
+        text_forms=text_forms,
+        feature_target=feature_target,
         train_test_split=train_test_split,
         split_sizes=split_sizes,
         balanced_weights=balanced_weights,

@@ -18,7 +18,7 @@ from tidemark.plans.views import SINCE, scored_view, ts_out
 from tidemark.session import work_path
 from tidemark.sinks.tables import raw_columns, to_headerless_csv, with_defaults, write_monthly
 from tidemark.sources.fixtures import alert_series, alert_sql, kpi_sql, kpi_view, training_frame
-from tidemark.sources.framing import decode_avro, encode_avro, flatten, schema_id
+from tidemark.sources.framing import decode_avro, encode_avro, flatten, frame, schema_id, strip_frame
 from tidemark.sources.tables import TOPIC_SCHEMA, kpi_stream, read_predictions, read_training_csv
 from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
 from tidemark.streaming import stateful as ST
@@ -72,6 +72,27 @@ def insert_defaults(spark, sf_dir):
     )
 
 
+def insert_facts(spark, sf_dir):
+    """B5 + J13/J14 as facts: one id for each record, all of the uuid form, one time stamp, and that a recent one."""
+    full = with_defaults(kpi_view(spark, sf_dir, CLOUD_GAMING).drop("id", "ingestion_timestamp"), raw_columns(CLOUD_GAMING))
+    uuid = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("processing_time")
+    return full.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("id").alias("ids"),
+        F.bool_and(F.col("id").rlike(uuid)).alias("all_uuid"),
+        F.count_distinct("processing_time", "ingestion_timestamp").alias("times"),
+        F.bool_and(age.between(0, 3600) & (F.col("processing_time") == F.date_trunc("second", "processing_time"))).alias("recent"),
+    )
+
+
+def frame_strip(spark, sf_dir):
+    """A2 as an expression: frame a body, read its schema id, strip the frame."""
+    body = F.col("id").cast("string").cast("binary")
+    framed = kpi_view(spark, sf_dir, CLOUD_GAMING).select("id", frame(body, SID).alias("value"))
+    return framed.select("id", F.hex(F.substring("value", 1, 5)).alias("header"), schema_id("value").alias("schema_id"), strip_frame("value").cast("string").alias("body"))
+
+
 # ------------------------------------------------------------------ Avro
 
 
@@ -215,6 +236,37 @@ def q_train(model_name: str, u: UseCase = CLOUD_GAMING):
     return run
 
 
+def linear_facts(spark, sf_dir):
+    """F4, F5 as facts: the fitted linear models meet the optimality conditions of the configured objectives.
+
+    With the weighted residual r and the scaled feature z, the gradient sum(w r z) / sum(w) is 0 for each
+    feature of the regression; for the elastic net it is alpha (l1 sign(b) + (1 - l1) b) where the
+    coefficient b is not 0, and at most alpha l1 where it is; and the mean residual is 0.
+    """
+    u = CLOUD_GAMING
+    train, _ = ML.train_test_split(training_frame(spark, sf_dir, u), seed=u.seed, test_size=u.test_size)
+    models = [m for m in ML.DEFAULT_MODELS if m[0] in ("linreg", "elasticnet")]
+    fitted, _ = ML.fit_all(train, u, models)
+    rows = ML.balanced_weights(train, u.target, out="w").withColumn("y", F.col(u.target))
+    out = []
+    for name, mtype, params in models:
+        scaler, lin = fitted[name].stages
+        z = [(F.col(f).cast("double") - F.lit(float(m))) / F.lit(float(s)) for f, m, s in zip(u.features, scaler.mean, scaler.std)]
+        r = F.col("y") - F.lit(float(lin.intercept)) - sum(F.lit(float(b)) * x for b, x in zip(lin.coefficients, z))
+        means = [F.sum(F.col("w") * r * x) / F.sum("w") for x in [F.lit(1.0), *z]]
+        grad = rows.agg(*[m.alias(f"g{i}") for i, m in enumerate(means)]).first()
+        alpha, l1 = (params.get("alpha", 0.0), params.get("l1_ratio", 0.0))
+        for i, (f, b) in enumerate(zip(("intercept", *u.features), (0.0, *lin.coefficients))):
+            if f == "intercept" or mtype == "LinearRegression":
+                ok = abs(grad[i]) < 1e-4
+            elif b:
+                ok = abs(grad[i] - alpha * (l1 * (1 if b > 0 else -1) + (1 - l1) * b)) < 1e-3
+            else:
+                ok = abs(grad[i]) <= alpha * l1 + 1e-3
+            out.append((u.name, name, f, bool(ok)))
+    return spark.createDataFrame(out, "dataset string, model string, feature string, optimal boolean")
+
+
 def best_model_scores(spark, sf_dir):
     """Train all configured models, promote the lowest
     RMSE, load the promoted artifact and score the KPI records with it."""
@@ -222,6 +274,7 @@ def best_model_scores(spark, sf_dir):
     root = work_path(spark, "models")
     df = training_frame(spark, sf_dir, u)
     train, test = ML.train_test_split(df, seed=u.seed, test_size=u.test_size)
+    train, test = train.cache(), test.cache()
     fitted, _ = ML.fit_all(train, u)
     for name, model in fitted.items():
         ML.save_model(model, root, u.name, name)
@@ -241,6 +294,8 @@ def io_queries() -> dict:
         "csv_roundtrip": csv_roundtrip,
         "headerless_csv": headerless_csv,
         "insert_defaults": insert_defaults,
+        "insert_facts": insert_facts,
+        "frame_strip": frame_strip,
         "avro_roundtrip_cloud": q_avro_roundtrip(CLOUD_GAMING),
         "avro_roundtrip_video": q_avro_roundtrip(VIDEO_STREAMING),
         "stream_raw": stream_raw,
@@ -249,6 +304,7 @@ def io_queries() -> dict:
         "stream_trailing": stream_trailing,
         "stream_alerts": stream_alerts,
         "train_linreg": q_train("linreg"),
+        "linear_facts": linear_facts,
         "train_elasticnet": q_train("elasticnet"),
         "train_rf": q_train("random_forest"),
         "train_gbt": q_train("gradient_boosting"),
@@ -269,6 +325,11 @@ def io_oracle() -> dict[str, str]:
         ),
         "csv_roundtrip": f"SELECT {feats_v}, {vs.target} FROM {O.training(vs)} t",
         "headerless_csv": f"SELECT id, {feats_c}, predicted_qoe, qoe_class FROM {O.scored(cg)} p",
+        "insert_facts": "SELECT count(*) AS n, count(*) AS ids, TRUE AS all_uuid, CAST(1 AS BIGINT) AS times, TRUE AS recent FROM events",
+        "frame_strip": "SELECT event_id AS id, '0000000001' AS header, 1 AS schema_id, CAST(event_id AS VARCHAR) AS body FROM events",
+        "linear_facts": " UNION ALL ".join(
+            f"SELECT '{cg.name}' AS dataset, '{m}' AS model, '{f}' AS feature, TRUE AS optimal" for m in ("linreg", "elasticnet") for f in ("intercept", *cg.features)
+        ),
         "avro_roundtrip_cloud": _avro_oracle(cg),
         "avro_roundtrip_video": _avro_oracle(vs),
         "stream_raw": (

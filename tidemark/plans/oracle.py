@@ -179,9 +179,31 @@ def _leaderboard() -> str:
     )
 
 
-def _ticks() -> str:
+def _ticks(unit: str = "second") -> str:
     u = CLOUD_GAMING
-    return f"(SELECT *, date_trunc('day', ingestion_timestamp) AS tick FROM {scored(u)} p)"
+    return f"(SELECT *, date_trunc('{unit}', ingestion_timestamp) AS tick FROM {scored(u)} p)"
+
+
+def _tick_payload() -> str:
+    """The document texts, built as text."""
+    point = f"""'{{"ts":"' || {iso('ingestion_timestamp')} || '","qoe":' || CAST(predicted_qoe AS VARCHAR) || '}}'"""
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY tick ORDER BY ingestion_timestamp, id) AS pos FROM {_ticks()} t),
+p AS (SELECT tick, CAST((pos - 1) // 500 AS INTEGER) AS page, string_agg({point}, ',' ORDER BY pos) AS points FROM r GROUP BY 1, 2),
+k AS (SELECT tick, qoe_class, count(*) AS c FROM {_ticks()} t GROUP BY 1, 2),
+d AS (SELECT tick, string_agg('"' || qoe_class || '":' || c, ',' ORDER BY qoe_class) AS counts FROM k GROUP BY 1)
+SELECT {iso('p.tick')} AS tick, page, '{{"ts":"' || {iso('p.tick')} || '","delta_counts":{{' || CASE WHEN page = 0 THEN counts ELSE '' END
+  || '}},"points":[' || points || ']}}' AS payload FROM p JOIN d ON p.tick = d.tick"""
+
+
+def _text_forms() -> str:
+    # what a browser's toFixed(2) and number coercion give for the five probes, written out
+    return f"""
+SELECT id, CASE id % 5 WHEN 0 THEN '2.67' WHEN 1 THEN '1.00' WHEN 2 THEN '0.13' WHEN 3 THEN '4.00' ELSE '-2.67' END AS fixed2,
+  CAST(CASE id % 5 WHEN 0 THEN 3.7 WHEN 1 THEN 12 WHEN 4 THEN 8 ELSE 0 END AS DOUBLE) AS "count",
+  strftime(ingestion_timestamp, '%H:%M:%S') AS clock, {ts_text('ingestion_timestamp')} AS parsed,
+  printf('%.2f%%', CPU_usage / 128.0::DOUBLE * 100) AS percent, printf('%.4f', Jitter_ms / 64.0::DOUBLE) AS fixed4
+FROM {scored(CLOUD_GAMING)} p"""
 
 
 def batch_oracle() -> dict[str, str]:
@@ -230,9 +252,16 @@ def batch_oracle() -> dict[str, str]:
     q["alert_messages"] = _alert_messages()
     q["tick_points"] = (
         f"SELECT {iso('tick')} AS tick, pos, {iso('ingestion_timestamp')} AS ts, predicted_qoe AS qoe FROM "
-        f"(SELECT *, row_number() OVER (PARTITION BY tick ORDER BY ingestion_timestamp, id) AS pos FROM {_ticks()} t) r "
-        f"WHERE pos <= {cg.point_limit}"
+        f"(SELECT *, row_number() OVER (PARTITION BY tick ORDER BY ingestion_timestamp, id) AS pos FROM {_ticks()} t) r"
+    )
+    q["tick_payload"] = _tick_payload()
+    q["day_points"] = (
+        f"SELECT {iso('tick')} AS tick, page, CAST(count(*) AS INTEGER) AS points, CAST(CASE WHEN page = 0 THEN any_value(n) ELSE 0 END AS INTEGER) AS classes "
+        f"FROM (SELECT r.tick, n, CAST((row_number() OVER (PARTITION BY r.tick ORDER BY ingestion_timestamp, id) - 1) // 500 AS INTEGER) AS page "
+        f"FROM {_ticks('day')} r JOIN (SELECT tick, count(DISTINCT qoe_class) AS n FROM {_ticks('day')} t GROUP BY tick) c ON r.tick = c.tick) x GROUP BY tick, page"
     )
+    q["text_forms"] = _text_forms()
+    q["feature_target"] = f"SELECT {', '.join(vs.features)}, {vs.target} FROM {training(vs)} t"
     q["tick_counts"] = f"SELECT {iso('tick')} AS tick, qoe_class, count(*) AS c FROM {_ticks()} t GROUP BY tick, qoe_class"
     q["train_test_split"] = (
         "SELECT id, CASE WHEN row_number() OVER (ORDER BY k, id) <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split "

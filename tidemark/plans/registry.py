@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans.catalog import batch_queries
+from tidemark.plans.io_catalog import io_oracle, io_queries
 from tidemark.plans.oracle import batch_oracle
 from tidemark.session import configure
 
@@ -17,22 +18,8 @@ def _configured(fn):
 
 
 def all_queries() -> dict:
-    q = dict(batch_queries())
-    try:
-        from tidemark.plans.io_catalog import io_queries
-
-        q.update(io_queries())
-    except ImportError:
-        pass
-    return {k: _configured(v) for k, v in q.items()}
+    return {k: _configured(v) for k, v in {**batch_queries(), **io_queries()}.items()}
 
 
 def all_oracle() -> dict[str, str]:
-    o = dict(batch_oracle())
-    try:
-        from tidemark.plans.io_catalog import io_oracle
-
-        o.update(io_oracle())
-    except ImportError:
-        pass
-    return o
+    return {**batch_oracle(), **io_oracle()}

@@ -14,10 +14,13 @@ SINCE = "2024-01-15 00:00:00"
 PAGE_SINCE_ID = 0
 
 
-def scored_view(spark: SparkSession, sf_dir: str, u: UseCase, keyed: bool = False) -> DataFrame:
+def scored_view(spark: SparkSession, sf_dir: str, u: UseCase, keyed: bool = False, since=None) -> DataFrame:
     """The predictions table of a use case: KPI records scored by the fixture
-    scorer (features, predicted_qoe, qoe_class, ingestion_timestamp)."""
-    return score(kpi_view(spark, sf_dir, u, keyed=keyed), u, fixed_scorer(u))
+    scorer (features, predicted_qoe, qoe_class, ingestion_timestamp).
+
+    ``since``: a lower bound of the time that the reader will ask for; it is
+    put on the raw time of ``events`` (never below its second), where the scan can use it."""
+    return score(kpi_view(spark, sf_dir, u, keyed=keyed, since=since), u, fixed_scorer(u))
 
 
 def ts_out(df: DataFrame, col: str = "ingestion_timestamp", name: str = "ingestion_time") -> DataFrame:

@@ -11,6 +11,7 @@ overflows BIGINT, whatever the row count.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
 
@@ -88,9 +89,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kpi_view(spark: SparkSession, sf_dir: str, u: UseCase, dirty: bool = False, keyed: bool = False) -> DataFrame:
-    """The KPI records of one use case, as a DataFrame over ``events``."""
-    return kpi_frame(read_table(spark, sf_dir, "events"), u, dirty, keyed)
+def kpi_view(spark: SparkSession, sf_dir: str, u: UseCase, dirty: bool = False, keyed: bool = False, since=None) -> DataFrame:
+    """The KPI records of one use case, as a DataFrame over ``events`` (those not before ``since``)."""
+    events = read_table(spark, sf_dir, "events")
+    if since is not None:
+        events = events.filter(F.col("ts") >= F.lit(since).cast(events.schema["ts"].dataType))
+    return kpi_frame(events, u, dirty, keyed)
 
 
 def kpi_frame(events: DataFrame, u: UseCase, dirty: bool = False, keyed: bool = False) -> DataFrame:
