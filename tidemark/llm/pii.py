@@ -151,7 +151,7 @@ def segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, b
         c = text[a]
         if not (c.isascii() and (c.isalnum() or c in "+(")) or (a and text[a - 1].isalnum()):
             continue
-        digits = letters = ats = 0
+        digits = letters = ats = dots = 0
         for j in range(i, min(len(tokens), i + MAX_TOKENS)):
             x, y = tokens[j]
             t = text[x:y]
@@ -162,8 +162,11 @@ def segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, b
             elif t[0].isalpha():
                 letters += 1
                 ats += t.lower() == "at"
+                dots += ats > 0 and t.lower() == "dot"
             elif t == "@":
                 ats += 1
+            elif t == ".":
+                dots += ats > 0
             elif t not in " .-/()+[]_%":
                 break
             if letters and not ats and text.count(" ", a, x) and digits == 0:
@@ -172,7 +175,8 @@ def segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, b
             if ats > 1:
                 break
             if (text[y - 1].isalnum() or text[y - 1] == ")") and not text[y : y + 1].isalnum():
-                if letters and ats == 1 and y - a >= 6 and digits + ats and text.count(" ", a, y) <= 6:
+                # an address has a dot after its at sign, and ends with a word after the dot
+                if letters and ats == 1 and dots and t[0].isalpha() and t.lower() not in ("at", "dot") and y - a >= 6 and text.count(" ", a, y) <= 6:
                     out.append((i, j + 1, True))
                 elif not letters and not ats and 7 <= digits <= 19:
                     out.append((i, j + 1, False))
@@ -380,7 +384,9 @@ def without_personal_data(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     found = find(rows, learn(rows))
     clean = F.when(F.size("base") + F.size("added") > 0, redacted(text, F.concat("base", "added"))).otherwise(text)
-    new = {"text": clean, **({"n_chars": F.char_length(clean).cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {})}
+    # a column of its own: in one select, ``text`` inside a lambda would mean the new one
+    found = found.select("row", clean.alias("clean"))
+    new = {"text": F.col("clean"), **({"n_chars": F.char_length("clean").cast(docs.schema["n_chars"].dataType)} if "n_chars" in rest else {})}
     return found.select(*[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
 
 
@@ -389,9 +395,13 @@ def _joined(spans):
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _is_kind(i: int):
+    return lambda x: x["kind"] == i
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find(docs, learn(docs))
-    counts = [F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    counts = [F.size(F.filter("base", _is_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
