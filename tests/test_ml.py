@@ -51,10 +51,10 @@ def test_split_with_a_hot_key(spark):
 
 
 def test_training_parts():
-    # a constant number of rows each, whatever the cluster: a bagged model depends on the partitions
-    assert ML.training_parts(8_000) == 1
-    assert ML.training_parts(50_000) == 3
-    assert ML.training_parts(10**10) == 500_000
+    # by the number of rows, whatever the cluster: a bagged model depends on the partitions
+    assert ML.training_parts(8_000) == 8
+    assert ML.training_parts(500_000) == 64
+    assert ML.training_parts(10**10) == 10_000
     assert ML.training_parts(0) == 1
 
 

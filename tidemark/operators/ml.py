@@ -303,12 +303,12 @@ def prepare_training(df: DataFrame, u: UseCase) -> DataFrame:
     return assemble(weighted, u).withColumn("label", F.col(u.target).cast("double"))
 
 
-def training_parts(rows: int, rows_per_part: int = 20_000) -> int:
-    """Partitions for a fit: a constant number of rows each, whatever the cluster.
+def training_parts(rows: int, least: int = 1_000, most: int = 1_000_000, some: int = 64) -> int:
+    """Partitions for a fit: of ``least`` rows up to ``some`` of them, then of at most ``most`` rows.
 
     MLlib bags and samples per partition, so a model depends on the partitioning;
-    this one depends on the data alone."""
-    return int(max(1, -(-rows // rows_per_part)))
+    this one depends on the number of rows alone, not on the cluster."""
+    return int(max(1, min(some, -(-rows // least)), -(-rows // most)))
 
 
 def training_rows(train: DataFrame, u: UseCase, id_col: str = "id") -> DataFrame:

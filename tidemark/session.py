@@ -95,6 +95,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         return root
     app = spark.sparkContext.applicationId
+    master = spark.sparkContext.master or ""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if app not in _LOCAL_ROOT:
         _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(_LOCAL_ROOT[app])
@@ -111,7 +114,3 @@ def work_path(spark: SparkSession, name: str) -> str:
 def local_dir(path: str) -> str:
     """Strip a ``file:`` scheme for local-filesystem checks in tests."""
     return path[5:] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_dir(path))
