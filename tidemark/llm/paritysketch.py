@@ -10,8 +10,7 @@ distance of two sketches is at most the size D of the symmetric difference. A
 linked pair of sizes a and b has D <= (100 - percent) (a + b) / (100 + percent). So
 of the blocks of the pair's size band at most D differ (pigeonhole): under
 any one order of keys, the first D + 1 keys of both documents have one in
-common. The order puts keys with many shingles first, and keys that very many
-documents share last. Bands are octaves of the set size; a document whose
+common. The order puts keys with many shingles first, which few documents share. Bands are octaves of the set size; a document whose
 partners may lie in the next octave has keys there as well.
 
 Pairs. Equal word sequences are one class beforehand. In each bucket of a key
@@ -80,7 +79,7 @@ def _blocks(top: int, percent: int) -> int:
     return int(top * 2 * (100 - percent) / (100 + percent) * 1.35) + 2
 
 
-def prefix_keys(s: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
+def prefix_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """Keys under which a set is to be found by all sets that link with it."""
     n = len(s)
     if not n:
@@ -104,8 +103,7 @@ def prefix_keys(s: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
             none = np.setdiff1d(np.arange(b, dtype=np.uint64), at[first])
             key = np.concatenate((key, _mix(_mix(none + own))))
             size = np.concatenate((size, np.zeros(len(none), size.dtype)))
-        late = np.isin(key, common, assume_unique=False) if len(common) else np.zeros(len(key), bool)
-        out.append(key[np.lexsort((key, -size, late))[: differ + 1]])
+        out.append(key[np.lexsort((key, -size))[: differ + 1]])
     return np.concatenate(out)
 
 
@@ -126,17 +124,16 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long")
 
 
-def _keys(docs: DataFrame, width: int, percent: int, common) -> DataFrame:
+def _keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(key, doc_id, n) for every prefix key; a document without shingles has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = common.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             key, doc, size, held = [], [], [], 0
             for i, text in zip(ids, batch.column("text"), strict=True):
                 s = shingles(words_of(text.as_py()), width)
-                k = prefix_keys(s, percent, often)
+                k = prefix_keys(s, percent)
                 key.append(k)
                 doc.append(np.full(len(k), i, np.int64))
                 size.append(np.full(len(k), len(s), np.int32))
@@ -283,16 +280,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, bucket_rows: int = 1000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every id of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
     marks = saved(_fingerprints(docs, width).distinct(), "parity-marks")
     first = marks.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
     member = saved(marks.join(first.where(F.col("f1").isNotNull()), ["f1", "f2"]).select("doc_id", "rep"), "parity-classes")
     # one text for each class: its smallest id
     texts = docs.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
-    common = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
     by_key = Window.partitionBy("key")
-    keys = _keys(texts, width, percent, common)
+    keys = _keys(texts, width, percent)
     found = keys.withColumn("hub", F.min("doc_id").over(by_key)).withColumn("last", F.max("doc_id").over(by_key)).where("hub < last").drop("last")
     buckets = saved(found, "parity-buckets")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
