@@ -121,7 +121,7 @@ class ByteBpe:
 
 
 def frequent_words(bpe: ByteBpe, docs: DataFrame, text_col: str, dictionary: int, max_word: int) -> list:
-    """(word, ids) of the most frequent words of all texts; at most ``dictionary`` rows.
+    """(word, ids as text) of the most frequent words of all texts; at most ``dictionary`` rows.
 
     A histogram of counts gives the least count that a word of the dictionary has, so
     only these words leave the executors, however many partitions the counts have.
@@ -138,7 +138,8 @@ def frequent_words(bpe: ByteBpe, docs: DataFrame, text_col: str, dictionary: int
         least = step
     if least is None:
         return []
-    return [tuple(r) for r in counts.where(F.col("step") >= least).select("w", bpe.fold(bpe.as_bytes(F.col("w"))).alias("ids")).collect()]
+    ids = F.array_join(bpe.fold(bpe.as_bytes(F.col("w"))).cast("array<string>"), ",")
+    return [(r["w"], r["ids"]) for r in counts.where(F.col("step") >= least).select("w", ids.alias("ids")).collect()]
 
 
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -184,7 +185,7 @@ def _worker_state(shared, pattern: str) -> tuple:
         # White_Space is what the tokenizer's engine takes for \s; Python's own class has four more characters
         own = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         ranks = {k.encode("latin-1"): v for k, v in shared.value["ranks"].items()}
-        _WORKER.update(key=key, find=regex.compile(own).findall, words=dict(shared.value["words"]), ranks=ranks, rare={})
+        _WORKER.update(key=key, find=regex.compile(own).findall, words={w: [int(i) for i in ids.split(",")] for w, ids in shared.value["words"]}, ranks=ranks, rare={})
     return _WORKER["find"], _WORKER["words"], _WORKER["ranks"], _WORKER["rare"]
 
 
