@@ -409,6 +409,19 @@ def test_model_adds_other_forms_and_leaves_numbers(spark, none, edge):
     assert len(rows) == len(EDGE) and all(not r.base and not r.added for r in rows if r.text is None)
 
 
+def test_model_finds_addresses_of_letters_alone(spark):
+    w = pii.learn(spark.read.parquet(f"{SF_MED}/documents.parquet").select("doc_id", "text"))
+    found = lambda t: {(pii.KINDS[k], t[a:b]) for a, k, b in pii.added_spans(t, w, pii.base_spans(t))}
+    assert found("mail jane (at) example (dot) com please") == {("email", "jane (at) example (dot) com")}
+    assert found("write bob at host dot org") == {("email", "bob at host dot org")}
+    assert found("or to ann [at] example.com, thanks") == {("email", "ann [at] example.com")}
+    for clean in ("we looked at the house. It was big", "They arrived at noon. Nobody was in", "at last. The end"):
+        assert not found(clean)
+    text = "write bob at host dot org"
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [[x["start"], x["end"]] for x in pii.find(rows, w).first().added] == [[6, len(text)]]
+
+
 def test_viterbi_is_the_best_segmentation():
     rng = random.Random(4)
     for _ in range(60):

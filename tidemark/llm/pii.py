@@ -6,14 +6,14 @@ in forms that the patterns miss (``name (at) host dot com``, a card cut by dots,
 without a plus). It scores whole candidate segments: digit-group lengths,
 separators, checksum, greatest part, what stands before and after. Dynamic programming over
 segments of at most ``MAX_TOKENS`` tokens chooses boundaries and kinds together;
-a token outside of every segment scores 0. An entity holds a digit or an at sign, so
-only the tokens near one are visited, which gives the same best segmentation as
-the whole text. Spans of the model that touch a base span are left out: base ones stay.
+a token outside of every segment scores 0. A segment holds a digit, an at sign or the word
+"at" with a dot after it, so only the tokens that a segment with one of these can reach
+are visited, which gives the same best segmentation as the whole text. Spans of the model that touch a base span are left out: base ones stay.
 
 The weights are trained here by the CRF's likelihood on a bounded sample
-(``sample`` stretches around digits and at signs, chosen by hash): base matches
-are the labels, some rewritten into the other forms; all other digits,
-and numbers made invalid, are the negatives.
+(``sample`` stretches around digits, at signs and the word "at", chosen by hash): base matches
+are the labels, some rewritten into the other forms, with and without digits; all other digits and
+"at", and numbers made invalid, are the negatives.
 
 Defined cases: a null text is an empty one and has no spans; rows are
 independent (repeated rows give repeated results); with nothing to learn from the
@@ -39,6 +39,8 @@ MAX_TOKENS, MAX_CHARS, NEAR = 40, 90, 14
 _CELLS = 1 << 14
 
 _ANY = re.compile(r"[0-9@]")
+# What every candidate segment holds: a digit, an at sign, or the word "at" before a dot that a segment could reach.
+_TRIGGER = re.compile(r"[0-9]|@|(?<![A-Za-z])[Aa][Tt](?![A-Za-z])(?=[A-Za-z0-9 .\-/()+\[\]_%]{0,90}?(?:\.|[Dd][Oo][Tt]))")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -89,10 +91,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def stretches(text: str) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Token runs (as (start, end) offsets) within ``NEAR`` tokens of a digit or an at sign, cut at line ends."""
+    """Token runs (as (start, end) offsets) within ``NEAR`` tokens of a trigger, cut at line ends."""
     out: list = []
     done = 0
-    for m in _ANY.finditer(text):
+    for m in _TRIGGER.finditer(text):
         if m.start() < done:
             continue
         # a window wide enough for NEAR tokens on either side; extended while it meets other triggers
@@ -104,12 +106,12 @@ def stretches(text: str) -> list[tuple[int, list[tuple[int, int]]]]:
             end = min(len(text), hi + MAX_CHARS)
             line = text.find("\n", hi, end)
             end = line if line >= 0 else end
-            more = [x.end() for x in _ANY.finditer(text, hi, end)]
+            more = [x.end() for x in _TRIGGER.finditer(text, hi, end)]
             if not more or more[-1] - lo > 20 * MAX_CHARS:
                 break
             hi = more[-1]
         tokens = [(t.start(), t.end()) for t in _TOKEN.finditer(text, lo, end)]
-        hot = [i for i, (a, b) in enumerate(tokens) if text[a] in "0123456789@"]
+        hot = [i for i, (a, b) in enumerate(tokens) if text[a] in "0123456789@" or text[a:b].lower() == "at"]
         first, last = max(0, hot[0] - NEAR), min(len(tokens), hot[-1] + NEAR + 1)
         if len(tokens[first:last]):
             out.append(tokens[first:last])
@@ -122,6 +124,7 @@ def _class(c: str) -> str:
 
 
 _AT, _DOT = re.compile(r"(?i)[\[(]at[\])]| at "), re.compile(r"(?i)[\[(]\.[\])]|[\[(]dot[\])]| dot ")
+_SPOKEN = re.compile(r"(?i)[\[(]dot[\])]| dot ")
 
 
 def span_features(text: str, a: int, b: int) -> np.ndarray:
@@ -135,11 +138,17 @@ def span_features(text: str, a: int, b: int) -> np.ndarray:
     shape = "-".join(str(min(len(r), 9)) for r in runs[:8])
     small = all(len(r) < 4 and int(r) < 256 for r in runs)
     tail = s.rsplit(".", 1)[-1].rsplit(" ", 1)[-1]
+    if letters:  # how an address is spelled: an end of a sentence is no dot of a host
+        said, spoken = _AT.search(s), bool(_SPOKEN.search(s))
+        form = "@" if not said else "b" if said[0][0] in "[(" else "w"
+        own = [f"form{form}", f"spoken{spoken}", f"form{form}spoken{spoken}", f"stop{'. ' in s}", f"user{min(s.count(' ', 0, said.start()), 3) if said else ''}"]
+    else:
+        own = [f"runs{min(len(runs), 6)}", f"small{small}", f"luhn{12 <= n <= 19 and luhn(''.join(runs))}{'c' if 12 <= n <= 19 else ''}", f"runs{len(runs) == 4}small{small}", f"long{max(map(len, runs), default=0) > 4}"]
     f = [
-        "bias", f"n{min(n, 20)}", f"at{min(at, 2)}", f"let{letters}", f"sep{seps if len(seps) < 6 else 'many'}" if not letters else f"dots{min(s.count('.') + dot, 4)}",
-        f"shape{shape}" if not letters else f"tail{tail.isalpha() and 1 < len(tail) < 7}", f"runs{min(len(runs), 6)}", f"small{small}", f"luhn{12 <= n <= 19 and luhn(''.join(runs))}{'c' if 12 <= n <= 19 else ''}",
-        f"first{_class(s[0])}", f"last{_class(s[-1])}", f"prev{_class(text[a - 1 : a])}", f"next{_class(text[b : b + 1])}", f"runs{len(runs) == 4}small{small}", f"paren{s.count('(') - s.count(')')}",
-        f"long{max(map(len, runs), default=0) > 4}", f"at{min(at, 2)}dots{min(s.count('.') + dot, 3)}", f"w{min(s.count(' '), 6)}{letters}",
+        *own, "bias", f"n{min(n, 20)}", f"at{min(at, 2)}", f"let{letters}", f"sep{seps if len(seps) < 6 else 'many'}" if not letters else f"dots{min(s.count('.') + dot, 4)}",
+        f"shape{shape}" if not letters else f"tail{tail.isalpha() and 1 < len(tail) < 7}",
+        f"first{_class(s[0])}", f"last{_class(s[-1])}", f"prev{_class(text[a - 1 : a])}", f"next{_class(text[b : b + 1])}", f"paren{s.count('(') - s.count(')')}",
+        f"at{min(at, 2)}dots{min(s.count('.') + dot, 3)}", f"w{min(s.count(' '), 6)}{letters}",
     ]
     return np.array([zlib.crc32(x.encode()) % _CELLS for x in f])
 
@@ -172,11 +181,11 @@ def segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, b
             if letters and not ats and text.count(" ", a, x) and digits == 0:
                 if "at" not in text[x : x + 40].lower() and "@" not in text[x : x + 40]:
                     break
-            if ats > 1:
+            if ats > 1 or letters and text.count(" ", a, y) > 6:
                 break
             if (text[y - 1].isalnum() or text[y - 1] == ")") and not text[y : y + 1].isalnum():
                 # an address has a dot after its at sign, and ends with a word after the dot
-                if letters and ats == 1 and dots and t[0].isalpha() and t.lower() not in ("at", "dot") and y - a >= 6 and text.count(" ", a, y) <= 6:
+                if letters and ats == 1 and dots and t[0].isalpha() and t.lower() not in ("at", "dot") and y - a >= 6:
                     out.append((i, j + 1, True))
                 elif not letters and not ats and 7 <= digits <= 19:
                     out.append((i, j + 1, False))
@@ -241,7 +250,7 @@ def _rewritten(s: str, kind: int, pick: int) -> str:
     if kind == 0:
         user, host = s.split("@", 1)
         spoken = host.replace(".", " dot ")
-        return [s, f"{user} [at] {host}", f"{user} (at) {host}", f"{user} at {spoken}", f"{user}@{spoken}"][pick % 5]
+        return [s, f"{user} [at] {host}", f"{user} (at) {host}", f"{user} at {spoken}", f"{user}@{spoken}", f"{user} (at) {host.replace('.', ' (dot) ')}"][pick % 6]
     if kind == 1:
         return [s, s.replace(".", "[.]"), s.replace(".", " . ")][pick % 3]
     if kind == 2:
@@ -253,6 +262,13 @@ def _rewritten(s: str, kind: int, pick: int) -> str:
     return [s, f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"001 {a} {b} {c}", f"{a}.{b}.{c}"][pick % 5]
 
 
+def _letters_only(s: str) -> str:
+    """An address without its digits, if that leaves one."""
+    user, host = _DIGITS.sub("", s).split("@", 1)
+    user = user.strip("._%+-")
+    return f"{user}@{host}" if user and all(host.split(".")) else s
+
+
 def _spoiled(s: str, kind: int) -> str:
     """The same number made invalid: wrong checksum, part above 255, too few digits."""
     if kind == 2:
@@ -270,13 +286,14 @@ def train(lines: list[str], rounds: int = 6, rate: float = 0.3) -> np.ndarray |
         for a, k, b in spans:
             if not kept or a >= kept[-1][2]:
                 kept.append((a, k, b))
-        variants = range(5) if kept else (0,)
+        variants = range(6) if kept else (0,)
         for v in variants:
             text, gold, end = "", [], 0
             for a, k, b in kept:
                 text += line[end:a]
                 bad = v == 4 and k in (1, 2, 3) and n % 2
-                s = _spoiled(line[a:b], k) if bad else _rewritten(line[a:b], k, v)
+                s = _letters_only(line[a:b]) if k == 0 and n % 2 else line[a:b]
+                s = _spoiled(s, k) if bad else _rewritten(s, k, v)
                 if not bad:
                     gold.append((len(text), len(text) + len(s), k))
                 text += s
@@ -319,15 +336,15 @@ def added_spans(text: str, w: np.ndarray, base: list[tuple[int, int, int]]) -> l
     return out
 
 
-def learn(docs: DataFrame, sample: int = 400) -> np.ndarray | None:
-    """Weights from ``sample`` lines of at most 400 characters with a digit or an at sign, the first by hash."""
-    has = docs.where(F.col("text").rlike("[0-9@]")).select("text")
+def learn(docs: DataFrame, sample: int = 480) -> np.ndarray | None:
+    """Weights from ``sample`` lines of at most 400 characters with a trigger, the first by hash of each of six kinds."""
+    has = docs.where(F.col("text").rlike(_TRIGGER.pattern)).select("text")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
             for text in batch.column("text").to_pylist():
-                for m in _ANY.finditer(text):
+                for m in _TRIGGER.finditer(text):
                     a = max(text.rfind("\n", 0, m.start()) + 1, m.start() - 120)
                     b = text.find("\n", m.end(), m.end() + 120)
                     found.add(text[a : b if b >= 0 else m.end() + 120])
@@ -335,9 +352,9 @@ def learn(docs: DataFrame, sample: int = 400) -> np.ndarray | None:
                         break
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["line"])
 
-    kind = F.when(F.col("line").contains("@"), 0).when(F.col("line").rlike(r"[0-9]\.[0-9]+\.[0-9]"), 1).when(F.col("line").rlike(r"[0-9]{12}"), 2).when(F.col("line").contains("+"), 3).otherwise(4)
+    kind = F.when(F.col("line").contains("@"), 0).when(F.col("line").rlike(r"[0-9]\.[0-9]+\.[0-9]"), 1).when(F.col("line").rlike(r"[0-9]{12}"), 2).when(F.col("line").contains("+"), 3).when(F.col("line").rlike("[0-9]"), 4).otherwise(5)
     rows = has.mapInArrow(lines, "line string").distinct().withColumn("kind", kind).withColumn("h", F.xxhash64(F.lit("pii"), "line"))
-    some = [r for k in range(5) for r in rows.where(F.col("kind") == k).orderBy("h", "line").limit(sample // 5).collect()]
+    some = [r for k in range(6) for r in rows.where(F.col("kind") == k).orderBy("h", "line").limit(sample // 6).collect()]
     return train([r["line"] for r in some])
 
 
@@ -355,7 +372,7 @@ def find(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 b = base_spans(text)
-                m = added_spans(text, w, b) if w is not None and _ANY.search(text) else []
+                m = added_spans(text, w, b) if w is not None else []
                 base.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in b])
                 more.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in m])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base, item), pa.array(more, item)], names=[*batch.schema.names, "base", "added"])
