@@ -422,6 +422,28 @@ def test_model_finds_addresses_of_letters_alone(spark):
     assert [[x["start"], x["end"]] for x in pii.find(rows, w).first().added] == [[6, len(text)]]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bob", " ", " ", "at", "(at)", "dot", ".", "12", "555", "@", "-", "\n", "é", "long" * 9]), max_size=90).map("".join))
+def test_stretches_hold_every_segment(text):
+    def spans(tokens):
+        return [(tokens[i][0], tokens[j - 1][1], k) for i, j, k in pii.segments(text, tokens)]
+
+    whole = [(m.start(), m.end()) for m in pii._TOKEN.finditer(text)]
+    assert spans(whole) == [s for tokens in pii.stretches(text) for s in spans(tokens)]
+
+
+def test_model_reads_whole_lines(spark):
+    w = pii.learn(spark.read.parquet(f"{SF_MED}/documents.parquet").select("doc_id", "text"))
+    phone, card = "(988) 555-2485", "4041.8949.7460.8795"
+    for n in range(1700, 1950, 2):  # an entity at any place of a dense line
+        for entity in (phone, card):
+            text = "x1 " * (n // 3) + "y" * (n % 3) + " " + entity + " x1" * 40
+            assert entity in {text[a:b] for a, _, b in pii.added_spans(text, w, pii.base_spans(text))}
+    for gap in range(80, 120):
+        text = "n 7" + "," * gap + " bob (at) mail8 dot com"
+        assert "bob (at) mail8 dot com" in {text[a:b] for a, _, b in pii.added_spans(text, w, [])}
+
+
 def test_viterbi_is_the_best_segmentation():
     rng = random.Random(4)
     for _ in range(60):

@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import extended, table
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TOKENS, MAX_CHARS, NEAR = 40, 90, 14
+MAX_TOKENS, MAX_CHARS = 40, 90
 _CELLS = 1 << 14
 
 _ANY = re.compile(r"[0-9@]")
@@ -90,33 +92,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def stretches(text: str) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Token runs (as (start, end) offsets) within ``NEAR`` tokens of a trigger, cut at line ends."""
-    out: list = []
-    done = 0
+def stretches(text: str) -> list[list[tuple[int, int]]]:
+    """Token runs (as (start, end) offsets) within ``MAX_CHARS`` of a trigger on its line; runs that meet are one.
+
+    A candidate segment holds a trigger and has at most ``MAX_CHARS`` characters: it lies whole in one run."""
+    runs: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
-        if m.start() < done:
-            continue
-        # a window wide enough for NEAR tokens on either side; extended while it meets other triggers
-        lo = max(done, m.start() - MAX_CHARS)
-        cut = text.rfind("\n", lo, m.start())
-        lo = cut + 1 if cut >= 0 else lo
-        hi = m.end()
-        while True:
-            end = min(len(text), hi + MAX_CHARS)
-            line = text.find("\n", hi, end)
-            end = line if line >= 0 else end
-            more = [x.end() for x in _TRIGGER.finditer(text, hi, end)]
-            if not more or more[-1] - lo > 20 * MAX_CHARS:
-                break
-            hi = more[-1]
-        tokens = [(t.start(), t.end()) for t in _TOKEN.finditer(text, lo, end)]
-        hot = [i for i, (a, b) in enumerate(tokens) if text[a] in "0123456789@" or text[a:b].lower() == "at"]
-        first, last = max(0, hot[0] - NEAR), min(len(tokens), hot[-1] + NEAR + 1)
-        if len(tokens[first:last]):
-            out.append(tokens[first:last])
-        done = end
-    return out
+        lo, hi = max(0, m.start() - MAX_CHARS), min(len(text), m.end() + MAX_CHARS)
+        lo = text.rfind("\n", lo, m.start()) + 1 or lo
+        line = text.find("\n", m.end(), hi)
+        hi = line if line >= 0 else hi
+        if runs and lo < runs[-1][1]:
+            runs[-1][1] = hi
+        else:
+            runs.append([lo, hi])
+    return [[(t.start(), t.end()) for t in _TOKEN.finditer(text, lo, hi)] for lo, hi in runs]
 
 
 def _class(c: str) -> str:
@@ -192,8 +182,8 @@ def segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, b
     return out
 
 
-def _lattice(text: str, tokens: list) -> tuple[list, np.ndarray]:
-    seg = [(i, j, k) for i, j, letters in segments(text, tokens) for k in ((0,) if letters else (1, 2, 3))]
+def _lattice(text: str, tokens: list, found: list) -> tuple[list, np.ndarray]:
+    seg = [(i, j, k) for i, j, letters in found for k in ((0,) if letters else (1, 2, 3))]
     cache: dict = {}
     cells = [cache[i, j] if (i, j) in cache else cache.setdefault((i, j), span_features(text, tokens[i][0], tokens[j - 1][1])) for i, j, _ in seg]
     return seg, (np.array(cells) + np.array([k for *_, k in seg])[:, None] * _CELLS if seg else np.zeros((0, 0), np.int64))
@@ -300,7 +290,7 @@ def train(lines: list[str], rounds: int = 6, rate: float = 0.3) -> np.ndarray |
                 end = b
             text += line[end:]
             for tokens in stretches(text):
-                seg, cells = _lattice(text, tokens)
+                seg, cells = _lattice(text, tokens, segments(text, tokens))
                 if seg:
                     own = {(tokens[i][0], tokens[j - 1][1], k): x for x, (i, j, k) in enumerate(seg)}
                     y = np.zeros(len(seg))
@@ -325,13 +315,19 @@ def train(lines: list[str], rounds: int = 6, rate: float = 0.3) -> np.ndarray |
 def added_spans(text: str, w: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the best segmentations that touch no base span."""
     out = []
+    starts, reach = [x for x, _, _ in base], list(accumulate((y for _, _, y in base), max))
     for tokens in stretches(text):
-        seg, cells = _lattice(text, tokens)
+        found, seg, score = segments(text, tokens), [], []
+        for at in range(0, len(found), 2000):  # features of a part of a long line at a time
+            part, cells = _lattice(text, tokens, found[at : at + 2000])
+            seg += part
+            score.append(w[cells].sum(axis=1) - 1.0)
         if not seg:
             continue
-        for i, j, k in viterbi(len(tokens), seg, w[cells].sum(axis=1) - 1.0):
+        for i, j, k in viterbi(len(tokens), seg, np.concatenate(score)):
             a, b = tokens[i][0], tokens[j - 1][1]
-            if all(b <= x or y <= a for x, _, y in base):
+            before = bisect_left(starts, b)
+            if not before or reach[before - 1] <= a:
                 out.append((a, k, b))
     return out
 
