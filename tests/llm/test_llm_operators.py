@@ -221,6 +221,38 @@ def test_search_is_exact(spark, edge, none):
     assert search.search(none, none).count() == 0
 
 
+def test_registered_search_asks_by_the_whole_text(spark):
+    texts = {r.doc_id: collections.Counter(re.findall(r"\w+", r.text.lower())) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    got = collections.defaultdict(list)
+    for r in search.op4_search(spark, SF_SMALL).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(round(r.score, 9))
+    n, length, df = len(texts), {i: sum(c.values()) for i, c in texts.items()}, collections.Counter(w for c in texts.values() for w in c)
+    mean, idf = sum(length.values()) / n, {w: math.log(1 + (n - k + 0.5) / (k + 0.5)) for w, k in df.items()}
+    for q in (i for i in texts if i % 20 == 0):
+        score = {i: sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * length[i] / mean)) for w in texts[q] if w in c) for i, c in texts.items() if i != q}
+        assert got[q] == sorted((round(s, 9) for s in score.values() if s > 0), reverse=True)[:10]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6))
+def test_pruned_search_is_the_full_one(seed):
+    rng = np.random.default_rng(seed)
+    lists = [np.unique(rng.zipf(1.3, rng.integers(1, 60)) % 90) for _ in range(500)]
+    tf = [rng.integers(1, 5, len(x)).astype(np.int32) for x in lists]
+    group = search.pa.table({"doc_id": np.arange(500), "length": [int(n.sum()) for n in tf], "term": [x.astype(np.int64).tobytes() for x in lists], "tf": [n.tobytes() for n in tf]})
+    mean = sum(int(n.sum()) for n in tf) / 500
+    shard = search.Shard(search._build((search.pa.scalar(0),), group).to_pylist()[0], mean)
+    q, k = int(rng.integers(500)), int(rng.integers(1, 30))
+    idf = {w: 4 / (1 + w % 7) for w in lists[q]}
+    full = collections.Counter()
+    for i, (x, n) in enumerate(zip(lists, tf, strict=True)):
+        for w, f in zip(x, n, strict=True):
+            if w in idf and i != q:
+                full[i] += idf[w] * (f * 2.2 / (f + 1.2 * (0.25 + 0.75 * int(n.sum()) / mean)))
+    ids, scores = shard.search(lists[q].astype(np.int64), np.array([idf[w] for w in lists[q]]), q, k)
+    assert np.allclose(scores, sorted(full.values(), reverse=True)[:k]) and np.allclose(scores, [full[i] for i in ids])
+
+
 # --- 5: mixing ---------------------------------------------------------------------------------------------------
 
 
