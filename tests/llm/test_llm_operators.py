@@ -143,6 +143,14 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in sitestyle.extract(pages).collect()} == {"A\nSame"}
 
 
+def test_deep_elements_are_nodes_of_their_own(spark):
+    page = "<div>" * 30 + "<p>Text {i}</p><div class=ad><p>Buy {i}</p></div><section><p>More {i}</p></section>"
+    pages = spark.createDataFrame([(i, f"http://deep/{i}", page.format(i=i)) for i in range(12)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in sitestyle.extract(pages).collect()} == {i: f"Text {i}\nMore {i}" for i in range(12)}
+    long = "<b>" * 5000 + "end"
+    assert sitestyle.main_text(long, frozenset()) == "end" and len(sitestyle.parse(long)[3]) == 5001
+
+
 # --- 3: embeddings -----------------------------------------------------------------------------------------------
 
 

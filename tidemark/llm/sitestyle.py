@@ -1,7 +1,7 @@
 """Main-text extraction from web pages by site style trees.
 
 The pages of a host are merged into one style tree: a node is a path of elements
-(tag, class and id names without digits). Over the host's distinct pages a node has
+(tag, class and id names without digits) of any depth, carried as a hash of the parent's and the style. Over the host's distinct pages a node has
 - presentation: the sequences of child elements that pages show at it. Its importance is the
   entropy of their distribution, to the base of the number of pages;
 - content: its text blocks. A block on k of m pages has entropy log k / log m; the
@@ -67,7 +67,7 @@ class Block:
 
     __slots__ = ("path", "text", "article")
 
-    def __init__(self, path: tuple, text: str, article: bool):
+    def __init__(self, path: int, text: str, article: bool):
         self.path, self.text, self.article = path, text, article
 
 
@@ -75,13 +75,21 @@ class Block:
 _UNLIKELY, _OPEN, _PROSE_OF_ARTICLE = 0, 1, 2
 
 
-def parse(page: str) -> tuple[list[Block], dict[tuple, list[str]], dict[tuple, int]]:
-    """(text blocks in order, children's styles of every path, what is known of every path)."""
+def _h(*parts: str) -> int:
+    return xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+_ROOT = _h("path")
+
+
+def parse(page: str) -> tuple[list[Block], dict[int, list[str]], dict[int, int], dict[int, int]]:
+    """(text blocks in order, children's styles of every path, what is known of every path, every path's parent)."""
     # open elements: (tag, path, inside an article, plain prose)
-    stack: list[tuple] = [("", (), False, True)]
-    known: dict[tuple, int] = {(): _OPEN}
+    stack: list[tuple] = [("", _ROOT, False, True)]
+    known: dict[int, int] = {_ROOT: _OPEN}
+    above: dict[int, int] = {_ROOT: 0}
     blocks: list[Block] = []
-    children: dict[tuple, list[str]] = {}
+    children: dict[int, list[str]] = {}
     held: list[str] = []
 
     def flush() -> None:
@@ -137,9 +145,9 @@ def parse(page: str) -> tuple[list[Block], dict[tuple, list[str]], dict[tuple, i
                 names += _WORDS.findall((a or b or c).lower())
         _, path, article, prose = stack[-1]
         style = ".".join([tag, *names])
-        if len(path) < 24:
-            children.setdefault(path, []).append(style)
-            path = (*path, style)
+        children.setdefault(path, []).append(style)
+        parent, path = path, _h(str(path), style)
+        above[path] = parent
         inside = article or tag in ("article", "main") or "main" in names and "role" in rest.lower()
         prose = prose and tag in _PROSE and not (names and inside) if tag in _BLOCK else prose
         if known[stack[-1][1]] == _UNLIKELY or tag in _NOT_TEXT or (tag == "header" and not article) or not _NOT_NAMES.isdisjoint(names):
@@ -157,15 +165,7 @@ def parse(page: str) -> tuple[list[Block], dict[tuple, list[str]], dict[tuple, i
             continue
         stack.append((tag, path, inside, prose))
     flush()
-    return blocks, children, known
-
-
-def _h(*parts: str) -> int:
-    return xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def _path_id(path: tuple) -> int:
-    return _h("path", *path)
+    return blocks, children, known, above
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
@@ -178,14 +178,16 @@ def style_rows(pages: DataFrame) -> DataFrame:
                 page = text.as_py()
                 if not page:
                     continue
-                blocks, children, known = parse(page)
+                blocks, children, known, above = parse(page)
                 sig = _h("page", *[b.text for b in blocks])
                 # the paths that hold text, up to the root
-                need = {b.path[:i] for b in blocks for i in range(len(b.path) + 1)}
-                ids = {p: _path_id(p) for p in need}
-                place = {p: (ids[p], ids[p[:-1]] if p else 0, known[p]) for p in need}
+                place: dict[int, tuple] = {}
+                for p in [b.path for b in blocks]:
+                    while p and p not in place:
+                        place[p] = (p, above[p], known[p])
+                        p = above[p]
                 seen = {(*place[b.path], 0, _h("text", b.text)) for b in blocks}
-                seen |= {(*place[p], 1, _h("style", *children.get(p, []))) for p in need}
+                seen |= {(*place[p], 1, _h("style", *children.get(p, []))) for p in place}
                 out += [(host, *s, sig) for s in seen]
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["host", "path", "parent", "prior", "kind", "feature", "page"])
@@ -275,12 +277,15 @@ def main_text(page: str | None, low: frozenset) -> str:
     """The page's article without the branches of low importance."""
     if not page:
         return ""
-    blocks = parse(page)[0]
-    known: dict[tuple, bool] = {}
-
-    def gone(path: tuple) -> bool:
-        if path not in known:
-            known[path] = bool(path) and (_path_id(path) in low or gone(path[:-1]))
+    blocks, _, _, above = parse(page)
+    known = {_ROOT: False}
+
+    def gone(path: int) -> bool:
+        way = []
+        while path not in known and path not in low:
+            way.append(path)
+            path = above[path]
+        known.update(dict.fromkeys([path, *way], known.get(path, True)))
         return known[path]
 
     kept = [b for b in blocks if not gone(b.path)]
