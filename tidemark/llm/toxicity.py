@@ -6,8 +6,9 @@ with characters put in between, or another ending, stays close to the word that
 Words are what white space separates, lower case, with look-alike digits and signs read
 as letters and other signs inside left out; a run of single characters is one word.
 
-Instances are sentences: a sentence scores as its highest word, a text as its highest
-sentence. Training (labels of texts): in every toxic text the sentence that scores
+Instances are single words, not sentences: a text is the set of its distinct words and scores as
+its highest one; order and context do not count, so an insult that is toxic only as a sequence of
+words is not found. Training (labels of texts): in every toxic text the word that scores
 highest is the positive instance, in every clean one it is the negative (the usual
 rounds of multiple-instance SVMs, begun from words that toxic texts hold far more
 often). The SVM is linear in the Nystroem features of ``landmarks`` words,
