@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, mixing, paritysketch, pii, repair, runs, search, sitestyle, subspace, toxicity
+from tidemark.llm import bpe, hardneg, language, mixing, paritysketch, pii, repair, runs, search, sitestyle, subspace, toxicity
 
 
 def llm_queries() -> dict:
@@ -17,6 +17,7 @@ def llm_queries() -> dict:
         "op8_pii": pii.op8_pii,
         "op9_token_files": repair.op9_token_files,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_hard_negatives": hardneg.op11_hard_negatives,
         "op13_word_runs": runs.op13_word_runs,
     }
 
