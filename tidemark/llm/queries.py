@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, hardneg, language, mixing, paritysketch, pii, repair, runs, search, sitestyle, subspace, toxicity
+from tidemark.llm import bpe, chat, hardneg, language, mixing, paritysketch, pii, repair, runs, search, sitestyle, subspace, toxicity
 
 
 def llm_queries() -> dict:
@@ -18,6 +18,7 @@ def llm_queries() -> dict:
         "op9_token_files": repair.op9_token_files,
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_hard_negatives": hardneg.op11_hard_negatives,
+        "op12_chat_format": chat.op12_chat_format,
         "op13_word_runs": runs.op13_word_runs,
     }
 
