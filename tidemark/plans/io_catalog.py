@@ -17,16 +17,14 @@ from tidemark.plans import oracle as O
 from tidemark.plans.views import SINCE, scored_view, ts_out
 from tidemark.session import work_path
 from tidemark.sinks.tables import raw_columns, to_headerless_csv, with_defaults, write_monthly
-from tidemark.sources.fixtures import alert_series, alert_sql, kpi_sql, kpi_view, training_frame
+from tidemark.sources.fixtures import alert_sql, kpi_sql, kpi_view, training_frame
 from tidemark.sources.framing import decode_avro, encode_avro, flatten, frame, schema_id, strip_frame
 from tidemark.sources.tables import TOPIC_SCHEMA, kpi_stream, read_predictions, read_training_csv
 from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
 from tidemark.streaming import stateful as ST
-from tidemark.streaming.pipeline import build_pipeline, decode_messages, run_available, stage_topic, write_ordered
+from tidemark.streaming.pipeline import build_pipeline, decode_messages, run_available, stage_topic
 
 SID = 1
-# the alert fixture counts seconds from the first day of the events data
-SERIES_ORIGIN = 1704067200  # 2024-01-01T00:00:00Z
 AVAILABLE = {"availableNow": True}
 
 
@@ -180,45 +178,6 @@ def stream_class_counts(spark, sf_dir):
     return ST.keep_latest(spark.read.parquet(f"{root}/out"), ["qoe_class"])
 
 
-def stream_trailing(spark, sf_dir):
-    """30 s windows sliding every 10 s with a watermark (update mode)."""
-    u = VIDEO_STREAMING
-    root = work_path(spark, "stream_trailing")
-    topic, per = stage_topic(kpi_view(spark, sf_dir, u), u, f"{root}/topic", files=4, sid=SID)
-    rec = decode_messages(kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), u)
-    win = ST.trailing_window_counts(rec, width=u.window_seconds, slide=10)
-    q = (
-        win.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{root}/_checkpoint")
-        .foreachBatch(_batch_sink(f"{root}/out"))
-        .trigger(**AVAILABLE)
-        .start()
-    )
-    run_available(q)
-    last = ST.keep_latest(spark.read.parquet(f"{root}/out"), ["window_start", "window_end"])
-    return last.select(ts_text(F.col("window_start")).alias("window_start"), ts_text(F.col("window_end")).alias("window_end"), "n")
-
-
-def stream_alerts(spark, sf_dir):
-    """Keyed alert state machine with event-time timeout; equals G2."""
-    u = CLOUD_GAMING
-    root = work_path(spark, "stream_alerts")
-    pts = alert_series(spark, sf_dir)
-    per = write_ordered(pts, f"{root}/points", "sec", files=4)
-    src = spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", per).parquet(f"{root}/points")
-    states = ST.stream_alerts(src, u.alert_low, u.alert_high, u.alert_hold_seconds, origin=SERIES_ORIGIN)
-    q = (
-        states.writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", f"{root}/_checkpoint")
-        .option("path", f"{root}/out")
-        .trigger(**AVAILABLE)
-        .start()
-    )
-    run_available(q)
-    return spark.read.parquet(f"{root}/out")
-
-
 # ------------------------------------------------------------------ models
 
 
@@ -301,8 +260,6 @@ def io_queries() -> dict:
         "stream_raw": stream_raw,
         "stream_predictions": stream_predictions,
         "stream_class_counts": stream_class_counts,
-        "stream_trailing": stream_trailing,
-        "stream_alerts": stream_alerts,
         "train_linreg": q_train("linreg"),
         "linear_facts": linear_facts,
         "train_elasticnet": q_train("elasticnet"),
@@ -341,13 +298,6 @@ def io_oracle() -> dict[str, str]:
             f"FROM {O.scored(vs, dirty=True)} p"
         ),
         "stream_class_counts": f"SELECT qoe_class, count(*) AS c FROM {O.scored(cg)} p GROUP BY qoe_class",
-        "stream_trailing": (
-            "SELECT strftime(make_timestamp(ws * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start, "
-            f"strftime(make_timestamp((ws + {vs.window_seconds}) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n "
-            "FROM (SELECT unnest([b, b - 10, b - 20]) AS ws FROM (SELECT CAST(floor(epoch(ingestion_timestamp) / 10) * 10 AS BIGINT) AS b "
-            f"FROM ({kpi_sql(vs)}) k) x) y GROUP BY ws"
-        ),
-        "stream_alerts": O._alert_states(),
     }
 
 

@@ -91,11 +91,12 @@ def build_pipeline(messages: DataFrame, u: UseCase, model, raw_path: str, pred_p
     return w.start()
 
 
-def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int = 1) -> tuple[str, int]:
+def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int = 1, seconds: tuple[int, int] | None = None) -> tuple[str, int]:
     """Write KPI records as a Kafka-shaped topic (framed Avro values, offsets
     in id order) in ``files`` consecutive offset ranges for a file-source
     replay. ``kpi`` needs ``id`` (becomes the offset) and
-    ``ingestion_timestamp``. Returns (path, files per trigger).
+    ``ingestion_timestamp``. Returns (path, files per trigger). With ``seconds`` (first
+    and last, since the epoch) the ranges are equal spans of time instead.
     """
     msgs = encode_avro(kpi.select("id", "ingestion_timestamp", *u.features), u, sid, keep=["id", "ingestion_timestamp"])
     out = msgs.select(
@@ -106,10 +107,12 @@ def stage_topic(kpi: DataFrame, u: UseCase, path: str, files: int = 4, sid: int
         F.col("id").cast("bigint").alias("offset"),
         F.col("ingestion_timestamp").cast("timestamp").alias("timestamp"),
     )
+    if seconds:
+        return path, write_ordered(out.withColumn("second", F.unix_seconds("timestamp")), path, "second", files, bounds=seconds)
     return path, write_ordered(out, path, "offset", files)
 
 
-def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: int | None = None) -> int:
+def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: int | None = None, bounds: tuple[int, int] | None = None) -> int:
     """Write ``df`` as ``files`` segments holding consecutive ranges of
     ``order``, written one after another: a file source lists files by
     modification time, so a replay reads the segments in order (as a consumer
@@ -121,15 +124,16 @@ def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: i
     ``k`` defaults to the cluster's cores (or the shuffle partitions spread
     over the segments, if more) and never exceeds the rows of the smallest
     segment. Returns ``k``. Range bounds and segment sizes come from
-    one small aggregate; the input is cached for the sequential writes.
+    one small aggregate; the input is cached for the sequential writes. Tables written with
+    the same ``bounds`` of ``order`` have segments of the same ranges.
     """
     df = df.persist()
     try:
-        b = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-        if b["lo"] is None:
+        lo, hi = bounds or df.agg(F.min(order), F.max(order)).first()
+        if lo is None:
             df.limit(0).write.mode("overwrite").parquet(path)
             return 1
-        lo, hi = int(b["lo"]), int(b["hi"])
+        lo, hi = int(lo), int(hi)
         step = (hi - lo) // files + 1
         seg = F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")
         sizes = {r["s"]: r["n"] for r in df.groupBy(seg.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}

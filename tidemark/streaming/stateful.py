@@ -1,77 +1,114 @@
 """Stateful streaming operators.
 
 K11 running class counts: ``groupBy(class).count()`` in update mode.
-K12 keyed alerts: ``applyInPandasWithState`` with event-time timeout; per key
-    the state is (visible, first-recovery time); rows inside a micro-batch are
-    ordered by (time, id) before the state machine runs. Equals
-    ``operators.alerts.alert_states`` row by row.
-K13 trailing windows: ``window(ts, width, slide)`` counts with a watermark.
+K12 keyed alerts: state by key, event-time timers. Rows wait in the state store, a second at a time,
+    until the watermark has passed their second, and then go through the state machine in (time, id) order: the result
+    does not depend on how rows are spread over micro-batches. A task holds the rows of one second of one
+    key, not the key's history or its part of a batch. An alert that recovers ends by itself: a ``normal`` row without id and value comes out at
+    ``recovery + hold``, by a timer if no row of the key does it. With these rows left out the result
+    is that of ``operators.alerts.alert_states``.
+K13 trailing windows: rows are counted in panes of one slide (partial aggregation), and a second
+    stateful operator adds up the last panes. A row is shuffled once and a pane once, however wide the window.
+
+Rows later than ``delay`` are dropped by the watermark, and counted (``monitor.py``); rows without a
+time are left out. A clock (``ticks.with_clock``) closes what no later record closes.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from itertools import islice
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.streaming.ticks import with_clock
 
 ALERT_OUT = "id long, k long, sec long, q double, signal string, state string"
-ALERT_STATE = "visible boolean, rec long"
-
-
-def _alert_fn(low: float, high: float, hold: int, origin: int):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            # the hold time passed with no new row: the alert is hidden
-            state.remove()
-            return
-        visible, rec = (False, None)
-        if state.exists:
-            visible, rec = state.get
-            rec = None if rec is None or pd.isna(rec) else int(rec)
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        rows = rows.sort_values(["sec", "id"], kind="mergesort")
-        sig, st = [], []
-        for sec, v in zip(rows["sec"].to_numpy(), rows["q"].to_numpy()):
-            sec = int(sec)
-            if v < low:
-                visible, rec = True, None
-                sig.append("D")
-                st.append("degraded")
-                continue
-            is_r = v >= high
-            sig.append("R" if is_r else None)
-            if visible and is_r and rec is None:
-                rec = sec
-            if visible and rec is not None and sec >= rec + hold:
-                visible, rec = False, None
-            st.append("normal" if not visible else ("degraded" if rec is None else "recovering"))
-        # state is kept only while the alert is shown; a recovering alert
-        # times out (event time) when the watermark passes rec + hold
-        if visible:
-            state.update((True, rec))
-            if rec is not None:
-                state.setTimeoutTimestamp((rec + hold + origin) * 1000)
-        elif state.exists:
-            state.remove()
-        out = rows[["id", "k", "sec", "q"]].astype({"id": "int64", "k": "int64", "sec": "int64", "q": "float64"})
-        out["signal"] = pd.Series(sig, index=out.index, dtype=object)
-        out["state"] = pd.Series(st, index=out.index, dtype=object)
-        yield out
-
-    return fn
-
-
-def stream_alerts(points: DataFrame, low: float = 2.5, high: float = 3.0, hold: int = 3, delay: str = "10 seconds", origin: int = 0) -> DataFrame:
+CHUNK = 10_000
+
+
+def alert_step(machine: tuple[bool, int | None], sec: int, q: float | None, low: float, high: float, hold: int) -> tuple[tuple[bool, int | None], str | None, str]:
+    """Next (visible, first recovery), the row's signal and state; the hold time has been looked after before."""
+    visible, rec = machine
+    if q is not None and q < low:
+        return (True, None), "D", "degraded"
+    signal = "R" if q is not None and q >= high else None
+    if visible and signal and rec is None:
+        rec = sec
+    return (visible, rec), signal, "normal" if not visible else ("degraded" if rec is None else "recovering")
+
+
+class _Alerts(StatefulProcessor):
+    """``waiting``: rows by second. ``machine``: is the alert shown, and since when does it recover. Times are seconds from ``origin``."""
+
+    def __init__(self, low: float, high: float, hold: int, origin: int):
+        self.low, self.high, self.hold, self.origin = low, high, hold, origin
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "sec long", "rows array<struct<id:bigint,q:double>>")
+        self.machine = handle.getValueState("machine", "visible boolean, rec long")
+
+    def _at(self, sec: int) -> int:
+        return (sec + self.origin) * 1000
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = None
+        while chunk := list(islice(rows, CHUNK)):
+            fresh: dict[int, list] = {}
+            for r in chunk:
+                fresh.setdefault(r.sec, []).append((r.id, r.q))
+            for sec, new in fresh.items():
+                old = self.waiting.getValue((sec,))[0] if self.waiting.containsKey((sec,)) else []
+                self.waiting.updateValue((sec,), ([(r[0], r[1]) for r in old] + new,))
+                first = sec if first is None else min(first, sec)
+        if first is not None:
+            self.handle.registerTimer(self._at(first + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        machine = tuple(self.machine.get()) if self.machine.exists() else (False, None)
+        every = sorted(k[0] for k in self.waiting.keys())
+        for sec in every:
+            if self._at(sec + 1) > now:
+                break
+            rows = sorted(((r[0], r[1]) for r in self.waiting.getValue((sec,))[0]), key=lambda r: (r[0] is not None, r[0]))
+            self.waiting.removeKey((sec,))
+            for i, q in rows:
+                if machine[0] and machine[1] is not None and sec >= machine[1] + self.hold:
+                    yield self._ended(key, machine[1])
+                    machine = (False, None)
+                machine, signal, state = alert_step(machine, sec, q, self.low, self.high, self.hold)
+                yield Row(id=i, k=key[0], sec=sec, q=q, signal=signal, state=state)
+        late = [sec for sec in every if self._at(sec + 1) > now]
+        if machine[0] and machine[1] is not None and not any(sec < machine[1] + self.hold for sec in late):
+            if self._at(machine[1] + self.hold) <= now:
+                yield self._ended(key, machine[1])
+                machine = (False, None)
+            else:
+                self.handle.registerTimer(self._at(machine[1] + self.hold))
+        if late:
+            self.handle.registerTimer(self._at(late[0] + 1))
+        if machine[0]:
+            self.machine.update(machine)
+        elif self.machine.exists():
+            self.machine.clear()
+
+    def _ended(self, key, rec: int) -> Row:
+        return Row(id=None, k=key[0], sec=rec + self.hold, q=None, signal=None, state="normal")
+
+
+def stream_alerts(points: DataFrame, clock: DataFrame, low: float = 2.5, high: float = 3.0, hold: int = 3, delay: str = "10 seconds", origin: int = 0) -> DataFrame:
     """K12 over a stream of (id, k, sec, q). ``sec`` counts seconds from
-    ``origin`` (epoch seconds); event time and watermark are ``origin + sec``.
-    """
-    wm = points.withColumn("_t", F.timestamp_seconds(F.col("sec") + F.lit(int(origin)))).withWatermark("_t", delay)
-    return wm.groupBy("k").applyInPandasWithState(
-        _alert_fn(low, high, hold, int(origin)), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    ``origin`` (epoch seconds); event time and watermark are ``origin + sec``. Needs the RocksDB state store."""
+    rows = points.where("sec is not null").withColumn("at", F.timestamp_seconds(F.col("sec") + F.lit(int(origin))))
+    # the condition names the event time, so that it stays above the watermark, which the clock's rows move
+    rows = with_clock(rows, clock, "at", delay).where("not is_clock or event_time is null")
+    return rows.groupBy("k").transformWithState(
+        statefulProcessor=_Alerts(low, high, hold, int(origin)), outputStructType=ALERT_OUT, outputMode="append", timeMode="EventTime"
     )
 
 
@@ -80,15 +117,47 @@ def running_class_counts(scored: DataFrame, klass: str = "qoe_class") -> DataFra
     return scored.groupBy(klass).agg(F.count(F.lit(1)).alias("c"))
 
 
-def trailing_window_counts(records: DataFrame, ts: str = "ingestion_timestamp", width: int = 30, slide: int = 10, delay: str = "30 seconds") -> DataFrame:
-    """Rows per sliding window of ``width`` seconds every ``slide``
-    seconds. Each row lands in width/slide windows, so the slide is kept
-    coarse; state older than the watermark is dropped."""
-    wm = records.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", delay)
-    w = F.window("_t", f"{int(width)} seconds", f"{int(slide)} seconds")
-    return wm.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n"
-    )
+class _Trailing(StatefulProcessor):
+    """The last panes of a key, oldest first: (second of the pane, rows)."""
+
+    def __init__(self, width: int, slide: int):
+        self.width, self.slide = width, slide
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.panes = handle.getValueState("panes", "at array<bigint>, n array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        at, n = (list(x) for x in self.panes.get()) if self.panes.exists() else ([], [])
+        for t, new in sorted((r.at, r.n) for r in rows):  # the panes that this batch closed: one for each slide of its time
+            while at and at[-1] + self.slide < t:  # panes that nothing came for
+                at.append(at[-1] + self.slide)
+                n.append(0)
+                yield from self._window(key, at, n)
+                if not sum(n):
+                    at, n = [], []
+            at.append(t)
+            n.append(new)
+            yield from self._window(key, at, n)
+        self.panes.update((at, n))
+
+    def _window(self, key, at: list, n: list) -> Iterator[Row]:
+        while at[0] <= at[-1] - self.width:
+            del at[0], n[0]
+        if sum(n):
+            yield Row(feed=key[0], end=at[-1] + self.slide, n=sum(n))
+
+
+def trailing_window_counts(records: DataFrame, clock: DataFrame, ts: str = "ingestion_timestamp", width: int = 30, slide: int = 1, delay: str = "30 seconds", key: str | None = None) -> DataFrame:
+    """Rows of the last ``width`` seconds at every ``slide``: (feed, window_start, window_end, n) where there are any.
+
+    ``key``: a column whose values are feeds of their own (by default all rows are one). Use append mode; needs the RocksDB state store.
+    """
+    feed = F.col(key).cast("string") if key else F.lit("")
+    rows = with_clock(records.select(ts, feed.alias("feed")), clock, ts, delay)
+    panes = rows.groupBy(F.window("event_time", f"{int(slide)} seconds").alias("w"), F.coalesce("feed", F.lit("")).alias("feed")).agg(F.sum(F.when(F.col("is_clock"), 0).otherwise(1)).alias("n"))
+    panes = panes.select("feed", F.unix_seconds("w.start").alias("at"), "n")
+    sums = panes.groupBy("feed").transformWithState(statefulProcessor=_Trailing(int(width), int(slide)), outputStructType="feed string, end long, n long", outputMode="append", timeMode="None")
+    return sums.select("feed", F.timestamp_seconds(F.col("end") - int(width)).alias("window_start"), F.timestamp_seconds("end").alias("window_end"), "n")
 
 
 def keep_latest(updates: DataFrame, keys, order: str = "batch_id") -> DataFrame:
