@@ -16,13 +16,15 @@ from tidemark.operators.scoring import fixed_scorer, score
 from tidemark.plans import oracle as O
 from tidemark.plans.views import SINCE, scored_view, ts_out
 from tidemark.session import work_path
+from tidemark.sinks.commits import read_committed
 from tidemark.sinks.tables import raw_columns, to_headerless_csv, with_defaults, write_monthly
 from tidemark.sources.fixtures import alert_sql, kpi_sql, kpi_view, training_frame
 from tidemark.sources.framing import decode_avro, encode_avro, flatten, frame, schema_id, strip_frame
 from tidemark.sources.tables import TOPIC_SCHEMA, kpi_stream, read_predictions, read_training_csv
 from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
 from tidemark.streaming import stateful as ST
-from tidemark.streaming.pipeline import build_pipeline, decode_messages, run_available, stage_topic
+from tidemark.streaming.monitor import batch_table, require_none_late, watched
+from tidemark.streaming.pipeline import BATCH_METRICS, build_committed, decode_messages, observe_batch, run_available, stage_topic, table_schemas
 
 SID = 1
 AVAILABLE = {"availableNow": True}
@@ -127,31 +129,74 @@ def _run_pipeline(spark, sf_dir, u: UseCase, dirty: bool):
     root = work_path(spark, f"pipeline_{u.name}")
     topic, per = stage_topic(kpi_view(spark, sf_dir, u, dirty=dirty), u, f"{root}/topic", files=4, sid=SID)
     msgs = kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per)
-    q = build_pipeline(msgs, u, fixed_scorer(u), f"{root}/raw", f"{root}/predictions", f"{root}/_checkpoint", AVAILABLE)
-    run_available(q)
-    return root
+    run_available(build_committed(msgs, u, fixed_scorer(u), root, f"{root}/_checkpoint", AVAILABLE))
+    return lambda name: read_committed(spark, root, name, table_schemas(u)[name])
 
 
 def stream_raw(spark, sf_dir):
     """K1-K8 + B2/B7: the raw table written by the stream (all records)."""
     u = CLOUD_GAMING
-    root = _run_pipeline(spark, sf_dir, u, dirty=True)
-    raw = read_predictions(spark, f"{root}/raw")
+    raw = _run_pipeline(spark, sf_dir, u, dirty=True)("raw")
     return ts_out(raw.select("id", *u.features, "ingestion_timestamp"))
 
 
 def stream_predictions(spark, sf_dir):
     """K1-K8 + B3/B7: the predictions table written by the stream."""
     u = VIDEO_STREAMING
-    root = _run_pipeline(spark, sf_dir, u, dirty=True)
-    pred = read_predictions(spark, f"{root}/predictions")
+    pred = _run_pipeline(spark, sf_dir, u, dirty=True)("predictions")
     return ts_out(pred.select("id", *u.features, "predicted_qoe", "qoe_class", "ingestion_timestamp"))
 
 
+def stream_rejected(spark, sf_dir):
+    """C5 + B7: the table of rejected records, with their reasons and the record as decoded from the bytes that were kept."""
+    u = CLOUD_GAMING
+    table = _run_pipeline(spark, sf_dir, u, dirty=True)("rejected")
+    back = flatten(decode_avro(table, u, "original", keep=["id", "reasons", "ingestion_timestamp"]))
+    return ts_out(back.select("id", "reasons", *u.features, "ingestion_timestamp"))
+
+
+def stream_stamps(spark, sf_dir):
+    """The batch's one processing time on all its rows of all tables, and the number of rows in each table that bear it."""
+    u = CLOUD_GAMING
+    table = _run_pipeline(spark, sf_dir, u, dirty=True)
+    times = [table(t).select("batch_id", F.lit(t).alias("table"), F.col(c).alias("stamp")) for t, c in (("raw", "processing_time"), ("predictions", "prediction_timestamp"), ("rejected", "processing_time"))]
+    rows = times[0].unionByName(times[1]).unionByName(times[2])
+    per = rows.groupBy("batch_id").agg(F.count_distinct("stamp").alias("stamps"), *[F.count_if(F.col("table") == t).alias(t) for t in ("raw", "predictions", "rejected")])
+    return per.drop("batch_id")
+
+
+BATCHES = 120
+
+
+def stream_batches(spark, sf_dir):
+    """The log of 120 micro-batches: rows, malformed and valid ones, and none lost to the watermark."""
+    u = CLOUD_GAMING
+    root = work_path(spark, "stream_batches")
+    kpi = kpi_view(spark, sf_dir, u, dirty=True)
+    msgs = encode_avro(kpi, u, SID, keep=["id", "ingestion_timestamp"])
+    part = F.pmod(F.col("id"), F.lit(BATCHES)).cast("int").alias("part")
+    topic = msgs.select(F.lit(None).cast("binary").alias("key"), "value", F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.col("ingestion_timestamp").cast("timestamp").alias("timestamp"), part)
+    topic.repartition(BATCHES, "part").write.partitionBy("part").parquet(f"{root}/topic")  # a file for each batch
+    records = observe_batch(decode_messages(kpi_stream(spark, "parquet", f"{root}/topic", maxFilesPerTrigger=1), u), u).withWatermark("ingestion_timestamp", "30 days")
+    with watched(spark, f"{root}/batches", ("stream_batches",)):
+        run_available(records.groupBy().count().writeStream.queryName("stream_batches").outputMode("complete").option("checkpointLocation", f"{root}/_checkpoint").format("noop").trigger(**AVAILABLE).start())
+    log = require_none_late(batch_table(spark, f"{root}/batches", BATCH_METRICS, "rows bigint, malformed bigint, valid bigint"))
+    return log.where("input_rows > 0").select("rows", "malformed", "valid", "late_rows")
+
+
 def _stream_id(u: UseCase, col: str = "id") -> str:
     return f"sha256('{u.name}_kpi:0:' || CAST({col} AS VARCHAR))"
 
 
+def _rejected_oracle(u: UseCase) -> str:
+    feats = ", ".join(f"CASE WHEN {_any_null(u)} THEN NULL ELSE {f} END AS {f}" for f in u.features)
+    why = ", ".join(O.reason(u, f) for f in u.features)
+    return (
+        f"SELECT {_stream_id(u)} AS id, CASE WHEN {_any_null(u)} THEN 'malformed' ELSE concat_ws(';', {why}) END AS reasons, {feats}, "
+        f"{O.ts_text('ingestion_timestamp')} AS ingestion_time FROM ({kpi_sql(u, dirty=True)}) k WHERE NOT ({O.valid(u)})"
+    )
+
+
 def _batch_sink(path: str):
     def sink(batch, batch_id):
         batch.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
@@ -259,6 +304,9 @@ def io_queries() -> dict:
         "avro_roundtrip_video": q_avro_roundtrip(VIDEO_STREAMING),
         "stream_raw": stream_raw,
         "stream_predictions": stream_predictions,
+        "stream_rejected": stream_rejected,
+        "stream_stamps": stream_stamps,
+        "stream_batches": stream_batches,
         "stream_class_counts": stream_class_counts,
         "train_linreg": q_train("linreg"),
         "linear_facts": linear_facts,
@@ -297,6 +345,16 @@ def io_oracle() -> dict[str, str]:
             f"SELECT {_stream_id(vs)} AS id, {feats_v}, predicted_qoe, qoe_class, {O.ts_text('ingestion_timestamp')} AS ingestion_time "
             f"FROM {O.scored(vs, dirty=True)} p"
         ),
+        "stream_rejected": _rejected_oracle(cg),
+        "stream_stamps": (
+            f"SELECT CAST(1 AS BIGINT) AS stamps, count(*) AS raw, CAST(count(*) FILTER (WHERE {O.valid(cg)}) AS BIGINT) AS predictions, "
+            f"CAST(count(*) FILTER (WHERE NOT ({O.valid(cg)})) AS BIGINT) AS rejected FROM "
+            f"(SELECT *, (id - min(id) OVER ()) // ((max(id) OVER () - min(id) OVER ()) // 4 + 1) AS batch FROM ({kpi_sql(cg, dirty=True)}) k) x GROUP BY batch"
+        ),
+        "stream_batches": (
+            f"SELECT count(*) AS rows, CAST(count(*) FILTER (WHERE {_any_null(cg)}) AS BIGINT) AS malformed, "
+            f"CAST(count(*) FILTER (WHERE {O.valid(cg)}) AS BIGINT) AS valid, CAST(0 AS BIGINT) AS late_rows FROM ({kpi_sql(cg, dirty=True)}) k GROUP BY id % 120"
+        ),
         "stream_class_counts": f"SELECT qoe_class, count(*) AS c FROM {O.scored(cg)} p GROUP BY qoe_class",
     }
 

@@ -14,19 +14,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import second_now
-from tidemark.operators.quality import is_valid
+from tidemark.operators.quality import is_valid, reasons
 from tidemark.operators.scoring import score
-from tidemark.sinks.tables import fan_out, write_predictions, write_raw
+from tidemark.sinks.commits import by_month, commit_sink
+from tidemark.sinks.tables import fan_out, prediction_columns, raw_columns, with_defaults, write_predictions, write_raw
 from tidemark.sources.framing import decode_avro, encode_avro, flatten
 from tidemark.spec import UseCase
 
 
-def decode_messages(messages: DataFrame, u: UseCase, framed: bool = True) -> DataFrame:
+def decode_messages(messages: DataFrame, u: UseCase, framed: bool = True, original: str | None = None) -> DataFrame:
     """A2-A4 + K8: Kafka-shaped messages -> KPI records with a stable id and
-    the message time (to the second) as ingestion timestamp."""
+    the message time (to the second) as ingestion timestamp. ``original``: a
+    column that keeps the bytes of the message."""
     keep = ["topic", "partition", "offset", "timestamp"]
+    if original:
+        messages, keep = messages.withColumn(original, F.col("value")), [*keep, original]
     dec = flatten(decode_avro(messages, u, "value", framed=framed, keep=keep))
     rid = F.sha2(F.concat_ws(":", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string")), 256)
     return dec.select(
@@ -35,6 +40,7 @@ def decode_messages(messages: DataFrame, u: UseCase, framed: bool = True) -> Dat
         F.date_trunc("second", F.col("timestamp")).alias("ingestion_timestamp"),
         "offset",
         "_malformed",
+        *([original] if original else []),
     )
 
 
@@ -55,6 +61,40 @@ def pipeline_sink(u: UseCase, model, raw_path: str, pred_path: str):
     return fan_out(raw, predictions)
 
 
+REJECTED = ["id", "reasons", "original", "processing_time", "ingestion_timestamp"]
+
+
+def rejected(records: DataFrame, u: UseCase) -> DataFrame:
+    """The records that no scorer takes, with what is wrong and the bytes they came in; those that cannot be decoded are ``malformed``."""
+    why = F.when(F.col("_malformed"), F.lit("malformed")).otherwise(F.array_join(reasons(u), ";"))
+    return records.withColumn("reasons", why).where("reasons <> ''").select(*REJECTED)
+
+
+def build_committed(messages: DataFrame, u: UseCase, model, root: str, checkpoint: str, trigger: dict | None = None, query_name: str | None = None):
+    """Start the scoring stream into the tables ``raw``, ``predictions`` and ``rejected`` of ``root``, which
+    readers see batch by batch (``sinks.commits``): every record in raw, and in one of the other two."""
+    records = observe_batch(stamp(decode_messages(messages, u, original="original")), u)
+    tables = {
+        "raw": lambda b: by_month(with_defaults(b, raw_columns(u))),
+        "predictions": lambda b: by_month(with_defaults(score(b, u, model), prediction_columns(u))),
+        "rejected": lambda b: by_month(rejected(b, u)),
+    }
+    w = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(commit_sink(root, tables))
+    if query_name:
+        w = w.queryName(query_name)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def table_schemas(u: UseCase) -> dict[str, T.StructType]:
+    """Columns of the tables that ``build_committed`` writes."""
+    kinds = {f: u.spark_type(f) for f in u.features} | {"predicted_qoe": T.DoubleType(), "original": T.BinaryType()}
+    kind = lambda c: kinds.get(c) or (T.TimestampType() if c.endswith(("_time", "_timestamp")) else T.StringType())
+    columns = {"raw": raw_columns(u), "predictions": prediction_columns(u), "rejected": REJECTED}
+    return {name: T.StructType([T.StructField(c, kind(c)) for c in cs]) for name, cs in columns.items()}
+
+
 BATCH_METRICS = "kpi_batch"
 
 
