@@ -51,13 +51,16 @@ def fold_linear(model, features) -> LinearScorer | None:
     LinearScorer. Returns None when the model is not linear.
     """
     from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import StandardScalerModel
+    from pyspark.ml.feature import StandardScalerModel, VectorAssembler
     from pyspark.ml.regression import LinearRegressionModel
 
     stages = model.stages if isinstance(model, PipelineModel) else [model]
     lin = stages[-1]
     if not isinstance(lin, LinearRegressionModel):
         return None
+    assemblers = [s for s in stages if isinstance(s, VectorAssembler)]
+    if assemblers:
+        features = assemblers[0].getInputCols()
     coefs = list(lin.coefficients.toArray())
     intercept = float(lin.intercept)
     scalers = [s for s in stages if isinstance(s, StandardScalerModel)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.plans.catalog import batch_queries
 from tidemark.plans.io_catalog import io_oracle, io_queries
+from tidemark.plans.model_catalog import model_oracle, model_queries
 from tidemark.plans.oracle import batch_oracle
 from tidemark.plans.stream_catalog import stream_oracle, stream_queries
 from tidemark.session import configure
@@ -19,8 +20,8 @@ def _configured(fn):
 
 
 def all_queries() -> dict:
-    return {k: _configured(v) for k, v in {**batch_queries(), **io_queries(), **stream_queries()}.items()}
+    return {k: _configured(v) for k, v in {**batch_queries(), **io_queries(), **stream_queries(), **model_queries()}.items()}
 
 
 def all_oracle() -> dict[str, str]:
-    return {**batch_oracle(), **io_oracle(), **stream_oracle()}
+    return {**batch_oracle(), **io_oracle(), **stream_oracle(), **model_oracle()}
