@@ -123,19 +123,3 @@ def test_leaderboard_promotes_lowest_rmse(spark):
     )
     b = {r.model: (r.rank, r.promoted) for r in ML.leaderboard(df).collect()}
     assert b == {"c": (1, True), "a": (2, False), "b": (3, False)}
-
-
-def test_promotion_keeps_final_model(spark, tmp_dir):
-    u = CLOUD_GAMING
-    df = training_frame(spark, SF_SMALL, u)
-    train, test = ML.train_test_split(df)
-    models = [ML.DEFAULT_MODELS[0], ML.DEFAULT_MODELS[1]]
-    for _ in range(2):  # a second run must not delete the promoted model
-        fitted, _ = ML.fit_all(train, u, models)
-        for n, m in fitted.items():
-            ML.save_model(m, tmp_dir, u.name, n)
-        board = ML.evaluate_all(fitted, test, u)
-        reg = ML.promote_best(board, fitted, tmp_dir, u.name)
-    best = ML.load_model(ML.final_path(tmp_dir, u.name))
-    assert raw_score(test, u, best, out="p").count() == test.count()
-    assert ML.select_candidates(reg, u.name).count() == 2

@@ -1,4 +1,4 @@
-"""Training, evaluation and promotion as Spark jobs.
+"""Training and evaluation as Spark jobs (C3, E5-E10, F1-F10); stored models are in ``registry.py``.
 
 Everything runs on executors: the split is a hash order refined by small
 histograms, class weights and scaling statistics are tiny aggregates, models are
@@ -230,9 +230,9 @@ def _memory_mb(text: str | None, default: float) -> float:
 
 def node_stats_budget_mb(spark: SparkSession | None = None) -> int:
     """Memory for the tree-node histograms each training task builds per data
-    pass (MLlib ``maxMemoryInMB``, allocated by every concurrent task): half
+    pass (MLlib ``maxMemoryInMB``, allocated by every concurrent task): a quarter
     of one executor's heap split over its task slots, bounded to [64, 2048]
-    MB. Executor heap = ``spark.executor.memory`` (Spark's 1g default when
+    MB; as much again is in flight while the histograms of a pass are merged. Executor heap = ``spark.executor.memory`` (Spark's 1g default when
     unset); in local mode the driver JVM's heap, which is the executor. More
     memory = more nodes split per pass = fewer passes."""
     if spark is None:
@@ -244,7 +244,7 @@ def node_stats_budget_mb(spark: SparkSession | None = None) -> int:
     else:
         heap = _memory_mb(spark.conf.get("spark.executor.memory", None), 1024.0)
         slots = int(spark.conf.get("spark.executor.cores", "1")) // max(1, int(spark.conf.get("spark.task.cpus", "1")))
-    return int(min(2048, max(64, heap / 2 / max(1, slots))))
+    return int(min(2048, max(64, heap / 4 / max(1, slots))))
 
 
 def make_model(model_type: str, params: dict | None = None, features_col: str = "features", label: str = "label", weight: str | None = "w", spark: SparkSession | None = None, label_std: float = 1.0):
@@ -286,9 +286,7 @@ def make_model(model_type: str, params: dict | None = None, features_col: str =
     if model_type == "RandomForestRegressor":
         kw.setdefault("featureSubsetStrategy", "all")
         kw.setdefault("maxBins", 128)
-        # deep forests: more node statistics per pass, node ids cached per row
-        kw.setdefault("maxMemoryInMB", node_stats_budget_mb(spark))
-        kw.setdefault("cacheNodeIds", True)
+        kw.setdefault("maxMemoryInMB", node_stats_budget_mb(spark))  # deep forests: as many nodes a pass as memory allows
         est = RandomForestRegressor(featuresCol=features_col, labelCol=label, **kw)
         if use_w:
             est.setWeightCol(use_w)
@@ -320,8 +318,8 @@ def training_rows(train: DataFrame, u: UseCase, id_col: str = "id") -> DataFrame
     return rows.repartition(parts, "_k").sortWithinPartitions("_k", *keys).select("features", "label", "w")
 
 
-def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int = 4):
-    """fit each configured model; a failure is reported, not raised, unless no model fits.
+def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int = 4, strict: bool = False):
+    """fit each configured model; a failure is reported, not raised, unless no model fits or ``strict`` is set.
 
     The training frame (features, label, weight) is cached once and the models are
     fitted on it side by side.
@@ -331,6 +329,7 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int =
     from multiprocessing.pool import ThreadPool
 
     spark = train.sparkSession
+    owned = not train.is_cached  # a frame that the caller has cached stays so
     train = train.cache()
     data = training_rows(train, u).cache()
     try:
@@ -348,10 +347,11 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int =
             done = pool.map(fit, models, chunksize=1)
     finally:
         data.unpersist()
-        train.unpersist()
+        if owned:
+            train.unpersist()
     fitted = {name: m for name, m, _ in done if m is not None}
-    if models and not fitted:
-        raise RuntimeError("no model could be fitted: " + "; ".join(f"{name}: {e}" for name, _, e in done))
+    if models and (not fitted or strict and len(fitted) < len(done)):
+        raise RuntimeError("models that could not be fitted: " + "; ".join(f"{name}: {e}" for name, m, e in done if m is None))
     report = [(u.name, name, "ok" if m is not None else "failed", e) for name, m, e in done]
     return fitted, spark.createDataFrame(report, "dataset string, model string, status string, error string")
 
@@ -425,51 +425,3 @@ def evaluate_all(fitted: dict, test: DataFrame, u: UseCase) -> DataFrame:
     spark = test.sparkSession
     schema = "dataset string, model string, mae double, rmse double, r2 double, class_accuracy double"
     return leaderboard(spark.createDataFrame([tuple(r) for r in rows], schema))
-
-
-# ------------------------------------------------------- persistence, registry
-
-
-def model_path(root: str, dataset: str, name: str) -> str:
-    return f"{root.rstrip('/')}/candidates/{dataset}_{name}"
-
-
-def final_path(root: str, dataset: str) -> str:
-    return f"{root.rstrip('/')}/final/{dataset}_model"
-
-
-def save_model(model, root: str, dataset: str, name: str) -> str:
-    """One artifact per (dataset, model)."""
-    path = model_path(root, dataset, name)
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str):
-    """Load any saved MLlib model / pipeline model."""
-    from pyspark.ml.util import DefaultParamsReader
-    from pyspark.sql import SparkSession as S
-
-    return DefaultParamsReader.loadParamsInstance(path, S.getActiveSession())
-
-
-def select_candidates(registry: DataFrame, dataset: str) -> DataFrame:
-    """Candidate artifacts of one dataset (final models live elsewhere)."""
-    return registry.filter((F.col("dataset") == dataset) & (F.col("kind") == "candidate"))
-
-
-def promote_best(board: DataFrame, fitted: dict, root: str, dataset: str) -> DataFrame:
-    """Save the winner under ``final/``; candidates stay in their own
-    directory, so promoting never deletes the promoted model.
-    Returns the registry rows (dataset, model, rmse, promoted, kind, path).
-    """
-    rows = board.filter(F.col("dataset") == dataset).orderBy("rank").collect()  # one row per model
-    reg = []
-    for r in rows:
-        reg.append((dataset, r["model"], float(r["rmse"]), bool(r["promoted"]), "candidate", model_path(root, dataset, r["model"])))
-        if r["promoted"]:
-            fitted[r["model"]].write().overwrite().save(final_path(root, dataset))
-            reg.append((dataset, r["model"], float(r["rmse"]), True, "final", final_path(root, dataset)))
-    spark = board.sparkSession
-    return spark.createDataFrame(reg, "dataset string, model string, rmse double, promoted boolean, kind string, path string")
-

@@ -24,14 +24,14 @@ def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
     data = spark.read.parquet(f"{path.rstrip('/')}/data")
     trees = spark.read.parquet(f"{path.rstrip('/')}/treesMetadata")
     key, _, weight = trees.columns[:3]
-    n = F.col("nodeData")
+    n, split = F.col("nodeData"), F.col("nodeData.split")
     leaf = n["leftChild"] < 0
-    cut = F.when(~leaf, F.when(n["split.numCategories"] == -1, F.element_at(n["split.leftCategoriesOrThreshold"], 1)).otherwise(F.raise_error(F.lit("categorical split"))))
+    cut = F.when(~leaf, F.when(split["numCategories"] == -1, F.element_at(split["leftCategoriesOrThreshold"], 1)).otherwise(F.raise_error(F.lit("categorical split"))))
     inner = lambda c: F.when(~leaf, c)
     nodes = data.select(
         F.col("treeID").alias("tree"),
         n["id"].alias("node"),
-        inner(n["split.featureIndex"]).alias("feature"),
+        inner(split["featureIndex"]).alias("feature"),
         cut.alias("threshold"),
         inner(n["leftChild"]).alias("left_child"),
         inner(n["rightChild"]).alias("right_child"),

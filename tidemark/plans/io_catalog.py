@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import ts_text
 from tidemark.operators import ml as ML
 from tidemark.operators.dashboard import read_since
+from tidemark.operators.registry import Registry
 from tidemark.operators.scoring import fixed_scorer, score
 from tidemark.plans import oracle as O
 from tidemark.plans.views import SINCE, scored_view, ts_out
@@ -234,7 +235,7 @@ def q_train(model_name: str, u: UseCase = CLOUD_GAMING):
         df = training_frame(spark, sf_dir, u)
         train, test = ML.train_test_split(df, seed=u.seed, test_size=u.test_size)
         models = [m for m in ML.DEFAULT_MODELS if m[0] == model_name]
-        fitted, _ = ML.fit_all(train, u, models)
+        fitted, _ = ML.fit_all(train, u, models, strict=True)
         return ML.evaluate_all(fitted, test, u)
 
     return run
@@ -272,20 +273,17 @@ def linear_facts(spark, sf_dir):
 
 
 def best_model_scores(spark, sf_dir):
-    """Train all configured models, promote the lowest
-    RMSE, load the promoted artifact and score the KPI records with it."""
+    """Train all configured models, store them, promote the one of lowest
+    RMSE from the stored artifacts, load the promoted one and score the KPI records with it."""
     u = VIDEO_STREAMING
-    root = work_path(spark, "models")
+    registry = Registry(spark, work_path(spark, "models"))
     df = training_frame(spark, sf_dir, u)
     train, test = ML.train_test_split(df, seed=u.seed, test_size=u.test_size)
-    train, test = train.cache(), test.cache()
-    fitted, _ = ML.fit_all(train, u)
+    fitted, _ = ML.fit_all(train, u, strict=True)
     for name, model in fitted.items():
-        ML.save_model(model, root, u.name, name)
-    board = ML.evaluate_all(fitted, test, u)
-    ML.promote_best(board, fitted, root, u.name)
-    best = ML.load_model(ML.final_path(root, u.name))
-    scored = score(kpi_view(spark, sf_dir, u), u, best)
+        registry.register(u.name, "all", name, model)
+    registry.promote(registry.evaluate(test, u, "all"), u.name, "all")
+    scored = score(kpi_view(spark, sf_dir, u), u, registry.load_final(u.name))
     return scored.groupBy("qoe_class").agg(F.count(F.lit(1)).alias("c"))
 
 

@@ -118,45 +118,65 @@ def running_class_counts(scored: DataFrame, klass: str = "qoe_class") -> DataFra
 
 
 class _Trailing(StatefulProcessor):
-    """The last panes of a key, oldest first: (second of the pane, rows)."""
+    """The last panes of a key, oldest first: (second of the pane, rows). While one of them has rows, an event-time timer brings the next window."""
 
     def __init__(self, width: int, slide: int):
         self.width, self.slide = width, slide
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.panes = handle.getValueState("panes", "at array<bigint>, n array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        at, n = (list(x) for x in self.panes.get()) if self.panes.exists() else ([], [])
-        for t, new in sorted((r.at, r.n) for r in rows):  # the panes that this batch closed: one for each slide of its time
-            while at and at[-1] + self.slide < t:  # panes that nothing came for
-                at.append(at[-1] + self.slide)
-                n.append(0)
-                yield from self._window(key, at, n)
-                if not sum(n):
-                    at, n = [], []
-            at.append(t)
-            n.append(new)
-            yield from self._window(key, at, n)
-        self.panes.update((at, n))
-
-    def _window(self, key, at: list, n: list) -> Iterator[Row]:
-        while at[0] <= at[-1] - self.width:
+        at, n = self._held()
+        for t, new in sorted((r.at, r.n) for r in rows):  # the panes that this batch closed: at most one for each slide of its time
+            yield from self._filled(key, at, n, t)
+            yield from self._add(key, at, n, t, new)
+        self._keep(at, n)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at, n = self._held()
+        yield from self._filled(key, at, n, timerValues.getCurrentWatermarkInMs() // 1000)
+        self._keep(at, n)
+
+    def _held(self) -> tuple[list, list]:
+        return tuple(list(x) for x in self.panes.get()) if self.panes.exists() else ([], [])
+
+    def _keep(self, at: list, n: list) -> None:
+        if at:
+            self.panes.update((at, n))
+            self.handle.registerTimer((at[-1] + 2 * self.slide) * 1000)  # the end of the next pane
+        elif self.panes.exists():
+            self.panes.clear()
+
+    def _filled(self, key, at: list, n: list, until: int) -> Iterator[Row]:
+        """Panes without rows that end by ``until``, as long as a window sees a row."""
+        while at and at[-1] + 2 * self.slide <= until:
+            yield from self._add(key, at, n, at[-1] + self.slide, 0)
+
+    def _add(self, key, at: list, n: list, t: int, new: int) -> Iterator[Row]:
+        at.append(t)
+        n.append(new)
+        while at[0] <= t - self.width:
             del at[0], n[0]
         if sum(n):
-            yield Row(feed=key[0], end=at[-1] + self.slide, n=sum(n))
+            yield Row(feed=key[0], end=t + self.slide, n=sum(n))
+        else:
+            at.clear()
+            n.clear()
 
 
 def trailing_window_counts(records: DataFrame, clock: DataFrame, ts: str = "ingestion_timestamp", width: int = 30, slide: int = 1, delay: str = "30 seconds", key: str | None = None) -> DataFrame:
     """Rows of the last ``width`` seconds at every ``slide``: (feed, window_start, window_end, n) where there are any.
 
-    ``key``: a column whose values are feeds of their own (by default all rows are one). Use append mode; needs the RocksDB state store.
+    ``key``: a column whose values are feeds of their own (by default all rows are one); rows without a key are the feed ''.
+    Use append mode; needs the RocksDB state store.
     """
-    feed = F.col(key).cast("string") if key else F.lit("")
-    rows = with_clock(records.select(ts, feed.alias("feed")), clock, ts, delay)
-    panes = rows.groupBy(F.window("event_time", f"{int(slide)} seconds").alias("w"), F.coalesce("feed", F.lit("")).alias("feed")).agg(F.sum(F.when(F.col("is_clock"), 0).otherwise(1)).alias("n"))
-    panes = panes.select("feed", F.unix_seconds("w.start").alias("at"), "n")
-    sums = panes.groupBy("feed").transformWithState(statefulProcessor=_Trailing(int(width), int(slide)), outputStructType="feed string, end long, n long", outputMode="append", timeMode="None")
+    feed = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else F.lit("")
+    rows = with_clock(records.select(ts, feed.alias("feed")), clock, ts, delay).where("not is_clock or event_time is null")
+    panes = rows.groupBy(F.window("event_time", f"{int(slide)} seconds").alias("w"), "feed").agg(F.count(F.lit(1)).alias("n"))
+    panes = panes.select("feed", F.window_time("w").alias("event_time"), F.unix_seconds("w.start").alias("at"), "n")
+    sums = panes.groupBy("feed").transformWithState(statefulProcessor=_Trailing(int(width), int(slide)), outputStructType="feed string, end long, n long", outputMode="append", timeMode="EventTime")
     return sums.select("feed", F.timestamp_seconds(F.col("end") - int(width)).alias("window_start"), F.timestamp_seconds("end").alias("window_end"), "n")
 
 
