@@ -11,10 +11,11 @@ far, ``rec`` = first R time of the current episode. degraded iff ls = D;
 recovering iff ls = R and ep > 0 and t < rec + hold; else normal.
 
 Scale: a prefix scan over one key would order that key's whole history in one
-task. Instead rows are cut into (key, time chunk) segments; windows run per
+task. Instead rows are cut into segments: (key, time chunk), and where a chunk has more than
+``segment_rows`` rows, its seconds by their running count, and a second that alone has more its ids by quantiles. Windows run per
 segment, and each segment receives a carry-in state (ls, ep, rec) computed from
 a per-segment summary table that holds one row per segment. The result equals
-the sequential loop exactly, whatever the chunk width.
+the sequential loop exactly, whatever the segments.
 """
 
 from __future__ import annotations
@@ -22,12 +23,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import fixed2, is_number
+from tidemark.functions.scalars import clamp, fixed2, is_number
+from tidemark.operators.dashboard import id_cuts, id_part, latest_per_series
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
 
+def segmented(df: DataFrame, key: str, t: str, id_col: str, chunk: int, segment_rows: int) -> DataFrame:
+    """``df`` with its segment ``_c``, in the order of (t, id) within a key: the chunk of time, and in a chunk of more than
+    ``segment_rows`` rows the part that the running count of its seconds gives, and in such a second one of 256 parts by id.
+    """
+    rows = df.withColumn("_b", F.floor(F.col(t) / F.lit(chunk)).cast("bigint"))
+    seconds = rows.groupBy(F.col(key).alias("_sk"), F.col("_b").alias("_sb"), F.col(t).alias("_st")).agg(F.count(F.lit(1)).alias("_n"))
+    by_chunk = Window.partitionBy("_sk", "_sb")  # at most ``chunk`` seconds
+    seconds = seconds.withColumn("_all", F.sum("_n").over(by_chunk)).where(F.col("_all") > segment_rows)
+    before = F.coalesce(F.sum("_n").over(by_chunk.orderBy("_st").rowsBetween(UNB, -1)), F.lit(0))
+    # a new part where the running count passes a multiple, and an odd one of its own for a second that is too large
+    seconds = seconds.withColumn("_p", 2 * F.floor(before / segment_rows) + F.when(F.col("_n") > segment_rows, 1).otherwise(0))
+    busy = seconds.where(F.col("_n") > segment_rows).select(F.col("_sk").alias(key), F.col("_st").alias(t))
+    cuts = id_cuts(df, busy, [key, t], id_col, 256)
+    dense = seconds.join(cuts, F.col("_sk").eqNullSafe(F.col(f"_{key}")) & F.col("_st").eqNullSafe(F.col(f"_{t}")), "left").select("_sk", "_st", "_p", "_cuts")
+    rows = rows.join(dense, F.col(key).eqNullSafe(F.col("_sk")) & F.col(t).eqNullSafe(F.col("_st")), "left")
+    part = id_part("_cuts", id_col)
+    segment = F.struct(F.col("_b").alias("chunk"), F.coalesce("_p", F.lit(0)).alias("part"), part.alias("ids"))
+    return rows.select(*df.columns, segment.alias("_c"))
+
+
 def alert_states(
     df: DataFrame,
     key: str = "k",
@@ -38,14 +60,13 @@ def alert_states(
     high: float = 3.0,
     hold: int = 3,
     chunk: int = 60,
+    segment_rows: int = 100_000,
 ) -> DataFrame:
     """Per-row alert state; ``t`` is a numeric time in seconds (bigint)."""
     v = F.col(value)
     # a value that is no number gives no signal (Spark would order NaN above all)
     sig = F.when(is_number(v) & (v < F.lit(low)), F.lit("D")).when(is_number(v) & (v >= F.lit(high)), F.lit("R"))
-    s = df.select(id_col, key, t, value).withColumn("_sig", sig).withColumn(
-        "_c", F.floor(F.col(t) / F.lit(int(chunk))).cast("bigint")
-    )
+    s = segmented(df.select(id_col, key, t, value).withColumn("_sig", sig), key, t, id_col, int(chunk), int(segment_rows))
 
     # 1) local scan inside each (key, chunk) segment
     seg = Window.partitionBy(key, "_c").orderBy(t, id_col).rowsBetween(UNB, CUR)
@@ -89,6 +110,15 @@ def alert_states(
     return j.select(id_col, key, t, value, F.col("_sig").alias("signal"), state.alias("state"))
 
 
+def latest_by_second(points: DataFrame, ts: str = "ingestion_timestamp", value: str = "predicted_qoe", id_col: str = "id") -> DataFrame:
+    """The feed of a dashboard's one alert: the last value of every second, clamped to the chart's range, as (id, k, sec, q) with one series 0.
+
+    A partial aggregate for each second, so the busiest second comes to a task as one row of each task before it.
+    """
+    latest = latest_per_series(points.where(F.col(ts).isNotNull()).withColumn("sec", F.unix_seconds(F.col(ts).cast("timestamp"))), "sec", value, ts, id_col)
+    return latest.select(F.col("latest_id").alias("id"), F.lit(0).cast("bigint").alias("k"), "sec", clamp(F.col(value)).alias("q"))
+
+
 # Alert texts of the dashboard.
 DEGRADED_TITLE = "QoE Degradation Detected"
 RECOVERED_TITLE = "QoE Recovered"

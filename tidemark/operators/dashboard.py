@@ -9,8 +9,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.functions.scalars import class_rank, clamp, iso_utc, severity_band
 
@@ -97,13 +101,26 @@ def chart_points(points: DataFrame, ts: str = TS, value: str = "predicted_qoe")
     )
 
 
-def cumulative_class_counts(df: DataFrame, tick: str = "day", klass: str = "qoe_class", ts: str = TS) -> DataFrame:
-    """Running total per class over ticks. Deltas are aggregated first, so
-    the window sees one row per (class, tick), never raw rows.
+#: Seconds of a chunk of ticks: some thousand ticks each.
+TICK_CHUNK = {"second": 3_600, "minute": 172_800, "hour": 7_776_000, "day": 315_360_000}
+
+
+def cumulative_class_counts(df: DataFrame, tick: str = "day", klass: str = "qoe_class", ts: str = TS, chunk: int | None = None) -> DataFrame:
+    """Running total per class over ticks, as a prefix sum in two levels.
+
+    Deltas per (class, tick) are aggregated first. They are summed by (class, chunk of time); the running total over the
+    chunks, one row each, is what a chunk begins with; inside a chunk a window adds up at most ``chunk`` seconds of ticks. So no
+    task holds a class's ticks. Rows without a time are the first chunk.
     """
+    size = int(chunk or TICK_CHUNK.get(tick, 315_360_000))
     deltas = df.groupBy(F.date_trunc(tick, F.col(ts)).alias("tick"), F.col(klass)).agg(F.count(F.lit(1)).alias("delta"))
-    w = Window.partitionBy(klass).orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return deltas.withColumn("total", F.sum("delta").over(w).cast("bigint"))
+    deltas = deltas.withColumn("_c", F.floor(F.unix_seconds(F.col("tick").cast("timestamp")) / F.lit(size)))
+    chunks = deltas.groupBy(F.col(klass).alias("_k"), F.col("_c").alias("_chunk")).agg(F.sum("delta").alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select("_k", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = deltas.join(chunks, F.col(klass).eqNullSafe(F.col("_k")) & F.col("_c").eqNullSafe(F.col("_chunk")))
+    inside = Window.partitionBy(klass, "_c").orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.select("tick", klass, "delta", (F.col("_before") + F.sum("delta").over(inside)).cast("bigint").alias("total"))
 
 
 def latest_per_series(df: DataFrame, key: str, value: str, ts: str = TS, id_col: str = "id") -> DataFrame:
@@ -167,14 +184,43 @@ def tick_counts(df: DataFrame, tick: str = "second", klass: str = "qoe_class", t
     return df.groupBy(F.date_trunc(tick, F.col(ts)).alias("tick"), F.col(klass)).agg(F.count(F.lit(1)).alias("c"))
 
 
-def tick_points(df: DataFrame, tick: str = "second", limit: int = 500, ts: str = TS, value: str = "predicted_qoe", id_col: str = "id") -> DataFrame:
+def id_cuts(rows: DataFrame, busy: DataFrame, keys: list[str], id_col: str, parts: int) -> DataFrame:
+    """For the ``busy`` groups alone, ``parts`` - 1 approximate quantiles of their ids as ``_cuts``; the keys come with a leading ``_``. Ids that are no numbers have none."""
+    named = busy.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    found = rows.join(named, same, "left_semi").groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+    if not isinstance(rows.schema[id_col].dataType, NumericType):
+        return found.agg(F.lit(None).cast("array<double>").alias("_cuts"))
+    return found.agg(F.percentile_approx(id_col, F.lit([i / parts for i in range(1, parts)]), 10_000).alias("_cuts"))
+
+
+def id_part(cuts: str, id_col: str) -> Column:
+    """How many cuts are below the id; 0 without cuts."""
+    return F.coalesce(F.when(F.col(cuts).isNotNull(), F.size(F.filter(cuts, lambda c: c < F.col(id_col)))), F.lit(0))
+
+
+def tick_points(df: DataFrame, tick: str = "second", limit: int = 500, ts: str = TS, value: str = "predicted_qoe", id_col: str = "id", slices: int = 4096) -> DataFrame:
     """Points of each tick in (time, id) order with their position and page.
 
     A page has ``limit`` points; a busy tick has as many pages as it needs, so
-    the points of all pages are the rows of the tick.
+    the points of all pages are the rows of the tick. Positions are counted in two levels: a tick's time is cut into
+    ``slices`` and, where many rows share one, its ids by ``slices`` quantiles; rows are counted per slice, and a slice begins where those before it end. So
+    a tick's rows are never in one task.
     """
-    w = Window.partitionBy("tick").orderBy(F.col(ts), F.col(id_col))
-    pts = df.select(F.date_trunc(tick, F.col(ts)).alias("tick"), ts, id_col, value).withColumn("pos", F.row_number().over(w))
+    rows = df.select(F.date_trunc(tick, F.col(ts)).alias("tick"), ts, id_col, value)
+    width = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}.get(tick, 86400 * 31) * 1_000_000
+    micros = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("tick").cast("timestamp"))
+    rows = rows.withColumn("_s", F.floor(micros * slices / F.lit(width)).cast("int"))
+    busy = rows.groupBy("tick", "_s").count().where(F.col("count") > 50 * limit)
+    cuts = id_cuts(rows, busy, ["tick", "_s"], id_col, 64)
+    rows = rows.join(cuts, F.col("tick").eqNullSafe(F.col("_tick")) & F.col("_s").eqNullSafe(F.col("__s")), "left")
+    rows = rows.select("tick", ts, id_col, value, F.struct(F.col("_s").alias("s"), id_part("_cuts", id_col).alias("c")).alias("_slice"))
+    sizes = rows.groupBy(F.col("tick").alias("_t"), F.col("_slice").alias("_sl")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_t").orderBy("_sl").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_t", "_sl", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.join(sizes, F.col("tick").eqNullSafe(F.col("_t")) & F.col("_slice").eqNullSafe(F.col("_sl")))
+    inside = Window.partitionBy("tick", "_slice").orderBy(F.col(ts), F.col(id_col))
+    pts = rows.select("tick", ts, id_col, value, (F.col("_before") + F.row_number().over(inside)).cast("int").alias("pos"))
     return pts.withColumn("page", F.floor((F.col("pos") - 1) / limit).cast("int"))
 
 

@@ -83,6 +83,19 @@ def cumulative_class_counts(spark, sf_dir):
     return cum.select(ts_text(F.col("tick")).alias("tick"), "qoe_class", "delta", "total")
 
 
+def cumulative_seconds(spark, sf_dir):
+    """E3 at second ticks: running totals as a prefix sum over chunks of time."""
+    cum = DB.cumulative_class_counts(scored_view(spark, sf_dir, VIDEO_STREAMING), tick="second")
+    return ts_out(cum, "tick", "tick")
+
+
+def series_alerts(spark, sf_dir):
+    """The alert of the one unkeyed series, fed with the last clamped value of every second."""
+    states = AL.alert_states(AL.latest_by_second(scored_view(spark, sf_dir, CLOUD_GAMING)), chunk=3600)
+    texts = AL.alert_messages(states).select("id", "title", "description", "value_text")
+    return states.select("id", "sec", "q", "signal", "state").join(texts, "id", "left")
+
+
 def delta_since(spark, sf_dir):
     delta = DB.read_since(scored_view(spark, sf_dir, CLOUD_GAMING, since=SINCE), SINCE)
     c = DB.class_counts(delta)
@@ -276,6 +289,8 @@ def batch_queries() -> dict[str, Query]:
         q[f"{tag}_class_counts"] = q_class_counts(u)
     q.update(
         cumulative_class_counts=cumulative_class_counts,
+        cumulative_seconds=cumulative_seconds,
+        series_alerts=series_alerts,
         delta_since=delta_since,
         next_cursor=next_cursor,
         points_since=points_since,

@@ -17,7 +17,8 @@ from tidemark.operators.scoring import fixed_scorer, score
 from tidemark.plans import oracle as O
 from tidemark.plans.views import SINCE, scored_view, ts_out
 from tidemark.session import work_path
-from tidemark.sinks.commits import read_committed
+from tidemark.sinks.commits import by_month, commit_sink, read_committed
+from tidemark.sinks.compaction import compact, read_merged
 from tidemark.sinks.tables import raw_columns, to_headerless_csv, with_defaults, write_monthly
 from tidemark.sources.fixtures import alert_sql, kpi_sql, kpi_view, training_frame
 from tidemark.sources.framing import decode_avro, encode_avro, flatten, frame, schema_id, strip_frame
@@ -44,6 +45,26 @@ def month_layout(spark, sf_dir):
     return ts_out(back.select("id", *u.features, "predicted_qoe", "qoe_class", "ingestion_timestamp", "ym"))
 
 
+#: The records of odd ids come in the month after.
+LATER_DAYS = 40
+
+
+def merged_months(spark, sf_dir):
+    """Two months written in four batches, the first merged into sorted files, a late batch for it, and all read back once from a cursor on."""
+    u = CLOUD_GAMING
+    root = work_path(spark, "merged")
+    days = F.when(F.col("id") % 2 == 1, F.make_dt_interval(F.lit(LATER_DAYS))).otherwise(F.make_dt_interval(F.lit(0)))
+    kpi = kpi_view(spark, sf_dir, u).withColumn("ingestion_timestamp", (F.col("ingestion_timestamp") + days).cast("timestamp")).withColumn("processing_time", F.lit(None).cast("timestamp"))
+    schema = kpi.select(*raw_columns(u)).schema
+    sink = commit_sink(root, {"raw": lambda b: by_month(b.select(*raw_columns(u)))})
+    for n in range(4):
+        sink(kpi.where(F.col("id") % 5 == n), n)
+    compact(spark, root, "raw", schema, 202401)
+    sink(kpi.where(F.col("id") % 5 == 4), 4)  # rows of the merged month that come late
+    back = read_since(read_merged(spark, root, "raw", schema), SINCE)
+    return ts_out(back.select("id", *u.features, "ingestion_timestamp", "ym"))
+
+
 def csv_roundtrip(spark, sf_dir):
     """A5: training data as CSV with header, read back with the declared schema."""
     u = VIDEO_STREAMING
@@ -293,6 +314,7 @@ def best_model_scores(spark, sf_dir):
 def io_queries() -> dict:
     return {
         "month_layout": month_layout,
+        "merged_months": merged_months,
         "csv_roundtrip": csv_roundtrip,
         "headerless_csv": headerless_csv,
         "insert_defaults": insert_defaults,
@@ -326,6 +348,10 @@ def io_oracle() -> dict[str, str]:
             f"SELECT id, {feats_c}, predicted_qoe, qoe_class, {O.ts_text('ingestion_timestamp')} AS ingestion_time, {ym} AS ym "
             f"FROM {O.scored(cg)} p WHERE ingestion_timestamp > TIMESTAMP '{SINCE}'"
         ),
+        "merged_months": (
+            f"SELECT id, {feats_c}, {O.ts_text('t')} AS ingestion_time, CAST(strftime(t, '%Y%m') AS INTEGER) AS ym FROM "
+            f"(SELECT *, ingestion_timestamp + to_days(CAST(CASE WHEN id % 2 = 1 THEN 40 ELSE 0 END AS INTEGER)) AS t FROM ({kpi_sql(cg)}) k) x WHERE t > TIMESTAMP '{SINCE}'"
+        ),
         "csv_roundtrip": f"SELECT {feats_v}, {vs.target} FROM {O.training(vs)} t",
         "headerless_csv": f"SELECT id, {feats_c}, predicted_qoe, qoe_class FROM {O.scored(cg)} p",
         "insert_facts": "SELECT count(*) AS n, count(*) AS ids, TRUE AS all_uuid, CAST(1 AS BIGINT) AS times, TRUE AS recent FROM events",

@@ -220,6 +220,22 @@ def batch_oracle() -> dict[str, str]:
         f"CAST(sum(delta) OVER (PARTITION BY qoe_class ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total "
         f"FROM (SELECT date_trunc('day', ingestion_timestamp) AS tick, qoe_class, count(*) AS delta FROM {scored(cg)} p GROUP BY 1, 2) d"
     )
+    q["cumulative_seconds"] = (
+        f"SELECT {ts_text('tick')} AS tick, qoe_class, delta, CAST(sum(delta) OVER (PARTITION BY qoe_class ORDER BY tick) AS BIGINT) AS total "
+        f"FROM (SELECT ingestion_timestamp AS tick, qoe_class, count(*) AS delta FROM {scored(vs)} p GROUP BY 1, 2) d"
+    )
+    q["series_alerts"] = f"""
+WITH points AS (SELECT id, CAST(epoch(ingestion_timestamp) AS BIGINT) AS sec, least(5.0::DOUBLE, greatest(1.0::DOUBLE, predicted_qoe)) AS q FROM {scored(cg)} p
+  QUALIFY row_number() OVER (PARTITION BY ingestion_timestamp ORDER BY id DESC) = 1),
+g AS (SELECT *, CASE WHEN q < 2.5 THEN 'D' WHEN q >= 3 THEN 'R' END AS signal FROM points),
+e AS (SELECT *, sum(CASE WHEN signal = 'D' THEN 1 ELSE 0 END) OVER (ORDER BY sec) AS ep FROM g),
+f AS (SELECT *, min(CASE WHEN signal = 'R' THEN sec END) OVER (PARTITION BY ep ORDER BY sec) AS rec FROM e),
+s AS (SELECT *, CASE WHEN signal = 'D' THEN 'degraded' WHEN ep = 0 OR sec >= rec + 3 THEN 'normal' WHEN rec IS NULL THEN 'degraded' ELSE 'recovering' END AS state FROM f)
+SELECT id, sec, q, signal, state,
+  CASE WHEN signal = 'D' THEN 'QoE Degradation Detected' WHEN signal = 'R' AND state = 'recovering' THEN 'QoE Recovered' END AS title,
+  CASE WHEN signal = 'D' THEN 'Quality has dropped to ' || CASE WHEN q < 2 THEN 'Poor' ELSE 'Fair' END || ' level'
+       WHEN signal = 'R' AND state = 'recovering' THEN 'Quality has improved to ' || CASE WHEN q >= 4 THEN 'Excellent' ELSE 'Good' END || ' level' END AS description,
+  CASE WHEN signal = 'D' OR (signal = 'R' AND state = 'recovering') THEN printf('%.2f', q) END AS value_text FROM s"""
     q["delta_since"] = _counts(_since(cg))
     q["next_cursor"] = (
         f"SELECT {ts_text(f'CASE WHEN m > TIMESTAMP {SINCE!r} THEN m ELSE TIMESTAMP {SINCE!r} END')} AS cursor "
