@@ -8,6 +8,7 @@ before any ordered window, so no group of raw rows is gathered in one task.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from functools import reduce
 from operator import and_
@@ -90,6 +91,52 @@ def points_page(df: DataFrame, since_ts, since_id=None, limit: int = 500, until=
     return out.select(id_col, ts, value).orderBy(t, F.col(id_col)).limit(limit)
 
 
+@dataclass
+class Pager:
+    """H1 to the end: pages of ``limit`` points after a cursor that is kept in a table, up to a settle lag behind ``now``.
+
+    The cursor is the (time, id) of the last point of the last page; ``keep`` adds it to the table at ``path`` under the feed's name, one row a page,
+    so a reader that starts again goes on where it was. Points newer than ``now`` less ``settle`` seconds may still have
+    company on the way, so they wait.
+    """
+
+    points: DataFrame
+    path: str
+    feed: str
+    limit: int = 500
+    settle: int = 2
+    ts: str = TS
+    value: str = "predicted_qoe"
+    id_col: str = "id"
+
+    def cursor(self, start) -> tuple:
+        """(time, id, number of pages so far) that this feed has come to."""
+        spark = self.points.sparkSession
+        file = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file):
+            return start, None, 0
+        last = spark.read.parquet(self.path).where(F.col("feed") == self.feed).orderBy(F.col("page").desc()).first()
+        return (last["ts"], last["id"], last["page"]) if last else (start, None, 0)
+
+    def next_page(self, start, now) -> DataFrame:
+        since, last_id, page = self.cursor(start)
+        until = _ts_lit(now) - F.expr(f"INTERVAL {int(self.settle)} SECONDS")
+        return points_page(self.points, since, last_id, self.limit, until, self.ts, self.value, self.id_col).withColumn("page", F.lit(page + 1))
+
+    def keep(self, page: DataFrame) -> int:
+        """Store the cursor behind a page; returns its number of points (at most ``limit``), 0 at the end."""
+        last = page.agg(F.max_by(F.struct(F.col(self.ts).alias("ts"), F.col(self.id_col).alias("id"), "page"), F.struct(self.ts, self.id_col)).alias("c"), F.count(F.lit(1)).alias("n"))
+        last = last.select(F.lit(self.feed).alias("feed"), "c.ts", "c.id", "c.page", "n").where("n > 0").persist()
+        try:
+            row = last.first()
+            if row is None:
+                return 0
+            last.drop("n").coalesce(1).write.mode("append").parquet(self.path)
+            return row["n"]
+        finally:
+            last.unpersist()
+
+
 def chart_points(points: DataFrame, ts: str = TS, value: str = "predicted_qoe") -> DataFrame:
     """Points as the chart plots them: ISO time, raw and clamped value, band."""
     return points.select(

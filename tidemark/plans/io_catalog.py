@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ts_text
 from tidemark.operators import ml as ML
-from tidemark.operators.dashboard import read_since
+from tidemark.operators.dashboard import Pager, read_since
 from tidemark.operators.registry import Registry
-from tidemark.operators.scoring import fixed_scorer, score
+from tidemark.operators.scoring import fixed_scorer, fold_linear, score
 from tidemark.plans import oracle as O
 from tidemark.plans.views import SINCE, scored_view, ts_out
 from tidemark.session import work_path
@@ -65,6 +65,19 @@ def merged_months(spark, sf_dir):
     return ts_out(back.select("id", *u.features, "ingestion_timestamp", "ym"))
 
 
+def paged_to_the_end(spark, sf_dir):
+    """H1: all points since the cursor by pages of a fifth, each written as it comes, with the cursor stored between them."""
+    u = VIDEO_STREAMING
+    root = work_path(spark, "paged")
+    points = scored_view(spark, sf_dir, u)
+    n = read_since(points, SINCE).count()
+    pager = Pager(points, f"{root}/cursors", u.name, limit=max(1, -(-n // 5)))
+    end = points.agg((F.max("ingestion_timestamp") + F.expr("INTERVAL 2 SECONDS")).alias("t")).first()["t"]
+    while pager.keep(page := pager.next_page(SINCE, end)):
+        page.write.mode("append").parquet(f"{root}/pages")
+    return ts_out(spark.read.schema(page.schema).parquet(f"{root}/pages"))
+
+
 def csv_roundtrip(spark, sf_dir):
     """A5: training data as CSV with header, read back with the declared schema."""
     u = VIDEO_STREAMING
@@ -293,6 +306,39 @@ def linear_facts(spark, sf_dir):
     return spark.createDataFrame(out, "dataset string, model string, feature string, optimal boolean")
 
 
+def linear_fit(spark, sf_dir):
+    """Intercept and coefficients of the weighted, scaled regression on all rows, folded to raw features."""
+    u = CLOUD_GAMING
+    fitted, _ = ML.fit_all(training_frame(spark, sf_dir, u), u, [m for m in ML.DEFAULT_MODELS if m[0] == "linreg"], strict=True)
+    line = fold_linear(fitted["linreg"], u.features)
+    return spark.createDataFrame([("intercept", float(line.intercept)), *((f, float(c)) for f, c, _ in line.terms)], "term string, value double").withColumn("value", F.round("value", 6))
+
+
+def _linear_fit_sql(u: UseCase) -> str:
+    """The weighted normal equations, solved by taking out one feature after another and substituting back."""
+    x = [f"x{i}" for i in range(len(u.features))]
+    cols = ", ".join(f"CAST({f} AS DOUBLE) AS {v}" for f, v in zip(u.features, x, strict=True))
+    parts = [
+        f"t AS (SELECT {cols}, {u.target} AS y, CAST(round_even({u.target}, 0) AS INTEGER) AS c FROM {O.training(u)} r)",
+        "k AS (SELECT c, count(*) AS n FROM t GROUP BY c)",
+        "w AS (SELECT t.*, CAST((SELECT sum(n) FROM k) AS DOUBLE) / ((SELECT count(*) FROM k) * n) AS w FROM t JOIN k USING (c))",
+        "m AS (SELECT " + ", ".join(f"sum(w * {v}) / sum(w) AS m_{v}" for v in [*x, "y"]) + " FROM w)",
+        "s0 AS (SELECT w, " + ", ".join(f"{v} - m_{v} AS {v}" for v in [*x, "y"]) + " FROM w, m)",
+    ]
+    for i, v in enumerate(x):
+        later = [*x[i + 1 :], "y"]
+        parts.append(f"r{i} AS (SELECT " + ", ".join(f"sum(w * {v} * {z}) / sum(w * {v} * {v}) AS r_{z}" for z in later) + f" FROM s{i})")
+        parts.append(f"s{i + 1} AS (SELECT w, " + ", ".join(f"{z} - r_{z} * {v} AS {z}" for z in later) + f" FROM s{i}, r{i})")
+    last = len(x) - 1
+    parts.append(f"b{last} AS (SELECT r_y AS b{last} FROM r{last})")
+    for i in range(last - 1, -1, -1):
+        rest = " - ".join(["r_y", *(f"r_{x[j]} * b{j}" for j in range(i + 1, len(x)))])
+        parts.append(f"b{i} AS (SELECT b{i + 1}.*, {rest} AS b{i} FROM r{i}, b{i + 1})")
+    rows = ["SELECT 'intercept' AS term, round(m_y - (" + " + ".join(f"b{i} * m_{v}" for i, v in enumerate(x)) + "), 6) AS value FROM b0, m"]
+    rows += [f"SELECT '{f}', round(b{i}, 6) FROM b0" for i, f in enumerate(u.features)]
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(rows)
+
+
 def best_model_scores(spark, sf_dir):
     """Train all configured models, store them, promote the one of lowest
     RMSE from the stored artifacts, load the promoted one and score the KPI records with it."""
@@ -315,6 +361,7 @@ def io_queries() -> dict:
     return {
         "month_layout": month_layout,
         "merged_months": merged_months,
+        "paged_to_the_end": paged_to_the_end,
         "csv_roundtrip": csv_roundtrip,
         "headerless_csv": headerless_csv,
         "insert_defaults": insert_defaults,
@@ -330,6 +377,7 @@ def io_queries() -> dict:
         "stream_class_counts": stream_class_counts,
         "train_linreg": q_train("linreg"),
         "linear_facts": linear_facts,
+        "linear_fit": linear_fit,
         "train_elasticnet": q_train("elasticnet"),
         "train_rf": q_train("random_forest"),
         "train_gbt": q_train("gradient_boosting"),
@@ -348,6 +396,10 @@ def io_oracle() -> dict[str, str]:
             f"SELECT id, {feats_c}, predicted_qoe, qoe_class, {O.ts_text('ingestion_timestamp')} AS ingestion_time, {ym} AS ym "
             f"FROM {O.scored(cg)} p WHERE ingestion_timestamp > TIMESTAMP '{SINCE}'"
         ),
+        "paged_to_the_end": (
+            f"SELECT id, {O.ts_text('ingestion_timestamp')} AS ingestion_time, predicted_qoe, CAST(floor((row_number() OVER (ORDER BY ingestion_timestamp, id) - 1) / ceil(count(*) OVER () / 5)) AS INTEGER) + 1 AS page "
+            f"FROM {O.scored(vs)} p WHERE ingestion_timestamp > TIMESTAMP '{SINCE}'"
+        ),
         "merged_months": (
             f"SELECT id, {feats_c}, {O.ts_text('t')} AS ingestion_time, CAST(strftime(t, '%Y%m') AS INTEGER) AS ym FROM "
             f"(SELECT *, ingestion_timestamp + to_days(CAST(CASE WHEN id % 2 = 1 THEN 40 ELSE 0 END AS INTEGER)) AS t FROM ({kpi_sql(cg)}) k) x WHERE t > TIMESTAMP '{SINCE}'"
@@ -359,6 +411,7 @@ def io_oracle() -> dict[str, str]:
         "linear_facts": " UNION ALL ".join(
             f"SELECT '{cg.name}' AS dataset, '{m}' AS model, '{f}' AS feature, TRUE AS optimal" for m in ("linreg", "elasticnet") for f in ("intercept", *cg.features)
         ),
+        "linear_fit": _linear_fit_sql(cg),
         "avro_roundtrip_cloud": _avro_oracle(cg),
         "avro_roundtrip_video": _avro_oracle(vs),
         "stream_raw": (

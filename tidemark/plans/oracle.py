@@ -7,10 +7,9 @@ in an operator does not carry over to its oracle.
 
 from __future__ import annotations
 
-from tidemark.functions.scalars import CLASS_COLORS, DEFAULT_COLOR
 from tidemark.plans.views import PAGE_SINCE_ID, SINCE
 from tidemark.sources.fixtures import alert_sql, fixed_score_sql, kpi_sql, training_target_sql
-from tidemark.spec import CLASS_ORDER, CLOUD_GAMING, SEVERITY_BANDS, SEVERITY_CUTS, VIDEO_STREAMING, UseCase
+from tidemark.spec import CLOUD_GAMING, VIDEO_STREAMING, UseCase
 
 R = 6
 
@@ -23,9 +22,20 @@ def iso(c: str) -> str:
     return f"(strftime({c}, '%Y-%m-%dT%H:%M:%S') || '+00:00')"
 
 
+#: Fixed values, written out a second time on purpose: what the engine's spec must say.
+CUTS = {
+    "cloud_gaming": ((2, 3, 4), ("Poor", "Fair", "Good", "Excellent")),
+    "video_streaming": ((2, 3, 4, 4.5), ("Bad", "Poor", "Fair", "Good", "Excellent")),
+}
+BANDS = ((2, 3, 4), ("red", "amber", "blue", "green"))
+COLORS = {"Poor": "239, 68, 68", "Bad": "239, 68, 68", "Fair": "251, 191, 36", "Good": "59, 130, 246", "Excellent": "34, 197, 94"}
+RANKS = ("Poor", "Bad", "Fair", "Good", "Excellent")
+
+
 def classify(s: str, u: UseCase) -> str:
-    whens = " ".join(f"WHEN {s} < {c} THEN '{label}'" for c, label in zip(u.cuts, u.labels))
-    return f"CASE WHEN {s} IS NULL OR isnan({s}) THEN 'Unknown' {whens} ELSE '{u.labels[-1]}' END"
+    cuts, labels = CUTS[u.name]
+    whens = " ".join(f"WHEN {s} < {c} THEN '{label}'" for c, label in zip(cuts, labels))
+    return f"CASE WHEN {s} IS NULL OR isnan({s}) THEN 'Unknown' {whens} ELSE '{labels[-1]}' END"
 
 
 def clamp(x: str) -> str:
@@ -33,29 +43,28 @@ def clamp(x: str) -> str:
 
 
 def band(x: str) -> str:
-    whens = " ".join(f"WHEN {x} < {c} THEN '{b}'" for c, b in zip(SEVERITY_CUTS, SEVERITY_BANDS))
-    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL {whens} ELSE '{SEVERITY_BANDS[-1]}' END"
+    whens = " ".join(f"WHEN {x} < {c} THEN '{b}'" for c, b in zip(*BANDS))
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL {whens} ELSE '{BANDS[1][-1]}' END"
 
 
 def class_rank(c: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(CLASS_ORDER, 1))
+    whens = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(RANKS, 1))
     return f"CAST(CASE {c} {whens} ELSE 999 END AS INTEGER)"
 
 
 def color(c: str, idx: int) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v[idx]}'" for k, v in CLASS_COLORS.items())
-    return f"CASE {c} {whens} ELSE '{DEFAULT_COLOR}' END"
+    opacity = ("0.8", "1")[idx]
+    whens = " ".join(f"WHEN '{k}' THEN 'rgba({v}, {opacity})'" for k, v in COLORS.items())
+    return f"CASE {c} {whens} ELSE 'rgba(148, 163, 184, 0.8)' END"
 
 
 def reason(u: UseCase, f: str) -> str:
     parts = [f"WHEN {f} IS NULL THEN '{f}:missing'"]
     if u.feature_types[u.features.index(f)] == "double":
         parts += [f"WHEN isnan({f}) THEN '{f}:nan'", f"WHEN isinf({f}) THEN '{f}:infinite'"]
-    lo, hi = u.bounds.get(f, (None, None))
-    if lo is not None:
-        parts.append(f"WHEN {f} < {lo} THEN '{f}:below_min'")
-    if hi is not None:
-        parts.append(f"WHEN {f} > {hi} THEN '{f}:above_max'")
+    parts.append(f"WHEN {f} < 0 THEN '{f}:below_min'")  # no feature may be negative
+    if f in ("CPU_usage", "GPU_usage"):
+        parts.append(f"WHEN {f} > 100 THEN '{f}:above_max'")
     return "CASE " + " ".join(parts) + " END"
 
 

@@ -21,6 +21,19 @@ TOPIC_SCHEMA = T.StructType(
 )
 
 
+def kafka_options(topic: str | None, servers: str | None = None, **options) -> dict[str, str]:
+    """A1, K5: what the Kafka reader is given: one topic, from the latest offsets, tolerating lost ones. ``options`` add to these or replace them."""
+    if not topic or not str(topic).strip():
+        raise ValueError("a topic is needed")
+    found = {"subscribe": topic, "startingOffsets": "latest", "failOnDataLoss": "false"}
+    if servers:
+        found["kafka.bootstrap.servers"] = servers
+    found.update({k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()})
+    if not found.get("kafka.bootstrap.servers"):
+        raise ValueError("kafka.bootstrap.servers is needed")
+    return found
+
+
 def kpi_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, topic: str | None = None, **options) -> DataFrame:
     """A1: streaming DataFrame of messages with a binary ``value``.
 
@@ -30,15 +43,7 @@ def kpi_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
     trigger by default, which is how tests and offline replays drive it.
     """
     if fmt == "kafka":
-        r = (
-            spark.readStream.format("kafka")
-            .option("subscribe", topic)
-            .option("startingOffsets", "latest")
-            .option("failOnDataLoss", "false")
-        )
-        for k, v in options.items():
-            r = r.option(k, v)
-        return r.load()
+        return spark.readStream.format("kafka").options(**kafka_options(topic, **options)).load()
     r = spark.readStream.format(fmt).schema(options.pop("schema", TOPIC_SCHEMA))
     r = r.option("maxFilesPerTrigger", options.pop("maxFilesPerTrigger", 1))
     for k, v in options.items():
