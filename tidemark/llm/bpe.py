@@ -26,6 +26,9 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -70,9 +73,10 @@ class ByteBpe:
             by_id[rank] = piece
         self._pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
 
-    def rank(self, piece: Column) -> Column:
+    @staticmethod
+    def rank(ranks: Column, piece: Column) -> Column:
         """Rank of a piece; null if it is no vocabulary entry."""
-        return F.try_element_at(F.element_at(self._ranks, _bucket(piece, _BUCKETS)), piece)
+        return F.try_element_at(F.element_at(ranks, _bucket(piece, _BUCKETS)), piece)
 
     def words(self, text: Column) -> Column:
         """The matches of the split pattern, in order."""
@@ -84,8 +88,11 @@ class ByteBpe:
         return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
     def fold(self, word: Column) -> Column:
-        """Ids of one non-empty word (as bytes): ranked merges, lowest rank first, leftmost on ties."""
+        """Ids of one non-empty word (as bytes): ranked merges, lowest rank first, leftmost on ties. The literal rank map is bound once."""
+        return _let(self._ranks, lambda ranks: self._fold(word, lambda piece: self.rank(ranks, piece)))
 
+    @staticmethod
+    def _fold(word: Column, rank: Callable[[Column], Column]) -> Column:
         def step(s: Column, _: Column) -> Column:
             low = F.array_min(s["r"])
             return F.when(low.isNull(), s).otherwise(_let(F.struct(s["p"].alias("p"), s["r"].alias("r"), F.array_position(s["r"], low).cast("int").alias("i")), join))
@@ -99,8 +106,8 @@ class ByteBpe:
                 lambda w: F.struct(
                     F.concat(F.slice(p, F.lit(1), i - 1), F.array(w), F.slice(p, i + 2, n)).alias("p"),
                     F.concat(
-                        F.when(i > 1, F.concat(F.slice(r, F.lit(1), i - 2 + F.when(i < 2, 1).otherwise(0)), F.array(self.rank(F.concat(F.try_element_at(p, i - 1 + F.when(i < 2, 1).otherwise(0)), w))))).otherwise(F.slice(r, F.lit(1), F.lit(0))),
-                        F.when(i + 1 < n, F.array(self.rank(F.concat(w, F.try_element_at(p, i + 2))))).otherwise(F.slice(r, F.lit(1), F.lit(0))),
+                        F.when(i > 1, F.concat(F.slice(r, F.lit(1), i - 2 + F.when(i < 2, 1).otherwise(0)), F.array(rank(F.concat(F.try_element_at(p, i - 1 + F.when(i < 2, 1).otherwise(0)), w))))).otherwise(F.slice(r, F.lit(1), F.lit(0))),
+                        F.when(i + 1 < n, F.array(rank(F.concat(w, F.try_element_at(p, i + 2))))).otherwise(F.slice(r, F.lit(1), F.lit(0))),
                         F.slice(r, i + 2, n),
                     ).alias("r"),
                 ),
@@ -109,11 +116,11 @@ class ByteBpe:
         def merged(w: Column) -> Column:
             n = F.length(w)
             pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(w, i, F.lit(1)))
-            first = F.transform(F.sequence(F.lit(1), n - 1), lambda i: self.rank(F.substring(w, i, F.lit(2))))
-            return F.aggregate(F.sequence(F.lit(1), n - 1), F.struct(pieces.alias("p"), first.alias("r")), step, lambda s: F.transform(s["p"], self.rank))
+            first = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(w, i, F.lit(2))))
+            return F.aggregate(F.sequence(F.lit(1), n - 1), F.struct(pieces.alias("p"), first.alias("r")), step, lambda s: F.transform(s["p"], rank))
 
         # a whole vocabulary entry is one id, whatever its merges would give
-        return _let(word, lambda w: _let(self.rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged(w))))
+        return _let(word, lambda w: _let(rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged(w))))
 
     def decode_ids(self, ids: Column) -> Column:
         """Bytes of an id sequence: the pieces, concatenated."""
@@ -173,27 +180,78 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p is not None]
 
 
+class Words(dict):
+    """Ids of words as little-endian bytes, by word: ``joined(map(words.__getitem__, ...))`` is a text's ids.
+
+    A word that is not there comes from the ``fixed`` ones (folded by Spark), from those remembered before, or from its
+    merges. Words are remembered in two generations of ``cache``: when the young one is full, it becomes the old one.
+    """
+
+    def __init__(self, fixed: dict[str, bytes], ranks: dict[bytes, int], cache: int, max_word: int):
+        super().__init__()
+        self.fixed, self.ranks, self.cache, self.max_word, self.old = fixed, ranks, cache, max_word, {}
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.fixed.get(word) or self.old.get(word)
+        if got is None:
+            ids = merge_word(word.encode(), self.ranks)
+            got = struct.pack(f"<{len(ids)}i", *ids)
+            if len(word) > self.max_word:
+                return got
+        if len(self) >= self.cache:
+            self.old = dict(self)
+            self.clear()
+        self[word] = got
+        return got
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """findall of a split pattern, as the tokenizer's own engine does it.
+
+    Texts up to U+024F are split by Python's standard engine, with the classes spelled out over these characters; others by one that knows the classes.
+    """
+    import regex
+
+    # White_Space is what the tokenizer's engine takes for \s; Python's own class has four more characters
+    whole = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+    kinds = {kind: "".join(re.escape(c) for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind) for kind in "LN"}
+    white = "\t\n\x0b\x0c\r \x85\xa0"
+    some, inside = "", False
+    for piece in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.DOTALL):
+        if piece in ("[", "]"):
+            inside = piece == "["
+        if piece in (r"\p{L}", r"\p{N}"):
+            piece = kinds[piece[3]] if inside else f"[{kinds[piece[3]]}]"
+        elif piece == r"\s":
+            piece = white if inside else f"[{white}]"
+        elif piece == r"\S" and not inside:
+            piece = f"[^{white}]"
+        elif re.fullmatch(r"\\[pPwWdDbBsS].*", piece):
+            return whole  # a pattern with other classes
+        some += piece
+    plain, other = re.compile(some).findall, re.compile("[^\0-\u024f]").search
+    return lambda text: whole(text) if other(text) else plain(text)
+
+
 _WORKER: dict = {}
 
 
-def _worker_state(shared, pattern: str) -> tuple:
-    """The word splitter, the frequent words' ids and the ranks, built once per Python worker."""
-    key = (shared.value["id"], pattern)
+def _worker_state(shared, pattern: str, cache: int = 200_000, max_word: int = 64) -> tuple:
+    """The splitter, the words folded by Spark, the ranks, and all words; built once per Python worker."""
+    key = (shared.value["id"], pattern, cache, max_word)
     if _WORKER.get("key") != key:
-        import regex
-
-        # White_Space is what the tokenizer's engine takes for \s; Python's own class has four more characters
-        own = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         ranks = {k.encode("latin-1"): v for k, v in shared.value["ranks"].items()}
-        _WORKER.update(key=key, find=regex.compile(own).findall, words={w: [int(i) for i in ids.split(",")] for w, ids in shared.value["words"]}, ranks=ranks, rare={})
-    return _WORKER["find"], _WORKER["words"], _WORKER["ranks"], _WORKER["rare"]
+        fixed = {w: struct.pack(f"<{len(ids)}i", *ids) for w, ids in ((w, [int(i) for i in t.split(",")]) for w, t in shared.value["words"])}
+        _WORKER.update(key=key, find=splitter(pattern), words=Words(fixed, ranks, cache, max_word))
+    words = _WORKER["words"]
+    return _WORKER["find"], words.fixed, words.ranks, words
 
 
-def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str = "ids", dictionary: int = 65536, max_word: int = 64, cache: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str = "ids", dictionary: int = 65536, max_word: int = 64, cache: int = 400_000) -> DataFrame:
     """``docs`` with ``ids_col`` array<int>, the ids of each whole text.
 
     ``dictionary``: how many frequent words Spark folds beforehand; ``cache``: how many
-    rare words a worker remembers (it starts anew when full). Neither changes an id.
+    words of each of two generations a worker remembers. Neither changes an id.
     An existing column named ``ids_col`` is replaced.
     """
     import uuid
@@ -204,24 +262,13 @@ def encode(docs: DataFrame, bpe: ByteBpe, text_col: str = "text", ids_col: str =
     pattern = bpe.split
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, words, ranks, rare = _worker_state(shared, pattern)
+        find, _, _, words = _worker_state(shared, pattern, cache, max_word)
+        get = words.__getitem__
         for batch in batches:
-            out, ends = [], np.zeros(batch.num_rows + 1, np.int32)
-            for row, text in enumerate(batch.column(text_col)):
-                ids: list[int] = []
-                for w in find(text.as_py() or ""):
-                    got = words.get(w) or rare.get(w)
-                    if got is None:
-                        if len(rare) >= cache:
-                            rare.clear()
-                        got = merge_word(w.encode(), ranks)
-                        if len(w) <= max_word:
-                            rare[w] = got
-                    ids += got
-                out.append(np.array(ids, np.int32))
-                ends[row + 1] = ends[row] + len(ids)
-            flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[*batch.schema.names, ids_col])
+            out = [b"".join(map(get, find(text.as_py() or ""))) for text in batch.column(text_col)]
+            ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in out]))).astype(np.int32)
+            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(out))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), flat)], names=[*batch.schema.names, ids_col])
 
     return docs.mapInArrow(run, extended(docs, docs.columns, **{ids_col: "array<int>"}))
 

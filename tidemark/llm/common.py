@@ -9,9 +9,15 @@ from pyspark.sql.types import DataType, StructField, StructType
 from tidemark.session import configure, work_path
 
 
+def ready(spark: SparkSession) -> None:
+    """Settings of the corpus jobs: texts may be long, so Arrow batches have few rows; a worker holds one or two at a time."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus, read by Spark only (the path may be a remote store)."""
-    configure(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
