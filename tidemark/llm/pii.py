@@ -23,6 +23,7 @@ an empty result of the same schema. Offsets are code points, ends exclusive.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from bisect import bisect_left
@@ -31,7 +32,8 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import extended, table
@@ -332,9 +334,22 @@ def added_spans(text: str, w: np.ndarray, base: list[tuple[int, int, int]]) -> l
     return out
 
 
-def learn(docs: DataFrame, sample: int = 480) -> np.ndarray | None:
-    """Weights from ``sample`` lines of at most 400 characters with a trigger, the first by hash of each of six kinds."""
-    has = docs.where(F.col("text").rlike(_TRIGGER.pattern)).select("text")
+def _line_kind(line: str) -> int:
+    """Which of six kinds of lines the sample takes it for."""
+    if "@" in line:
+        return 0
+    for kind, pattern in ((1, r"[0-9]\.[0-9]+\.[0-9]"), (2, "[0-9]{12}"), (3, r"\+"), (4, "[0-9]")):
+        if re.search(pattern, line):
+            return kind
+    return 5
+
+
+def sample_lines(docs: DataFrame, sample: int) -> list[str]:
+    """``sample`` different lines of at most 400 characters with a trigger: of each of six kinds those of lowest hash, over all texts.
+
+    A batch hands on its own lowest ones, so the sample depends neither on batches nor on partitions.
+    """
+    each = sample // 6
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,14 +359,24 @@ def learn(docs: DataFrame, sample: int = 480) -> np.ndarray | None:
                     a = max(text.rfind("\n", 0, m.start()) + 1, m.start() - 120)
                     b = text.find("\n", m.end(), m.end() + 120)
                     found.add(text[a : b if b >= 0 else m.end() + 120])
-                    if len(found) >= 4 * sample:
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["line"])
-
-    kind = F.when(F.col("line").contains("@"), 0).when(F.col("line").rlike(r"[0-9]\.[0-9]+\.[0-9]"), 1).when(F.col("line").rlike(r"[0-9]{12}"), 2).when(F.col("line").contains("+"), 3).when(F.col("line").rlike("[0-9]"), 4).otherwise(5)
-    rows = has.mapInArrow(lines, "line string").distinct().withColumn("kind", kind).withColumn("h", F.xxhash64(F.lit("pii"), "line"))
-    some = [r for k in range(6) for r in rows.where(F.col("kind") == k).orderBy("h", "line").limit(sample // 6).collect()]
-    return train([r["line"] for r in some])
+            of: list[list] = [[] for _ in range(6)]
+            for line in found:
+                of[_line_kind(line)].append((xxhash.xxh3_64_intdigest(line.encode()) >> 1, line))
+            rows = [(k, h, line) for k, own in enumerate(of) for h, line in heapq.nsmallest(each, own)]
+            kind, h, line = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(h, pa.int64()), pa.array(line, pa.string())], names=["kind", "h", "line"])
+
+    has = docs.where(F.col("text").rlike(_TRIGGER.pattern)).select("text")
+    order = Window.partitionBy("kind").orderBy("h", "line")  # six keys, cut to ``each`` rows before the shuffle
+    rows = has.mapInArrow(lines, "kind int, h long, line string")
+    # a line that several batches found stands once: equal lines have equal ranks
+    rows = rows.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= each)
+    return [r["line"] for r in rows.select("kind", "n", "line").distinct().orderBy("kind", "n").collect()]
+
+
+def learn(docs: DataFrame, sample: int = 480) -> np.ndarray | None:
+    """Weights from ``sample_lines``."""
+    return train(sample_lines(docs, sample))
 
 
 def find(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
