@@ -234,3 +234,12 @@ def test_original_bytes_stay(spark, tmp_dir):
     stream = decode_messages(messages(), u, original="original").select("id", "original")
     out = result(stream, f"{tmp_dir}/d")
     assert out.count() == kpi.count() and out.where("original is null").count() == kpi.where(" or ".join(f"{f} is null" for f in u.features)).count()
+
+
+def test_streams_of_an_empty_table(spark, tmp_dir):
+    from tidemark.plans import stream_catalog
+
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    counts = {n: q(spark, tmp_dir).count() for n, q in stream_catalog.stream_queries().items()}
+    # the clock's one second has an empty document
+    assert counts == {"stream_ticks": 1, "stream_tick_points": 1, "stream_alerts": 0, "stream_trailing": 0}

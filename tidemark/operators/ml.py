@@ -309,13 +309,20 @@ def training_parts(rows: int, least: int = 1_000, most: int = 1_000_000, some: i
     return int(max(1, min(some, -(-rows // least)), -(-rows // most)))
 
 
-def training_rows(train: DataFrame, u: UseCase, id_col: str = "id") -> DataFrame:
+def tree_parts(rows: int) -> int:
+    """Partitions for an ensemble of trees: 8, until they have a million rows each.
+
+    Every partition builds the histograms of all nodes of a pass, which are then merged: for deep trees that, not the rows, is
+    the work, and it grows with the partitions."""
+    return training_parts(rows, some=8)
+
+
+def training_rows(train: DataFrame, u: UseCase, id_col: str = "id", parts=training_parts) -> DataFrame:
     """Features, label and weight, dealt by a hash of the row and sorted inside partitions: the same
     rows give the same partitions on any cluster."""
     keys = [c for c in (id_col, *u.features, u.target) if c in train.columns]
     rows = prepare_training(train, u).withColumn("_k", F.xxhash64(*keys))
-    parts = training_parts(train.count())
-    return rows.repartition(parts, "_k").sortWithinPartitions("_k", *keys).select("features", "label", "w")
+    return rows.repartition(parts(train.count()), "_k").sortWithinPartitions("_k", *keys).select("features", "label", "w")
 
 
 def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int = 4, strict: bool = False):
@@ -332,6 +339,7 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int =
     owned = not train.is_cached  # a frame that the caller has cached stays so
     train = train.cache()
     data = training_rows(train, u).cache()
+    grown = training_rows(train, u, parts=tree_parts).cache()  # materialised only if a model of trees is fitted
     try:
         mean = data.agg((F.sum(F.col("w") * F.col("label")) / F.sum("w")).alias("m")).first()["m"]
         std = data.agg(F.sqrt(F.sum(F.col("w") * (F.col("label") - F.lit(mean)) ** 2) / F.sum("w")).alias("s")).first()["s"] if mean is not None else None
@@ -339,7 +347,8 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int =
         def fit(model):
             name, mtype, params = model
             try:
-                return name, make_model(mtype, params, spark=spark, label_std=std or 1.0).fit(data), None
+                rows = data if mtype in ("LinearRegression", "ElasticNet") else grown
+                return name, make_model(mtype, params, spark=spark, label_std=std or 1.0).fit(rows), None
             except Exception as e:  # reported per model
                 return name, None, str(e)
 
@@ -347,6 +356,7 @@ def fit_all(train: DataFrame, u: UseCase, models=DEFAULT_MODELS, parallel: int =
             done = pool.map(fit, models, chunksize=1)
     finally:
         data.unpersist()
+        grown.unpersist()
         if owned:
             train.unpersist()
     fitted = {name: m for name, m, _ in done if m is not None}

@@ -38,9 +38,7 @@ def replay(spark: SparkSession, sf_dir: str, u: UseCase, root: str, dirty: bool
     """(messages, clock) as streams, staged in segments of the same spans of time."""
     kpi = replayed(kpi_view(spark, sf_dir, u, dirty=dirty))
     t = F.unix_seconds("ingestion_timestamp")
-    first, last = kpi.agg(F.min(t), F.max(t)).first()
-    if first is None:
-        first = last = ORIGIN
+    first, last = kpi.agg(F.coalesce(F.min(t), F.lit(ORIGIN)), F.coalesce(F.max(t), F.lit(ORIGIN))).first()
     topic, per = stage_topic(kpi, u, f"{root}/topic", files=SEGMENTS, seconds=(first, last))
     clock = read_clock(spark, f"{root}/clock", stage_clock(spark, f"{root}/clock", first, last, after=after))
     return kpi_stream(spark, "parquet", topic, maxFilesPerTrigger=per), clock
@@ -91,7 +89,7 @@ def stream_alerts(spark, sf_dir):
     u = CLOUD_GAMING
     root = work_path(spark, "stream_alerts")
     points = alert_series(spark, sf_dir)
-    first, last = points.agg(F.min("sec"), F.max("sec")).first()
+    first, last = points.agg(F.coalesce(F.min("sec"), F.lit(0)), F.coalesce(F.max("sec"), F.lit(0))).first()
     per = write_ordered(points, f"{root}/points", "sec", files=SEGMENTS, bounds=(first, last))
     clock = read_clock(spark, f"{root}/clock", stage_clock(spark, f"{root}/clock", ORIGIN + first, ORIGIN + last, after=2 + u.alert_hold_seconds))
     rows = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", per).parquet(f"{root}/points")

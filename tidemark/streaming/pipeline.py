@@ -177,6 +177,9 @@ def write_ordered(df: DataFrame, path: str, order: str, files: int = 4, tasks: i
         step = (hi - lo) // files + 1
         seg = F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")
         sizes = {r["s"]: r["n"] for r in df.groupBy(seg.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not sizes:
+            df.limit(0).write.mode("overwrite").parquet(path)
+            return 1
         if tasks is None:
             spark = df.sparkSession
             tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // files)
