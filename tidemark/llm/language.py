@@ -7,6 +7,7 @@ probabilities. Expectation-maximisation estimates the document's proportions;
 the set of languages is the nested one of highest log-likelihood less
 ``penalty`` * log(number of n-grams) for each language. The prediction is the
 language of the largest proportion in that set, its score that proportion.
+Proportions are taken as settled when none moves by a thousandth, or after 12 rounds.
 
 The n-gram counts are learned from some ``per_language`` documents of each
 language, chosen by a hash of their id among the rows that training may use (a
@@ -129,12 +130,12 @@ def mixture(cell: np.ndarray, log_p: np.ndarray, penalty: float, rounds: int = 1
     return chosen[rank], shares[rank]
 
 
-def identify(docs: DataFrame, langs: list[str], log_p: np.ndarray, penalty: float = 8.0) -> DataFrame:
-    """``docs`` (doc_id, text, ...) without its text, with lang_pred, score and ``mix`` (language -> proportion)."""
+def identify(docs: DataFrame, langs: list[str], log_p: np.ndarray, penalty: float = 8.0, keep_text: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text, ...), without its text unless ``keep_text``, with lang_pred, score and ``mix`` (language -> proportion)."""
     cells = log_p.shape[0]
     model = docs.sparkSession.sparkContext.broadcast((langs, log_p))
-    rest = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "mix")]
-    docs = docs.select(*rest, "text")
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score", "mix") and (c != "text" or keep_text)]
+    docs = docs.select(*rest) if keep_text else docs.select(*rest, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, log_p = model.value
@@ -168,8 +169,8 @@ def known_language(docs: DataFrame, cells: int = 65536, per_language: int = 2000
     """The rows of ``docs`` whose text has a language; all columns as they are."""
     langs, log_p = learn(docs.select("doc_id", "text", "lang"), cells, per_language)
     rest = [c for c in docs.columns if c != "text"]
-    found = identify(docs.select(F.struct(*rest).alias("row"), "text").withColumn("kept", F.col("text")).select("row", "kept", "text"), langs, log_p, penalty)
-    return found.where("lang_pred <> 'und'").select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    found = identify(docs.select(F.struct(*rest).alias("row"), "text"), langs, log_p, penalty, keep_text=True)
+    return found.where("lang_pred <> 'und'").select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
