@@ -309,15 +309,33 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, bucket_rows: int
     return ids.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 
 
+#: Above all ids that documents have: rows that share an id, or have none, are numbered from here on.
+SURROGATE = 1 << 62
+
+
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id names its group, one row for each id; rows with a null id stay."""
-    found = groups(docs.select("doc_id", "text"), width, percent)
+    """One row of ``docs`` for each group: that of the smallest id.
+
+    Where an id stands for several texts, or is null, every different text is a document of its own: the one of lowest
+    hash has the id, the others a number above all ids. Rows of equal id and text count once (the one of lowest hash of its other columns).
+    """
+    ids = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
+    if ids.isEmpty():
+        found = groups(docs.select("doc_id", "text"), width, percent)
+        named = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+        return docs.join(named, F.col("doc_id") == F.col("__id"), "left_semi")
+    whole = F.xxhash64(*[c for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)])
+    rows = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("h"), F.col("text").isNull().alias("none"), whole.alias("w"), F.struct(*docs.columns).alias("row"))
+    rows = rows.groupBy("doc_id", "h", "none").agg(F.min_by("row", "w").alias("row"))
+    rows = saved(rows, "parity-rows")
+    first = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("h", "none")).alias("first")).select(F.col("doc_id").alias("__id"), "first")
+    rows = rows.join(first, F.col("doc_id") == F.col("__id"), "left")
+    other = F.lit(SURROGATE) + F.shiftrightunsigned(F.xxhash64("doc_id", "h", "none"), 2)
+    number = F.when(F.struct("h", "none") == F.col("first"), F.col("doc_id")).otherwise(other)
+    rows = saved(rows.select(number.alias("number"), "row"), "parity-numbered")
+    found = groups(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), width, percent)
     named = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
-    kept = docs.join(named, F.col("doc_id") == F.col("__id"), "left_semi")
-    if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
-        one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[c for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)]))
-        kept = kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
-    return kept.unionByName(docs.where("doc_id is null"))
+    return rows.join(named, F.col("number") == F.col("__id"), "left_semi").select("row.*")
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
