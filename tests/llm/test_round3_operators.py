@@ -81,7 +81,8 @@ def test_intervals_hold_the_scores(seed, dim):
     v = rng.randint(-300, 300, (40, dim)) * rng.randint(0, 2, (40, 1))
     turned = v @ hardneg.rotation(dim)
     assert np.allclose((turned**2).sum(axis=1), (v**2).sum(axis=1))
-    t = pa.table({"id": np.arange(40), "label": ["a"] * 40, "v": [x.astype("<i4").tobytes() for x in v], "code": [c.tobytes() for c in hardneg._bits(turned >= 0)], "align": np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1]), "norm": np.sqrt((v**2.0).sum(axis=1))})
+    code, align, rest = hardneg.layers(v.astype(float))
+    t = pa.table({"id": np.arange(40), "label": ["a"] * 40, "v": [x.astype("<i4").tobytes() for x in v], "code": [c.tobytes() for c in code], "align": [a.tobytes() for a in align], "norm": np.sqrt((v**2.0).sum(axis=1)), "rest": rest})
     b = hardneg.Block(t, dim)
     lo, hi = b.intervals(b, slice(0, 40))
     exact = v @ v.T
@@ -249,3 +250,72 @@ def test_a_long_text_takes_few_levels(n):
     w = np.random.RandomState(1).randint(0, 500, n) + 2
     levels = runs.Grammar(np.concatenate(([0], w, [1])), 2)
     assert len(levels.sym) < 6 * n
+
+
+# --- the copies stage and the sample of personal data --------------------------------------------------------------
+
+
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    from tidemark.llm import paritysketch
+
+    a, b = " ".join(f"left{i}" for i in range(60)), " ".join(f"right{i}" for i in range(60))
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (1, a, "en", "s"), (2, a + " more", "en", "s"), (None, "no id of ours at all here", "en", "s"), (None, "no id of ours at all here", "en", "t"), (None, b + " end", "en", "s"), (3, "short one", "en", "s"), (4, None, "en", "s"), (4, "", "en", "s"), (4, "", "en", "s")]
+    kept = paritysketch.one_of_each_group(docs_of(spark, rows))
+    assert kept.columns == docs_of(spark, rows).columns
+    texts = [r.text for r in kept.collect()]
+    # one of each group of near copies, whichever text has the id; none of a text that is like no other is lost
+    assert len(texts) == 6 and sum(t in (a, a + " more") for t in texts) == 1 and sum(t in (b, b + " end") for t in texts) == 1
+    assert {"no id of ours at all here", "short one", "", None} <= set(texts)
+
+
+def test_the_sample_does_not_depend_on_partitions(spark):
+    from tidemark.llm import pii
+
+    docs = spark.read.parquet(f"{SF_MED}/documents.parquet").select("doc_id", "text")
+    one = pii.sample_lines(docs.repartition(1), 60)
+    many = pii.sample_lines(docs.repartition(16), 60)
+    assert one == many and len(one) == len(set(one)) > 20
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    assert pii.sample_lines(docs.repartition(3), 60) == one
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert pii.sample_lines(docs.limit(0), 60) == []
+
+
+def test_odd_rows_through_the_pipeline(spark):
+    """What the docstring of the pipeline says of them."""
+    import corpus_pipeline
+    from tidemark.llm.common import saved
+
+    docs = docs_of(spark, EDGE)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = saved(stage(spark, docs, SF_SMALL), f"odd-{name}")
+    got = sorted((str(r.doc_id), r.text[:20]) for r in docs.collect())
+    # without letters: 1, 2, 3; "one two three" twice (4, 6); "same row twice" twice (7)
+    assert got == sorted([("4", "one two three"), ("5", "word0x0 word1x1 word"), ("7", "same row twice"), ("None", "no id here"), ("8", EDGE[-1][1][:20])])
+    for name, stage in corpus_pipeline.STAGES[3:]:
+        docs = saved(stage(spark, docs, SF_SMALL), f"odd-{name}")
+    assert {r.doc_id for r in docs.collect()} <= {4, 5, 7, 8, None} and docs.count() > 0
+    none = docs_of(spark, EDGE[:1]).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        none = saved(stage(spark, none, SF_SMALL), f"none-{name}")
+    assert none.count() == 0
+
+
+def test_search_by_texts_from_outside(spark):
+    from tidemark.llm import search
+
+    docs = spark.createDataFrame([(1, "zebra lives here"), (2, "lion lives there")], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "zebra"), (9, "lives"), (8, "nothing")], "doc_id long, text string")
+    got = {(r.query_id, r.doc_id) for r in search.search(docs, asked, query_terms=None, outside=True).collect()}
+    assert got == {(1, 1), (9, 1), (9, 2)}
+
+
+def test_toxicity_learns_one_text_of_an_id(spark):
+    from tidemark.llm import toxicity
+
+    rows = [(i % 40, f"plain words number {i}" if i % 2 else f"you zorkface {i}", "en", "s") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2 == 0 and 1 or 0) for i in range(40)], "doc_id long, toxic int")
+    machine = toxicity.learn(docs_of(spark, rows).repartition(7), labels)
+    assert machine is not None
+    again = toxicity.learn(docs_of(spark, rows[::-1]).repartition(3), labels)
+    assert np.allclose(machine.score(["zorkface", "plain"]), again.score(["zorkface", "plain"]))
