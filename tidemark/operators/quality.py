@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import ts_text
 from tidemark.spec import UseCase
 
 INF = float("inf")
@@ -20,11 +19,6 @@ def project_kpi(df: DataFrame, u: UseCase, *extra: str) -> DataFrame:
     return df.select(*u.features, *extra)
 
 
-def stamp_processing_time(df: DataFrame, name: str = "processing_time") -> DataFrame:
-    """Processing-time stamp as ``yyyy-MM-dd HH:mm:ss`` text (one value per batch)."""
-    return df.withColumn(name, ts_text(F.current_timestamp()))
-
-
 def cast_double(df: DataFrame, cols) -> DataFrame:
     cols = set(cols)
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])

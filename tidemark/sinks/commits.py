@@ -50,8 +50,8 @@ def commit_sink(root: str, tables: dict):
 def read_committed(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
     """The rows of all committed batches of a table with these columns, and ``batch_id`` and ``ym``.
 
-    The list of batches is joined on the partition column, so directories of other batches are pruned. A table of
-    which no batch had a row is empty, not missing.
+    Rows of other batches (at most the one that is being written, or tried again) do not get through the join with the list of
+    batches, which is one row a batch. A table of which no batch had a row is empty, not missing.
     """
     path = f"{root.rstrip('/')}/{table}"
     full = StructType([f for f in schema.fields if f.name not in ("batch_id", "ym")]).add("batch_id", LongType()).add("ym", IntegerType())

@@ -201,7 +201,3 @@ def run_available(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-
-
-def read_stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
