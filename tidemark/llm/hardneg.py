@@ -2,14 +2,15 @@
 
 Components become the integers floor(``scale`` * x); a score is an inner product of two such
 vectors. A vector v is rotated (rounds of signs and Walsh-Hadamard transforms, the same for all) and
-stored with its signs as a one-bit code, c = signs / sqrt(D), its alignment a = <v, c> and its norm:
-v = a c + r, where the rest r is orthogonal to c and has the length sqrt(|v|^2 - a^2).
+stored with its signs as a one-bit code, c = signs / sqrt(D), and its alignment a = <v, c>. What is left, v - a c, is coded in the same way
+by its own signs after a further rotation, ``LAYERS`` times in all: v = sum a_k c_k + r, where the rest r is orthogonal to the last code and its length is stored.
+Each layer leaves some six tenths of the length before it.
 
-An anchor q is rotated too and cut to ``PLANES`` bit planes, so t = <q, c> is estimated by counting the
-bits that its planes and a code share, within the length e of what the cut left over. Since
-<q, v> = a t + <q, r> and r sees only the part of q orthogonal to c, Cauchy-Schwarz gives
+An anchor q is rotated too and cut to ``PLANES`` bit planes, so each t_k = <q, c_k> is estimated by counting the
+bits that its planes and a code share; e_k is the length of what the cut left over. Since r sees only the part of q
+orthogonal to the last code, Cauchy-Schwarz gives
 
-    a (t - e) - |r| sqrt(|q|^2 - t^2)  <=  <q, v>  <=  a (t + e) + |r| sqrt(|q|^2 - t^2)
+    |<q, v> - sum a_k t_k|  <=  |r| sqrt(|q|^2 - t^2) + sum a_k e_k
 
 without any probability. Rows whose interval cannot reach what is asked for are left out; the
 integer scores of all others decide, so results are exact.
@@ -39,19 +40,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, table
 
-PLANES = 6
+PLANES = 8
+LAYERS = 4
 MOST = 2**63 - 1
 EDGE = 2.0**63 - 1024  # the last double that fits 64 bits
 
 
-@lru_cache(maxsize=8)
-def rotation(dim: int) -> np.ndarray:
-    """An isometry of ``dim`` axes into the next power of two, as a matrix to multiply with from the right."""
+@lru_cache(maxsize=32)
+def rotation(dim: int, layer: int = 0) -> np.ndarray:
+    """An isometry of ``dim`` axes into the next power of two, as a matrix to multiply with from the right; one for each layer."""
     size = 1 << max(0, dim - 1).bit_length()
     h = np.ones((1, 1))
     while len(h) < size:
         h = np.block([[h, h], [h, -h]]) / math.sqrt(2)
-    signs = np.random.RandomState(20_113).randint(0, 2, (3, size)) * 2.0 - 1
+    signs = np.random.RandomState(20_113 + layer).randint(0, 2, (3, size)) * 2.0 - 1
     out = np.eye(dim, size)
     for s in signs:
         out = (out * s) @ h
@@ -65,8 +67,21 @@ def _bits(b: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(packed).view("<u8")
 
 
+def layers(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (rows of words), alignments and the length of the rest, of rows; what a layer leaves is rotated anew for the next."""
+    rest, codes, align = v, [], []
+    for k in range(LAYERS):
+        rest = rest @ rotation(rest.shape[1], k)
+        up, root = rest >= 0, math.sqrt(rest.shape[1])
+        a = np.abs(rest).sum(axis=1) / root
+        rest = rest - np.where(up, 1.0, -1.0) * (a / root)[:, None]
+        codes.append(_bits(up))
+        align.append(a)
+    return np.concatenate(codes, axis=1), np.stack(align, axis=1), np.sqrt((rest * rest).sum(axis=1))
+
+
 def coded(rows: DataFrame, scale: int) -> DataFrame:
-    """(id, label, anchor, dim, v, code, align, norm) of every different row that takes part: v are integers as bytes, code 64-bit words."""
+    """(id, label, anchor, dim, v, code, align, norm, rest) of every different row that takes part: v are integers as bytes, code 64-bit words, layer by layer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,18 +97,16 @@ def coded(rows: DataFrame, scale: int) -> DataFrame:
                     v = np.floor(value[off[at][:, None] + np.arange(dim)] * scale)
                 whole = np.clip(v, -EDGE, EDGE).astype(np.int64)
                 v = whole.astype(np.float64)
-                turned = v @ rotation(dim)
-                code = _bits(turned >= 0)
-                align = np.abs(turned).sum(axis=1) / math.sqrt(turned.shape[1])
+                code, align, rest = layers(v)
                 narrow = (np.abs(v) < 2.0**31).all(axis=1)
                 raw = [(x.astype("<i4") if n else x.astype("<i8")).tobytes() for x, n in zip(whole, narrow.tolist(), strict=True)]
                 own = [batch.column(c).take(pa.array(at)) for c in ("id", "label", "anchor")]
-                cols = [*own, pa.array(np.full(len(at), dim, np.int32)), pa.array(raw, pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(align), pa.array(np.sqrt((v * v).sum(axis=1)))]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "label", "anchor", "dim", "v", "code", "align", "norm"])
+                cols = [*own, pa.array(np.full(len(at), dim, np.int32)), pa.array(raw, pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), pa.array([a.tobytes() for a in align], pa.binary()), pa.array(np.sqrt((v * v).sum(axis=1))), pa.array(rest)]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "label", "anchor", "dim", "v", "code", "align", "norm", "rest"])
 
     rows = rows.where("id is not null and label is not null and embedding is not null")
     rows = rows.select(F.col("id").cast("long").alias("id"), F.col("label").cast("string").alias("label"), F.coalesce("anchor", F.lit(False)).alias("anchor"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return rows.mapInArrow(run, "id long, label string, anchor boolean, dim int, v binary, code binary, align double, norm double").distinct()
+    return rows.mapInArrow(run, "id long, label string, anchor boolean, dim int, v binary, code binary, align binary, norm double, rest double").distinct()
 
 
 class Block:
@@ -106,30 +119,37 @@ class Block:
         self.dim, self.t = dim, t.take(pa.array(order, pa.int64()))
         self.raw, self.id = [raw[i] for i in order], ids[order]
         self.v = np.array([np.frombuffer(b, "<i4" if len(b) == 4 * dim else "<i8") for b in self.raw], np.int64).reshape(len(raw), dim)
-        self.code = np.frombuffer(b"".join(self.t.column("code").to_pylist()), "<u8").reshape(len(raw), -1) if raw else np.zeros((0, 1), "<u8")
-        self.align, self.norm = self.t.column("align").to_numpy(), self.t.column("norm").to_numpy()
+        words = lambda c, t: np.frombuffer(b"".join(self.t.column(c).to_pylist()), t).reshape(len(raw), LAYERS, -1) if raw else np.zeros((0, LAYERS, 1), t)
+        self.code, self.align = words("code", "<u8"), words("align", "<f8")[:, :, 0]
+        self.norm, self.rest = self.t.column("norm").to_numpy(), self.t.column("rest").to_numpy()
         self.label = np.array(self.t.column("label").to_pylist(), object)
 
     def intervals(self, rows: Block, at: slice) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest score of each anchor ``at`` with each of ``rows``, by the codes alone."""
-        q = self.v[at].astype(np.float64) @ rotation(self.dim)
-        low = q.min(axis=1, keepdims=True)
-        unit = (q.max(axis=1, keepdims=True) - low) / (2**PLANES - 1)
-        unit = np.where(unit > 0, unit, 1.0)
-        level = np.rint((q - low) / unit).astype(np.int64)
-        cut = low + unit * level
-        e = np.sqrt(((q - cut) ** 2).sum(axis=1))[:, None]
-        shared = low * np.bitwise_count(rows.code).sum(axis=1)[None, :]
-        for j in range(PLANES):
-            plane = _bits(level >> j & 1 == 1)
-            for w in range(plane.shape[1]):
-                shared += np.bitwise_count(plane[:, w, None] & rows.code[None, :, w]) * (unit * 2**j)
-        t = (2 * shared - cut.sum(axis=1, keepdims=True)) / math.sqrt(q.shape[1])
+        q, total, cut_off = self.v[at].astype(np.float64), np.zeros((at.stop - at.start, len(rows.id))), 0.0
+        for k in range(LAYERS):
+            q = q @ rotation(q.shape[1], k)
+            low = q.min(axis=1, keepdims=True)
+            unit = (q.max(axis=1, keepdims=True) - low) / (2**PLANES - 1)
+            unit = np.where(unit > 0, unit, 1.0)
+            level = np.rint((q - low) / unit).astype(np.int64)
+            cut = low + unit * level
+            e = np.sqrt(((q - cut) ** 2).sum(axis=1))[:, None]
+            code = np.ascontiguousarray(rows.code[:, k])
+            shared = low * np.bitwise_count(code).sum(axis=1)[None, :]
+            for j in range(PLANES):
+                plane = _bits(level >> j & 1 == 1)
+                count = np.zeros(shared.shape, np.uint16)
+                for w in range(plane.shape[1]):
+                    count += np.bitwise_count(plane[:, w, None] & code[None, :, w])
+                shared += count * (unit * 2**j)
+            t = (2 * shared - cut.sum(axis=1, keepdims=True)) / math.sqrt(q.shape[1])
+            total += rows.align[:, k] * t
+            cut_off = cut_off + rows.align[:, k] * e
         norm = self.norm[at][:, None]
-        rest = np.sqrt(np.maximum(rows.norm**2 - rows.align**2, 0))
-        wide = rest * np.sqrt(np.maximum(norm**2 - np.maximum(np.abs(t) - e, 0) ** 2, 0))
-        wide += rows.align * e + 1e-9 * norm * rows.norm + 1e-6  # and for rounding
-        return rows.align * t - wide, rows.align * t + wide
+        wide = rows.rest * np.sqrt(np.maximum(norm**2 - np.maximum(np.abs(t) - e, 0) ** 2, 0))
+        wide += cut_off + 1e-9 * norm * rows.norm + 1e-6  # and for rounding
+        return total - wide, total + wide
 
     def scores(self, rows: Block, at: slice, take: np.ndarray) -> np.ndarray:
         """Exact integer scores of the anchors ``at`` with the rows ``take``."""
