@@ -21,7 +21,7 @@ their id, none held out (a bounded, documented sample). Every whole text is scor
 
 Defined cases: a null or empty text has no word and gets the score of having none;
 without both classes in the labels every score is 0; repeated label rows count once,
-and an id labelled both ways counts as toxic; rows are independent; a null doc_id is not held out and never learned from;
+an id labelled both ways counts as toxic, and of several texts of one id one is learned from, by hash; rows are independent; a null doc_id is not held out and never learned from;
 only the named columns are read. An empty table gives an empty result.
 """
 
@@ -252,8 +252,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Machine
             units = [sorted({unit(t) for t in tokens(x.as_py())} - {""}) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(units, pa.list_(pa.string()))], names=["doc_id", "toxic", "units"])
 
-    # at most 2 * per_class rows: small enough to send to every task
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").mapInArrow(run, "doc_id long, toxic int, units array<string>").collect()
+    # at most 2 * per_class rows: small enough to send to every task, and as many texts come back, one for each id
+    texts = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = texts.mapInArrow(run, "doc_id long, toxic int, units array<string>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["units"]))
     return train([r["units"] for r in rows], [r["toxic"] for r in rows])
 
