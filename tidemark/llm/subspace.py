@@ -170,7 +170,7 @@ def links(classes: DataFrame, cosine: float, blocks: int, cell_rows: int) -> Dat
     plans = spark.sparkContext.broadcast({r["dim"]: Plan(*_axes(classes, r["dim"]), cosine, blocks, r["n"], cell_rows) for r in sizes})
     key = ["label", "dim", "j", "cell"]
     rows = _spread(classes, plans)
-    large = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows).select(*key, F.ceil(F.col("n") / cell_rows).cast("int").alias("chunks"))
+    large = saved(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows).select(*key, F.ceil(F.col("n") / cell_rows).cast("int").alias("chunks")), "subspace-large")
     rows = rows.join(large, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select(*key, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "rep", "copies", "x")
@@ -202,6 +202,8 @@ def links(classes: DataFrame, cosine: float, blocks: int, cell_rows: int) -> Dat
         hit = n > 0
         return pa.table({"rep": rep[hit], "links": n[hit], "low": low[hit]})
 
+    if not large.isEmpty():
+        rows = rows.repartition(*key, "p", "q")  # the join has dealt them by cell; pairs of chunks of a large cell are tasks of their own
     return rows.groupBy(*key, "p", "q").applyInArrow(compare, "rep long, links long, low long")
 
 
