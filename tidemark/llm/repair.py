@@ -2,7 +2,7 @@
 
 Documents are range-partitioned by id, tokenised and cut into
 shards of about ``shard_ids`` ids. In a shard, frequent adjacent pairs of ids are replaced by
-new symbols, again and again: each round counts all pairs and replaces the most
+new symbols, until none occurs ``least`` times: each round counts pairs and replaces the most
 frequent ones that do not overlap each other (no symbol is the first of one pair and
 the second of another). Pairs never reach over the end of a document, so a document
 is a slice of the shard's symbols and is decoded alone.
@@ -25,6 +25,9 @@ read. An empty table writes no shard and reads back as no row.
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +43,14 @@ _SCHEMA = "part long, seq long, doc_id array<long>, ends array<int>, sizes array
 _STATE: dict = {}
 
 
-#: The last letter that has one code point, lower case by itself, and no combining form.
-_LATIN = "\u024f"
+#: Characters behind the last letter that has one code point, lower case by itself, and no combining form; and the one before it that has not.
+_ODD = re.compile("[^\0-\u024f]|\u0130")
 
 
+#: The byte-level step's letter for each byte: printable ones of Latin-1 for themselves, the others from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: b if b in _PRINTABLE else 256 + len(set(range(b)) - _PRINTABLE) for b in range(256)}
+
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
@@ -54,62 +61,83 @@ def _split(text: str) -> list[str]:
     return text.split()
 
 
-class Encoder:
-    """The tokenizers library behind a memory of what it has encoded.
+def _latin(text: str) -> bool:
+    """Whether all characters are below U+0100: quicker than a search, and most texts of Latin letters are."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _plain_words(pattern: str):
+    """findall of the tokenizer's split pattern by Python's own engine, for lowered texts without ``_ODD`` characters: its classes are spelled out over these characters."""
+    seen = sorted({c for i in range(0x250) if i != 0x130 for c in chr(i).lower()})
+    white = "\t\n\x0b\x0c\r \x85\xa0"  # White_Space among them
+    spelled = {"\\s": white, "\\p{L}": [c for c in seen if unicodedata.category(c)[0] == "L"], "\\p{N}": [c for c in seen if unicodedata.category(c)[0] == "N"]}
+    # what begins with an apostrophe may as well be tried after the letters, which do not
+    pattern = re.sub(r"^((?:'\w+\|)+)(\[\\p\{L\}\]\+\|)", r"\2\1", pattern)
+    for name, chars in spelled.items():
+        pattern = pattern.replace(name, "".join(map(re.escape, chars)))
+    return re.compile(pattern).findall
+
 
-    The vocabulary drops white space and never joins over it, so a text's ids are
-    those of its white-space separated parts, and a part's those of the words that the tokenizer's
-    own pattern finds in it. A part of Latin letters is lowered and cut here, since that is what the
-    tokenizer does first; other parts go to it as they are.
+class Encoder(dict):
+    """The tokenizers library behind a memory of what it has encoded: ids as bytes, by word.
+
+    The vocabulary drops white space and never joins over it, so a text's ids are those of the words that the
+    tokenizer's own pattern finds in it. A text of Latin letters is lowered and cut here, since that is what the
+    tokenizer does first; of other texts, the white-space separated parts with other letters go to it as they are.
+    Words are remembered in two generations of ``cache``: when the young one is full, it becomes the old one.
     """
 
     def __init__(self, path: str, cache: int):
         import json
 
-        import regex
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokens = self.tokenizer.model.tokenize
         with open(path, encoding="utf-8") as f:
             split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _plain_words(split)
+        self.old: dict[str, bytes] = {}
         self.cache = cache
 
-    def _encode(self, words: list[str]) -> None:
-        """Remember the ids of words that the tokenizer does not cut, many in one call."""
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            if len(first) == len(some):
-                self.pieces.update(zip(some, (x.tobytes() for x in np.split(ids, first[1:])), strict=True))
+    def __missing__(self, word: str) -> bytes:
+        got = self.old.get(word)
+        if got is None:
+            if word.isascii() and word.isprintable():
+                ids = [t.id for t in self.tokens(word)]
+            elif _ODD.search(word):
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            else:  # its bytes, as the byte-level step spells them
+                ids = [t.id for t in self.tokens(word.encode().decode("latin-1").translate(_BYTES))]
+            got = array("I", ids).tobytes()
+        if len(self) >= self.cache:
+            self.old = dict(self)
+            self.clear()
+        self[word] = got
+        return got
+
+    def _cut(self, text: str) -> list[str]:
+        """Words and other parts of a text in order."""
+        if text.isascii() or _latin(text) or not _ODD.search(text):
+            return self.words(text.lower())
+        out = []
+        for p in _split(text):
+            if _ODD.search(p):
+                out.append(p)
             else:
-                self._each(some)
-
-    def _each(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            self.pieces[w] = np.array(e.ids, "<u4").tobytes()
+                out += self.words(p.lower())
+        return out
 
     def texts(self, texts: list[str | None], end: bytes) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        rows = [_split(x or "") for x in texts]
-        parts, pieces = self.parts, self.pieces
-        if len(parts) > self.cache or len(pieces) > self.cache:
-            parts.clear()
-            pieces.clear()
-        new = set().union(*rows).difference(parts) if rows else set()
-        plain = {p for p in new if p.isascii() or max(p) <= _LATIN and "\u0130" not in p}
-        cut = {p: self.words(p.lower()) if p in plain else [p] for p in new}
-        self._encode(list({w for p in plain for w in cut[p]}.difference(pieces)))
-        self._each(list(new.difference(plain).difference(pieces)))
-        for p, ws in cut.items():
-            parts[p] = b"".join([pieces[w] for w in ws])
-        get = parts.__getitem__
-        return [b"".join(map(get, r)) + end for r in rows]
+        get = self.__getitem__
+        return [b"".join(map(get, self._cut(x or ""))) + end for x in texts]
 
 
 def _encoder(path: str, cache: int) -> Encoder:
@@ -118,36 +146,63 @@ def _encoder(path: str, cache: int) -> Encoder:
     return _STATE["encoder"]
 
 
-def compress(ids: np.ndarray, last: np.ndarray, rounds: int, least: int, most_rules: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(symbols, ends' mask, rules, first rule) of one shard; ``last`` marks the last id of each document."""
+def _places(order: np.ndarray, x: np.ndarray, y: np.ndarray, symbols: int) -> np.ndarray:
+    """Where each pair (x, y) stands in ``order`` (sorted keys of pairs of symbols below ``symbols``), or -1; by a table of all sides if that is small."""
+    left, row = np.unique(order >> 32, return_inverse=True)
+    right, column = np.unique(order & 0xFFFFFFFF, return_inverse=True)
+    if len(left) * len(right) > 1 << 22:
+        key = (x << 32) | y
+        at = np.minimum(np.searchsorted(order, key), len(order) - 1)
+        return np.where(order[at] == key, at, -1)
+    table_ = np.full(len(left) * len(right), -1, np.int32)
+    table_[row * len(right) + column] = np.arange(len(order))
+    rows, columns = np.zeros(symbols, np.int64), np.zeros(symbols, np.int64)
+    rows[left], columns[right] = np.arange(len(left)) * len(right), np.arange(len(right))
+    return table_[rows[x] + columns[y]]
+
+
+def compress(ids: np.ndarray, last: np.ndarray, rounds: int | None, least: int, most_rules: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(symbols, ends' mask, rules, first rule) of one shard; ``last`` marks the last id of each document.
+
+    Rounds go on until no pair occurs ``least`` times (or for ``rounds`` of them). After the first, only pairs that can be frequent
+    are counted: those with a symbol that the round before made, and those that were frequent and not replaced.
+    """
     s = ids.astype(np.int64)
     first = int(s.max()) + 1 if len(s) else 0
     rules: list[tuple[int, int]] = []
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        key = (s[:-1] << 32) | s[1:]
-        pair, count = np.unique(key[~last[:-1]], return_counts=True)
+    fresh, waits_left, waits_right, done = 0, np.zeros(0, bool), np.zeros(0, bool), 0
+    while len(s) > 1 and (rounds is None or done < rounds):
+        done += 1
+        a, b = s[:-1], s[1:]
+        counted = ~last[:-1]
+        if fresh:
+            new = s >= fresh
+            fits = new[:-1] | new[1:]
+            wait = np.flatnonzero(waits_left.take(a, mode="clip"))
+            fits[wait[waits_right[b[wait]]]] = True
+            counted &= fits
+        pair, count = np.unique((a[counted] << 32) | b[counted], return_counts=True)
+        fresh = first + len(rules)
         often = np.flatnonzero(count >= least)
         often = often[np.lexsort((pair[often], -count[often]))][: most_rules - len(rules)]
         left, right, chosen = set(), set(), []
         for p in pair[often].tolist():
-            a, b = p >> 32, p & 0xFFFFFFFF
-            if a not in right and b not in left:
-                if a == b and (a in left or b in right):
+            x, y = p >> 32, p & 0xFFFFFFFF
+            if x not in right and y not in left:
+                if x == y and (x in left or y in right):
                     continue
-                left.add(a)
-                right.add(b)
+                left.add(x)
+                right.add(y)
                 chosen.append(p)
         if not chosen:
             break
         order = np.sort(np.array(chosen))
-        is_left, is_right = np.zeros(first + len(rules), bool), np.zeros(first + len(rules), bool)
+        is_left, is_right = np.zeros(fresh, bool), np.zeros(fresh, bool)
         is_left[list(left)], is_right[list(right)] = True, True
-        hit = np.flatnonzero(is_left[s[:-1]] & is_right[s[1:]] & ~last[:-1])
-        at = np.minimum(np.searchsorted(order, key[hit]), len(order) - 1)
-        same = order[at] == key[hit]
-        hit, at = hit[same], at[same]
+        hit = np.flatnonzero(is_left.take(a, mode="clip") & counted)
+        hit = hit[is_right[b[hit]]]
+        at = _places(order, a[hit], b[hit], fresh)
+        hit, at = hit[at >= 0], at[at >= 0]
         # only runs of one symbol have hits next to each other: every second one of a run counts
         start = np.concatenate(([True], np.diff(hit) > 1))
         offset = np.arange(len(hit)) - np.maximum.accumulate(np.where(start, np.arange(len(hit)), 0))
@@ -158,21 +213,30 @@ def compress(ids: np.ndarray, last: np.ndarray, rounds: int, least: int, most_ru
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
         s, last = s[keep], last[keep]
+        waits_left, waits_right = np.zeros(fresh + len(order), bool), np.zeros(fresh + len(order), bool)
+        rest = np.setdiff1d(pair[often], order)
+        waits_left[rest >> 32] = waits_right[rest & 0xFFFFFFFF] = True
         rules += [(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in order]
     return s, last, np.array(rules, np.int64).reshape(-1, 2), first
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """Ids of any slice of a shard's symbols."""
+    """Ids of any slice of a shard's symbols: what each rule stands for is written out once, and gathered."""
     s = symbols.astype(np.int64)
-    while len(s) and (big := s >= first).any():
-        at = np.cumsum(1 + big) - 1 - big  # where each symbol's expansion begins
-        out = np.empty(len(s) + int(big.sum()), np.int64)
-        out[at] = s
-        pair = rules[s[big] - first]
-        out[at[big]], out[at[big] + 1] = pair[:, 0], pair[:, 1]
-        s = out
-    return s
+    big = s >= first
+    if not big.any():
+        return s
+    whole: list[bytes] = []
+    for a, b in rules[: int(s.max()) - first + 1].tolist():
+        whole.append((whole[a - first] if a >= first else struct.pack("<I", a)) + (whole[b - first] if b >= first else struct.pack("<I", b)))
+    size = np.array([len(w) // 4 for w in whole], np.int64)
+    begin = np.cumsum(size) - size
+    rule = np.where(big, s - first, 0)
+    length = np.where(big, size[rule], 1)
+    at = np.cumsum(length) - length
+    out = np.frombuffer(b"".join(whole), "<u4")[np.repeat(np.where(big, begin[rule], 0) - at, length) + np.arange(int(length.sum()))].astype(np.int64)
+    out[at[~big]] = s[~big]
+    return out
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -182,8 +246,11 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return np.array(n, np.int64)
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_ids: int = 500_000, rounds: int = 4, least: int = 40, most_rules: int = 16_000, cache: int = 1_500_000) -> None:
-    """Write the ids of (doc_id, text), an end id after each text, as shards in ascending doc_id order."""
+def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_ids: int = 500_000, rounds: int | None = None, least: int = 40, most_rules: int = 1 << 31, cache: int = 700_000) -> None:
+    """Write the ids of (doc_id, text), an end id after each text, as shards in ascending doc_id order.
+
+    Pairs are replaced until none occurs ``least`` times in its shard; a rule takes the room of some six occurrences, and rounds take their time.
+    """
     # texts are dealt, not ids: the ranges are sampled beforehand, and that must not tokenise
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
