@@ -92,3 +92,61 @@ def test_strict_fits_raise(split):
     ML.fit_all(cached, U, [ML.DEFAULT_MODELS[0]])
     assert cached.is_cached
     cached.unpersist()
+
+
+def test_a_grown_forest_is_the_configured_one(spark, split, tmp_dir):
+    """Branches from several levels on; bounds of depth and leaves, bagged rows, scores by joins, registry and promotion."""
+    from tidemark.operators import forest
+
+    train, test = split
+    data = ML.training_rows(train, U).cache()
+    est = ML.make_model("RandomForestRegressor", {"n_estimators": 20, "max_depth": 7, "min_samples_leaf": 5, "random_state": 3})
+    n = data.count()
+    boards = {}
+    for small in (n, 100):
+        grown = forest.fit(data, est, f"{tmp_dir}/f{small}", small=small)
+        nodes = grown.nodes().cache()
+        assert nodes.select("tree").distinct().count() == 20
+        both = score_nodes(test, nodes, U.features, "id").join(raw_score(test, U, grown, out="p").select("id", "p"), "id")
+        assert both.count() == test.count() and both.agg(F.max(F.abs(F.col("p") - F.col("score")))).first()[0] < 1e-9
+        boards[small] = {(r.tree, r.node): r for r in nodes.collect()}
+        for tree in range(20):
+            of = {k: r for (t, k), r in boards[small].items() if t == tree}
+            level, reached = {0: 0}, set()
+            for k in sorted(of):
+                reached.add(k)
+                if of[k].left_child is not None:
+                    level[of[k].left_child] = level[of[k].right_child] = level[k] + 1
+            assert set(level) == reached == set(of) and 1 <= max(level.values()) <= 7
+    # the same bags and splits, whether a node was split by histograms or in its branch
+    a, b = (sorted((r.tree, round(r.value, 9)) for r in boards[x].values() if r.feature is None) for x in boards)
+    assert a == b
+    own = est.fit(data)
+    rmse = [ML.metrics(raw_score(test, U, m, out="p"), U.target, "p", U).first()["rmse"] for m in (own, grown)]
+    assert abs(rmse[0] - rmse[1]) < 0.05 * rmse[0]
+    reg = Registry(spark, f"{tmp_dir}/r")
+    reg.register(U.name, "a", "forest", grown)
+    assert reg.promote(reg.evaluate(test, U, "a"), U.name, "a") == 1
+    final = raw_score(test, U, reg.load_final(U.name), out="q").select("id", "q").join(raw_score(test, U, grown, out="p"), "id")
+    assert final.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-9
+    data.unpersist()
+
+
+def test_a_branch_has_no_split_below_its_least_rows_or_without_gain():
+    import numpy as np
+
+    from tidemark.operators.forest import grow
+
+    bins = np.array([[0], [0], [1], [1], [2], [2]], np.uint8)
+    y, w, c = np.array([1.0, 1, 1, 1, 5, 5]), np.ones(6), np.ones(6, np.uint8)
+    feature, cut, left, value = grow(bins, y, w, c, 5, 2)
+    assert feature.tolist() == [0, -1, -1] and cut[0] == 1 and left[0] == 1 and value[1:].tolist() == [1, 5]
+    assert grow(bins, y, w, c, 5, 3)[1][0] == 0 or len(grow(bins, y, w, c, 5, 4)[0]) == 1
+    assert grow(bins, np.ones(6), w, c, 5, 1)[0].tolist() == [-1]
+
+
+def test_deep_forests_on_many_rows_are_grown_in_branches():
+    from tidemark.operators.forest import many_leaves
+
+    deep, shallow = (ML.make_model("RandomForestRegressor", {"n_estimators": 300, "max_depth": d, "min_samples_leaf": 5}) for d in (15, 4))
+    assert many_leaves(deep, 80_000) and not many_leaves(deep, 8_000) and not many_leaves(shallow, 10**9)

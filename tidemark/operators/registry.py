@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.forest import GrownForest
 from tidemark.operators.ml import leaderboard, metrics_of
 from tidemark.operators.scoring import SCORE, raw_score
 from tidemark.spec import UseCase
@@ -125,14 +126,17 @@ class Registry:
 
 
 def _kind(model) -> str:
-    return f"{type(model).__module__}.{type(model).__name__}"
+    cls = model if isinstance(model, type) else type(model)
+    return f"{cls.__module__}.{cls.__name__}"
 
 
 def load(kind: str, path: str):
-    """A stored model, by the class that it was registered with. Only MLlib's own classes are loaded."""
+    """A stored model, by the class that it was registered with. Only MLlib's own classes and the grown forest are loaded."""
     import importlib
 
     module, _, name = kind.rpartition(".")
+    if kind == _kind(GrownForest):
+        return GrownForest.load(path)
     if not module.startswith("pyspark.ml"):
         raise ValueError(f"not a model class: {kind}")
     return getattr(importlib.import_module(module), name).load(path)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import classify, round2, with_score_defaults
+from tidemark.operators.forest import GrownForest
 from tidemark.operators.quality import is_valid
 from tidemark.spec import UseCase
 
@@ -76,9 +77,11 @@ def fold_linear(model, features) -> LinearScorer | None:
 
 
 def raw_score(df: DataFrame, u: UseCase, model, out: str = SCORE) -> DataFrame:
-    """Append the unrounded score of ``model`` (LinearScorer or MLlib model)."""
+    """Append the unrounded score of ``model`` (LinearScorer, GrownForest or MLlib model)."""
     if isinstance(model, LinearScorer):
         return df.withColumn(out, model.column())
+    if isinstance(model, GrownForest):
+        return model.score(df, u.features, out)
     folded = fold_linear(model, u.features)
     if folded is not None:
         return df.withColumn(out, folded.column())
