@@ -5,6 +5,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators.alerts import alert_states_loop
@@ -243,3 +244,81 @@ def test_streams_of_an_empty_table(spark, tmp_dir):
     counts = {n: q(spark, tmp_dir).count() for n, q in stream_catalog.stream_queries().items()}
     # the clock's one second has an empty document
     assert counts == {"stream_ticks": 1, "stream_tick_points": 1, "stream_alerts": 0, "stream_trailing": 0}
+
+
+class _Store:
+    """A state variable in memory that counts its calls, as each is a round trip to the state store."""
+
+    calls = 0
+
+    def __init__(self):
+        self.kept = {}
+
+    def __getattribute__(self, name):
+        if name not in ("kept", "__class__") and not name.startswith("_"):
+            _Store.calls += 1
+        return object.__getattribute__(self, name)
+
+    def exists(self):
+        return bool(self.kept)
+
+    def get(self):
+        return self.kept.get("", ())
+
+    def update(self, value):
+        self.kept[""] = value
+
+    def appendValue(self, value):
+        self.kept[""] = [*self.kept.get("", ()), value]
+
+    def appendList(self, values):
+        self.kept[""] = [*self.kept.get("", ()), *values]
+
+    def clear(self):
+        self.kept.clear()
+
+    def containsKey(self, key):
+        return key in self.kept
+
+    def getValue(self, key):
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.kept[key] = value
+
+    def removeKey(self, key):
+        self.kept.pop(key, None)
+
+    def keys(self):
+        return list(self.kept)
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getMapState(self, *_):
+        return _Store()
+
+    getValueState = getListState = getMapState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Now:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_pages_leave_the_processor_as_runs():
+    pages, n, _Store.calls = ticks._Pages(1, 2, "string"), 25_001, 0
+    pages.init(_Handle())
+    pages.handleInputRows((T0, 1), iter([Row(id=str(i), us=i % 7, label="Good", value=1.0, is_clock=False) for i in range(n)] + [Row(id=None, us=None, label="", value=None, is_clock=True)]), None)
+    runs = list(pages.handleExpiredTimer((T0, 1), _Now(0), None))
+    assert [(r.first, len(r.us)) for r in runs] == [(0, 10_000), (5_000, 10_000), (10_000, 5_001)]
+    assert [u for r in runs for u in r.us] == sorted(i % 7 for i in range(n)) and _Store.calls < 10
+    assert [len(r.us) for r in pages.handleExpiredTimer((T0, 1), _Now(0), None)] == [0]  # an empty tick has its document

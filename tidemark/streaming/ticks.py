@@ -20,7 +20,6 @@ without a time belong to no tick. A class of null is counted as ``Unknown``.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 
@@ -31,6 +30,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.functions.scalars import iso_utc
 
 TS = "ingestion_timestamp"
+CHUNK = 10_000  # rows that a processor takes, keeps and yields together
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -67,31 +67,46 @@ def tick_documents(records: DataFrame, clock: DataFrame, tick: str = "1 second",
 
 
 class _Pages(StatefulProcessor):
-    """Rows of one (tick, part) wait in list state; the timer at the tick's end turns them into pages."""
+    """Rows of one (tick, part) wait in list state, a chunk in one entry; the timer at the tick's end puts them in order.
+
+    They leave as runs of whole pages, since a row that Python reads, keeps or yields costs far more than
+    what is in it; ``tick_pages`` cuts the runs into pages."""
 
     def __init__(self, width: int, page: int, id_type: str):
         self.width, self.page, self.id_type = width, page, id_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", f"id {self.id_type}, us long, label string, value double")
+        self.rows = handle.getListState("chunks", f"id array<{self.id_type}>, us array<bigint>, label array<string>, value array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        while chunk := list(islice(rows, 10_000)):
+        while chunk := list(islice(rows, CHUNK)):
             if held := [(r.id, r.us, r.label, r.value) for r in chunk if not r.is_clock]:
-                self.rows.appendList(held)
+                self.rows.appendValue(tuple(list(c) for c in zip(*held)))
         self.handle.registerTimer((key[0] + self.width) * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        rows = sorted(self.rows.get() if self.rows.exists() else [], key=lambda r: (r[1], r[0] is not None, r[0]))
-        for at in range(0, max(1, len(rows)), self.page):
-            part = rows[at : at + self.page]
-            counts = sorted(Counter(r[2] for r in part).items())
-            yield Row(tick_s=key[0], part=key[1], page=at // self.page, classes=[Row(c=c, n=n) for c, n in counts], points=[Row(us=r[1], qoe=r[3]) for r in part])
+        chunks = self.rows.get() if self.rows.exists() else []
+        rows = sorted((r for c in chunks for r in zip(*c)), key=lambda r: (r[1], r[0] is not None, r[0]))
+        run = self.page * max(1, CHUNK // self.page)
+        for at in range(0, max(1, len(rows)), run):
+            _, us, label, value = zip(*rows[at : at + run]) if rows else ((),) * 4
+            yield Row(tick_s=key[0], part=key[1], first=at // self.page, us=us, label=label, value=value)
         self.rows.clear()
 
 
+def _pages_of(runs: DataFrame, page: int) -> DataFrame:
+    """(tick_s, part, page, classes, points): the pages of runs of points, with the count of each class; a run without points is an empty page."""
+    start = F.sequence(F.lit(0), F.greatest(F.size("us") - 1, F.lit(0)), F.lit(page))
+    cut = lambda c, at: F.slice(c, at + 1, page)
+    pages = F.transform(start, lambda at: F.struct((F.col("first") + (at / page).cast("int")).alias("page"), cut("label", at).alias("label"), F.arrays_zip(cut("us", at).alias("us"), cut("value", at).alias("qoe")).alias("points")))
+    each = runs.select("tick_s", "part", F.explode(pages).alias("p"))
+    label = F.col("p.label")
+    classes = F.transform(F.array_sort(F.array_distinct(label)), lambda c: F.struct(c.alias("c"), F.size(F.filter(label, lambda x: x == c)).cast("long").alias("n")))
+    return each.select("tick_s", "part", F.col("p.page").alias("page"), classes.alias("classes"), F.col("p.points").alias("points"))
+
+
 def tick_pages(records: DataFrame, clock: DataFrame, width: int = 1, delay: str = "10 seconds", page: int = 500, parts: int = 1, klass: str = "qoe_class", value: str = "predicted_qoe", ts: str = TS, id_col: str = "id") -> DataFrame:
     """B8/H1 as a stream: (tick, part, page, points, payload), the points of every tick; part 0 of an empty tick has an empty document.
 
@@ -109,12 +124,14 @@ def tick_pages(records: DataFrame, clock: DataFrame, width: int = 1, delay: str
     rows = with_clock(rows, clock, ts, delay).where("event_time is not null")
     second = F.floor(F.unix_seconds("event_time") / width) * width
     rows = rows.withColumn("tick_s", second.cast("long")).withColumn("part", F.coalesce("part", F.lit(0)))
-    pages = rows.groupBy("tick_s", "part").transformWithState(
+    rows = rows.drop(ts) if ts != "event_time" else rows  # ``us`` has it
+    runs = rows.groupBy("tick_s", "part").transformWithState(
         statefulProcessor=_Pages(width, page, id_type),
-        outputStructType="tick_s long, part int, page int, classes array<struct<c:string,n:bigint>>, points array<struct<us:bigint,qoe:double>>",
+        outputStructType="tick_s long, part int, first int, us array<bigint>, label array<string>, value array<double>",
         outputMode="append",
         timeMode="EventTime",
     )
+    pages = _pages_of(runs, page)
     tick = F.timestamp_seconds("tick_s")
     points = F.transform("points", lambda p: F.struct(iso_utc(F.timestamp_micros(p["us"])).alias("ts"), p["qoe"].alias("qoe")))
     return pages.select(tick.alias("tick"), "part", "page", F.size("points").cast("long").alias("points"), _document(tick, F.map_from_entries("classes"), points).alias("payload"))
