@@ -314,6 +314,24 @@ class _Now:
         return self.ms
 
 
+def test_alerts_call_the_state_store_by_runs_of_rows():
+    rng = random.Random(4)
+    rows = [(i, 0, rng.randrange(6_000), rng.choice([1.5, 2.4, 2.5, 3.0, 4.2])) for i in range(12_000)]
+    feed = [Row(id=i, sec=sec, q=q) for i, _, sec, q in rows]
+    alerts, handle, _Store.calls = stateful._Alerts(2.5, 3.0, 3, 0), _Handle(), 0
+    alerts.init(handle)
+    alerts.handleInputRows((0,), iter(feed[:7_000]), None)
+    alerts.handleInputRows((0,), iter(feed[7_000:]), None)
+    runs = []
+    for until in (2_500, 2_501, 7_000):  # seconds that are over: a piece is left open, one second follows, then the rest
+        runs += alerts.handleExpiredTimer((0,), _Now(until * 1000), None)
+        assert until == 7_000 or handle.timers[-1] == min(r[2] for r in rows if r[2] >= until) * 1000 + 1000
+    got = [r for run in runs for r in zip(run.id, run.sec, run.state)]
+    assert {i: state for i, _, state in got if i is not None} == alert_states_loop(rows)
+    assert [(s, i) for i, s, _ in got if i is not None] == sorted((r[2], r[0]) for r in rows)
+    assert _Store.calls < len(rows) / 10 and len(runs) < 10
+
+
 def test_pages_leave_the_processor_as_runs():
     pages, n, _Store.calls = ticks._Pages(1, 2, "string"), 25_001, 0
     pages.init(_Handle())

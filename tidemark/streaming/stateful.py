@@ -1,10 +1,10 @@
 """Stateful streaming operators.
 
 K11 running class counts: ``groupBy(class).count()`` in update mode.
-K12 keyed alerts: state by key, event-time timers. Rows wait in the state store, a second at a time,
-    until the watermark has passed their second, and then go through the state machine in (time, id) order: the result
-    does not depend on how rows are spread over micro-batches. A task holds the rows of one second of one
-    key, not the key's history or its part of a batch. An alert that recovers ends by itself: a ``normal`` row without id and value comes out at
+K12 keyed alerts: state by key, event-time timers. Rows wait in the state store, in pieces ordered by time,
+    until the watermark has passed their second, and then go through the state machine in (time, id) order, as the pieces are
+    merged: the result does not depend on how rows are spread over micro-batches. A task holds the rows of one second of one
+    key and a piece of each chunk that came in, not the key's history; its results of one timer leave together. An alert that recovers ends by itself: a ``normal`` row without id and value comes out at
     ``recovery + hold``, by a timer if no row of the key does it. With these rows left out the result
     is that of ``operators.alerts.alert_states``.
 K13 trailing windows: rows are counted in panes of one slide (partial aggregation), and a second
@@ -17,16 +17,17 @@ time are left out. A clock (``ticks.with_clock``) closes what no later record cl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from itertools import islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.streaming.ticks import with_clock
+from tidemark.streaming.ticks import CHUNK, with_clock
 
-ALERT_OUT = "id long, k long, sec long, q double, signal string, state string"
-CHUNK = 10_000
+ALERT_RUN = {"id": "bigint", "sec": "bigint", "q": "double", "signal": "string", "state": "string"}
+PIECE = 256  # rows of an entry of the state store
 
 
 def alert_step(machine: tuple[bool, int | None], sec: int, q: float | None, low: float, high: float, hold: int) -> tuple[tuple[bool, int | None], str | None, str]:
@@ -41,64 +42,93 @@ def alert_step(machine: tuple[bool, int | None], sec: int, q: float | None, low:
 
 
 class _Alerts(StatefulProcessor):
-    """``waiting``: rows by second. ``machine``: is the alert shown, and since when does it recover. Times are seconds from ``origin``."""
+    """``pieces``: rows in the order of their seconds, ``PIECE`` in one entry. ``count``: the entries so far, which number them.
+    ``machine``: is the alert shown, and since when does it recover. Times are seconds from ``origin``.
+
+    A call of the state store, and a row that Python yields, costs as much as many records, so both take runs of them."""
 
     def __init__(self, low: float, high: float, hold: int, origin: int):
         self.low, self.high, self.hold, self.origin = low, high, hold, origin
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "sec long", "rows array<struct<id:bigint,q:double>>")
+        self.pieces = handle.getMapState("pieces", "first long, number long", "sec array<bigint>, id array<bigint>, q array<double>")
+        self.count = handle.getValueState("count", "number long")
         self.machine = handle.getValueState("machine", "visible boolean, rec long")
 
     def _at(self, sec: int) -> int:
         return (sec + self.origin) * 1000
 
+    def _wait(self, rows: list[tuple]) -> None:
+        number = self.count.get()[0] if self.count.exists() else 0
+        for at in range(0, len(rows), PIECE):
+            self.pieces.updateValue((rows[at][0], number), tuple(list(c) for c in zip(*rows[at : at + PIECE])))
+            number += 1
+        self.count.update((number,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         first = None
-        while chunk := list(islice(rows, CHUNK)):
-            fresh: dict[int, list] = {}
-            for r in chunk:
-                fresh.setdefault(r.sec, []).append((r.id, r.q))
-            for sec, new in fresh.items():
-                old = self.waiting.getValue((sec,))[0] if self.waiting.containsKey((sec,)) else []
-                self.waiting.updateValue((sec,), ([(r[0], r[1]) for r in old] + new,))
-                first = sec if first is None else min(first, sec)
+        while chunk := sorted(((r.sec, r.id, r.q) for r in islice(rows, CHUNK)), key=lambda r: r[0]):
+            self._wait(chunk)
+            first = chunk[0][0] if first is None else min(first, chunk[0][0])
         if first is not None:
             self.handle.registerTimer(self._at(first + 1))
         return iter(())
 
+    def _over(self, now: int, late: list[int]) -> Iterator[tuple]:
+        """(sec, id, q) of the seconds that are over, in the order of time and id; the first other second is put into ``late``.
+
+        The pieces are merged: one is read when its first second comes, so few rows are held beside those of a second."""
+        keys = sorted(tuple(k) for k in self.pieces.keys())
+        held: list[tuple] = []  # a heap of the rows that have been read and are not through
+        for read, piece in enumerate([*keys, None]):
+            # the pieces from here on have nothing earlier than the first second of this one
+            while held and (piece is None or held[0][0] < piece[0]) and self._at(held[0][0] + 1) <= now:
+                sec, has_id, i, _, q = heappop(held)
+                yield sec, i if has_id else None, q
+            if piece is None or self._at(piece[0] + 1) > now:
+                late.extend(([piece[0]] if piece else []) + [r[0] for r in held[:1]])
+                break
+            for n, (sec, i, q) in enumerate(zip(*self.pieces.getValue(piece))):
+                heappush(held, (sec, i is not None, 0 if i is None else i, (read, n), q))
+            self.pieces.removeKey(piece)
+        if held:
+            self._wait([(sec, i if has_id else None, q) for sec, has_id, i, _, q in sorted(held)])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         machine = tuple(self.machine.get()) if self.machine.exists() else (False, None)
-        every = sorted(k[0] for k in self.waiting.keys())
-        for sec in every:
-            if self._at(sec + 1) > now:
-                break
-            rows = sorted(((r[0], r[1]) for r in self.waiting.getValue((sec,))[0]), key=lambda r: (r[0] is not None, r[0]))
-            self.waiting.removeKey((sec,))
-            for i, q in rows:
-                if machine[0] and machine[1] is not None and sec >= machine[1] + self.hold:
-                    yield self._ended(key, machine[1])
-                    machine = (False, None)
-                machine, signal, state = alert_step(machine, sec, q, self.low, self.high, self.hold)
-                yield Row(id=i, k=key[0], sec=sec, q=q, signal=signal, state=state)
-        late = [sec for sec in every if self._at(sec + 1) > now]
+        late: list[int] = []
+        out: list[tuple] = []
+        for sec, i, q in self._over(now, late):
+            if machine[0] and machine[1] is not None and sec >= machine[1] + self.hold:
+                out.append(self._ended(machine[1]))
+                machine = (False, None)
+            machine, signal, state = alert_step(machine, sec, q, self.low, self.high, self.hold)
+            out.append((i, sec, q, signal, state))
+            if len(out) >= CHUNK:
+                yield self._run(key, out)
+                out = []
         if machine[0] and machine[1] is not None and not any(sec < machine[1] + self.hold for sec in late):
             if self._at(machine[1] + self.hold) <= now:
-                yield self._ended(key, machine[1])
+                out.append(self._ended(machine[1]))
                 machine = (False, None)
             else:
                 self.handle.registerTimer(self._at(machine[1] + self.hold))
+        if out:
+            yield self._run(key, out)
         if late:
-            self.handle.registerTimer(self._at(late[0] + 1))
+            self.handle.registerTimer(self._at(min(late) + 1))
         if machine[0]:
             self.machine.update(machine)
         elif self.machine.exists():
             self.machine.clear()
 
-    def _ended(self, key, rec: int) -> Row:
-        return Row(id=None, k=key[0], sec=rec + self.hold, q=None, signal=None, state="normal")
+    def _ended(self, rec: int) -> tuple:
+        return (None, rec + self.hold, None, None, "normal")
+
+    def _run(self, key, rows: list[tuple]) -> Row:
+        return Row(k=key[0], **dict(zip(ALERT_RUN, zip(*rows), strict=True)))
 
 
 def stream_alerts(points: DataFrame, clock: DataFrame, low: float = 2.5, high: float = 3.0, hold: int = 3, delay: str = "10 seconds", origin: int = 0) -> DataFrame:
@@ -107,9 +137,11 @@ def stream_alerts(points: DataFrame, clock: DataFrame, low: float = 2.5, high: f
     rows = points.where("sec is not null").withColumn("at", F.timestamp_seconds(F.col("sec") + F.lit(int(origin))))
     # the condition names the event time, so that it stays above the watermark, which the clock's rows move
     rows = with_clock(rows, clock, "at", delay).where("not is_clock or event_time is null")
-    return rows.groupBy("k").transformWithState(
-        statefulProcessor=_Alerts(low, high, hold, int(origin)), outputStructType=ALERT_OUT, outputMode="append", timeMode="EventTime"
+    kinds = ", ".join(f"{c} array<{t}>" for c, t in ALERT_RUN.items())
+    runs = rows.drop("at").groupBy("k").transformWithState(
+        statefulProcessor=_Alerts(low, high, hold, int(origin)), outputStructType=f"k long, {kinds}", outputMode="append", timeMode="EventTime"
     )
+    return runs.select("k", F.inline(F.arrays_zip(*ALERT_RUN))).select("id", "k", "sec", "q", "signal", "state")
 
 
 def running_class_counts(scored: DataFrame, klass: str = "qoe_class") -> DataFrame:
