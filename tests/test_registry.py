@@ -150,3 +150,14 @@ def test_deep_forests_on_many_rows_are_grown_in_branches():
 
     deep, shallow = (ML.make_model("RandomForestRegressor", {"n_estimators": 300, "max_depth": d, "min_samples_leaf": 5}) for d in (15, 4))
     assert many_leaves(deep, 80_000) and not many_leaves(deep, 8_000) and not many_leaves(shallow, 10**9)
+
+
+def test_a_grown_forest_scores_the_rows_of_one_task_in_many(spark, tmp_dir):
+    from tidemark.operators import forest
+
+    spark.createDataFrame([(t, [0, -1, -1], [5.0, 0.0, 0.0], [1, -1, -1], [0.0, float(t), 3.0]) for t in (0, 1)], forest.TREE).write.parquet(f"{tmp_dir}/f")
+    rows = spark.range(0, 1_000, 1, 1).selectExpr("id", "cast(id as double) as x")
+    scored = forest.GrownForest(spark, f"{tmp_dir}/f").score(rows, ["x"], "p")
+    assert {r.id: r.p for r in scored.collect()} == {i: 0.5 if i <= 5 else 3.0 for i in range(1_000)}
+    used = scored.select(F.spark_partition_id().alias("i")).distinct().count()
+    assert used == 2 * spark.sparkContext.defaultParallelism

@@ -360,7 +360,8 @@ class GrownForest:
             if any(h.num_rows for h in held):
                 yield from _scored(held, names, path, out)
 
-        return df.mapInArrow(run, schema)
+        # a small file is read in one task, but its rows times the trees are work for all
+        return df.repartition(2 * self.spark.sparkContext.defaultParallelism).mapInArrow(run, schema)
 
 
 def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str) -> Iterator[pa.RecordBatch]:
