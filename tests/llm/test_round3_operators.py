@@ -319,3 +319,44 @@ def test_toxicity_learns_one_text_of_an_id(spark):
     assert machine is not None
     again = toxicity.learn(docs_of(spark, rows[::-1]).repartition(3), labels)
     assert np.allclose(machine.score(["zorkface", "plain"]), again.score(["zorkface", "plain"]))
+
+
+def test_a_shards_index_is_made_in_parts(spark):
+    from tidemark.llm import search
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.2, 300) % 5000) for _ in range(60)]
+    docs = spark.createDataFrame([(i // 3, t) for i, t in enumerate(texts)], "doc_id long, text string")  # three texts an id
+    shards, n = search.index(docs.repartition(5), 20)
+    rows = [r.asDict() for r in shards.collect()]
+    assert len(rows) == n * search.RANGES > n
+    whole = sum(len(r["doc"]) for r in rows) / n
+    assert max(len(r["doc"]) for r in rows) < whole / 2  # neither a task nor a row has a shard's postings
+    mean = sum(len(t.split()) for t in texts) / len(texts)
+    found = []
+    for s in range(n):
+        shard = search.Shard([r for r in rows if r["shard"] == s], mean)
+        assert len(shard.ids) == sum(r["docs"] for r in rows if r["shard"] == s)
+        asked = np.sort(np.array([search._hashed(w) for w in set(texts[0].split())]))
+        ids, scores = shard.search(asked, np.ones(len(asked)), None, 60)
+        found += zip(ids.tolist(), np.round(scores, 9).tolist(), strict=True)
+    want = []
+    for i, t in enumerate(texts):  # words of one text are found together, though ids repeat
+        words = t.split()
+        score = sum(words.count(w) * 2.2 / (words.count(w) + 1.2 * (0.25 + 0.75 * len(words) / mean)) for w in set(texts[0].split()) if w in words)
+        want += [(i // 3, round(score, 9))] if score else []
+    assert len(found) == len(want) and np.allclose(sorted(found), sorted(want), atol=1e-8)
+
+
+def test_postings_are_read_in_steps(monkeypatch):
+    from tidemark.llm import search
+
+    rng = np.random.default_rng(5)
+    lists = [np.unique(rng.zipf(1.3, 40) % 90) for _ in range(400)]
+    group = search.pa.table({"doc_id": np.arange(400), "length": [len(x) for x in lists], "term": [x.astype(np.int64).tobytes() for x in lists], "tf": [np.ones(len(x), np.int32).tobytes() for x in lists]})
+    shard = search.Shard(search._build((search.pa.scalar(0),), group).to_pylist()[0], 20.0)
+    ask = lambda: [shard.search(x.astype(np.int64), 1 / (1 + x % 7), i, 10) for i, x in enumerate(lists[:50])]
+    once = ask()
+    monkeypatch.setattr(search, "AT_ONCE", 300)
+    for (a, b), (c, d) in zip(once, ask(), strict=True):
+        assert (a == c).all() and (b == d).all()
