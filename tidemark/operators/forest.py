@@ -340,31 +340,36 @@ class GrownForest:
     def save(self, path: str) -> None:
         self.trees().write.parquet(path)
 
-    @staticmethod
-    def load(path: str) -> GrownForest:
+    @classmethod
+    def load(cls, path: str) -> GrownForest:
         spark = SparkSession.getActiveSession()
         spark.read.schema(TREE).parquet(path)  # raises if it is not there
-        return GrownForest(spark, path)
+        return cls(spark, path)
 
     def score(self, df: DataFrame, features, out: str) -> DataFrame:
-        """``df`` with the mean of the trees' values; a missing feature is an error, as it is to MLlib's assembler."""
-        path, names, schema = self.path, list(features), StructType([*df.schema.fields, StructField(out, DoubleType())])
+        """``df`` with the mean (boosting: the sum) of the trees' values; a missing feature is an error, as it is to MLlib's assembler."""
+        path, names, mean, schema = self.path, list(features), not isinstance(self, BoostedTrees), StructType([*df.schema.fields, StructField(out, DoubleType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
             for b in batches:
                 held.append(b)
                 if sum(h.num_rows for h in held) >= BLOCK:
-                    yield from _scored(held, names, path, out)
+                    yield from _scored(held, names, path, out, mean)
                     held = []
             if any(h.num_rows for h in held):
-                yield from _scored(held, names, path, out)
+                yield from _scored(held, names, path, out, mean)
 
         # a small file is read in one task, but its rows times the trees are work for all
         return df.repartition(2 * self.spark.sparkContext.defaultParallelism).mapInArrow(run, schema)
 
 
-def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str) -> Iterator[pa.RecordBatch]:
+@dataclass(frozen=True)
+class BoostedTrees(GrownForest):
+    """A stored boosted ensemble: the values are those of the trees times their weights, so their sum is the score."""
+
+
+def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str, mean: bool) -> Iterator[pa.RecordBatch]:
     import pyarrow.dataset as ds
     from pyarrow import fs
 
@@ -388,5 +393,5 @@ def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str) -
             count += 1
     if count == 0 or len(set(found)) != count:
         raise ValueError(f"not a forest: {path}")
-    score = pa.chunked_array([pa.array(total / count)])
+    score = pa.chunked_array([pa.array(total / count if mean else total)])
     yield from t.append_column(out, score).to_batches()

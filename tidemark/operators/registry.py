@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.forest import GrownForest
+from tidemark.operators.forest import BoostedTrees, GrownForest
 from tidemark.operators.ml import leaderboard, metrics_of
 from tidemark.operators.scoring import SCORE, raw_score
 from tidemark.spec import UseCase
@@ -135,8 +135,9 @@ def load(kind: str, path: str):
     import importlib
 
     module, _, name = kind.rpartition(".")
-    if kind == _kind(GrownForest):
-        return GrownForest.load(path)
+    for own in (GrownForest, BoostedTrees):
+        if kind == _kind(own):
+            return own.load(path)
     if not module.startswith("pyspark.ml"):
         raise ValueError(f"not a model class: {kind}")
     return getattr(importlib.import_module(module), name).load(path)
