@@ -360,3 +360,51 @@ def test_postings_are_read_in_steps(monkeypatch):
     monkeypatch.setattr(search, "AT_ONCE", 300)
     for (a, b), (c, d) in zip(once, ask(), strict=True):
         assert (a == c).all() and (b == d).all()
+
+
+def test_a_shards_queries_come_in_batches(spark):
+    """A task has a shard's index and some queries, not all the queries that meet the shard."""
+    from tidemark.llm import search
+
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.3, 40) % 300) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(7, "w1 w2 w3"), (500, None)], "doc_id long, text string").repartition(3)
+    at_once = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = lambda found: sorted((r.query_id, r.rank, r.doc_id, r.score) for r in found.collect())
+    whole = rows(search.search(docs, docs.where("doc_id % 2 = 1"), query_terms=None))
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # less than an index's rows, so these come in pieces too
+        found = search.search(docs, docs.where("doc_id % 2 = 1"), query_terms=None, docs_per_shard=40, chunk=30)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Group" not in plan.replace("WindowGroupLimit", "")
+        assert rows(found) == whole and len(whole) == 10 * 100
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", at_once)
+
+
+def test_frequent_terms_are_rows_of_a_shard(monkeypatch):
+    from tidemark.llm import search
+
+    rng = np.random.default_rng(6)
+    lists = [np.unique(rng.zipf(1.3, 60) % 900) for _ in range(600)]
+    lists += [lists[0]] * 40  # ties
+    tf = [rng.integers(1, 9, len(x)).astype(np.int32) for x in lists[:600]]
+    tf += [tf[0]] * 40
+    group = search.pa.table({"doc_id": np.arange(640) // 2, "length": [int(n.sum()) for n in tf], "term": [x.astype(np.int64).tobytes() for x in lists], "tf": [n.tobytes() for n in tf]})
+    row = search._build((search.pa.scalar(0),), group).to_pylist()[0]
+    asked = [(x.astype(np.int64), 1 / (1 + x % 7), i // 2) for i, x in enumerate(lists[:100])] + [(np.array([5, 999]), np.ones(2), None), (np.array([999]), np.ones(1), None)]
+    shard = search.Shard(row, 100.0)
+    assert 0 < len(shard.rows) < len(shard.terms)
+    found = list(shard.search_all(asked, 10))
+    monkeypatch.setattr(search, "ROWS", 0)
+    lists_only = search.Shard(row, 100.0)
+    assert not len(lists_only.rows)
+    for (ids, scores), (i, s), (term, idf, own) in zip(found, lists_only.search_all(asked, 10), asked, strict=True):
+        assert (ids == i).all() and (scores == s).all()
+        docs, place = np.flatnonzero(shard.ids != (-1 if own is None else own)), np.flatnonzero(np.isin(term, shard.terms))
+        at = np.searchsorted(shard.terms, term[place])
+        full = shard._scored(at, idf[place], docs)
+        assert (full == shard._scored_few(at, idf[place], docs)).all()
+        best = np.lexsort((shard.ids[docs], -full))[:10]
+        best = best[full[best] > 0]
+        assert (shard.ids[docs[best]] == ids).all() and (full[best] == scores).all()
