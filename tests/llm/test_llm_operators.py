@@ -1,11 +1,14 @@
 """The corpus operators against brute force, library results, round trips and held-out labels; edge rows for each."""
 
 import collections
+import contextlib
 import hashlib
 import html
 import math
+import os
 import random
 import re
+import threading
 import zlib
 
 import numpy as np
@@ -199,6 +202,48 @@ def test_embedding_links_are_all_found(spark, blocks, cell_rows):
     assert subspace.near_duplicates(df.limit(0)).count() == 0
 
 
+def most_on_disk(spark, run):
+    """What ``run`` returns, and the most bytes that the session's shuffle files grew by meanwhile."""
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    sizes, done = [], threading.Event()
+
+    def look():
+        total = 0
+        for d in dirs:
+            for at, _, files in os.walk(d):
+                for f in files:
+                    with contextlib.suppress(OSError):
+                        total += os.stat(os.path.join(at, f)).st_size
+        sizes.append(total)
+
+    def watch():
+        while not done.wait(0.02):
+            look()
+
+    look()
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        return run(), max(sizes) - sizes[0]
+    finally:
+        done.set()
+        watcher.join()
+
+
+def test_embedding_vectors_are_not_copied_for_cells(spark):
+    """What is shuffled is in proportion to the table, however many chunks meet."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    x[1::10] = x[::10] + rng.normal(size=(300, 64)).astype(np.float32) * 0.1
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4).cache()
+    df.count()
+    got, taken = most_on_disk(spark, lambda: subspace.near_duplicates(df, cell_rows=50).collect())
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    near = (u @ u.T >= 0.93).sum(axis=1) - 1
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(near.tolist())) and near.sum() >= 600
+    assert taken < 6 * x.nbytes
+
+
 # --- 4: search ---------------------------------------------------------------------------------------------------
 
 
