@@ -274,6 +274,20 @@ def test_search_is_exact(spark, edge, none):
     assert search.search(none, none).count() == 0
 
 
+def test_search_copies_neither_index_nor_queries(spark):
+    """What is shuffled does not grow with the chunks of queries and the shards that meet."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 4000, 250)) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    docs.count()
+    rows = lambda **parts: most_on_disk(spark, lambda: sorted(tuple(r) for r in search.search(docs, docs, query_terms=None, **parts).collect()))
+    (whole, once), (found, taken) = rows(), rows(docs_per_shard=100, chunk=30)
+    assert len(whole) == len(found) == 6000
+    for a, b in zip(whole, found, strict=True):
+        assert a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-9)
+    assert taken < 2 * once
+
+
 def test_registered_search_asks_by_the_whole_text(spark):
     texts = {r.doc_id: collections.Counter(re.findall(r"\w+", r.text.lower())) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = collections.defaultdict(list)
