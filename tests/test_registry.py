@@ -145,6 +145,59 @@ def test_a_branch_has_no_split_below_its_least_rows_or_without_gain():
     assert grow(bins, np.ones(6), w, c, 5, 1)[0].tolist() == [-1]
 
 
+def test_a_branch_is_the_same_by_histograms_and_by_sorting(monkeypatch):
+    import numpy as np
+
+    from tidemark.operators import forest
+
+    rng = np.random.default_rng(7)
+    bins = rng.integers(0, 40, (6000, 4)).astype(np.uint8)
+    y, w, c = rng.normal(size=6000) + bins[:, 0] / 9 + (bins[:, 1] > 20), rng.random(6000) + 0.5, rng.integers(1, 4, 6000).astype(np.uint8)
+    grown = []
+    for dense in (1e9, 0.5, 4.0):
+        monkeypatch.setattr(forest, "DENSE", dense)
+        grown.append(forest.grow(bins, y, w, c, 8, 20))
+    for other in grown[1:]:
+        for a, b in zip(grown[0], other, strict=True):
+            assert a.shape == b.shape and np.allclose(a, b)
+    assert len(grown[0][0]) > 200
+
+
+def test_a_forests_bags_are_poisson_numbers():
+    import math
+
+    import numpy as np
+
+    from tidemark.operators.forest import _bag
+
+    c = np.concatenate([_bag(5, t, 0, 0, 50_000) for t in range(40)])
+    assert c.max() < 20 and (_bag(5, 1, 0, 0, 50_000) == c[50_000:100_000]).all()
+    for k in range(6):
+        p = math.exp(-1) / math.factorial(k)
+        assert abs((c == k).mean() - p) < 5 * math.sqrt(p / len(c))
+
+
+def test_a_forests_rows_wait_in_waves(spark, split, tmp_dir, monkeypatch):
+    """The rows of few trees are in the shuffle at once, and the trees are those of one wave."""
+    from tidemark.operators import forest
+
+    data = ML.training_rows(split[0], U).cache()
+    n = data.count()
+    est = ML.make_model("RandomForestRegressor", {"n_estimators": 12, "max_depth": 6, "min_samples_leaf": 5, "random_state": 3})
+    waves, dealt = [], forest._branches
+    monkeypatch.setattr(forest, "_branches", lambda blocks, tops, wave, *rest: waves.append(list(wave)) or dealt(blocks, tops, wave, *rest))
+    found = {}
+    for name, size in (("one", 1e12), ("few", 5 * n * 15)):
+        monkeypatch.setattr(forest, "WAVE", size)
+        for small in (n, 300):
+            grown = forest.fit(data, est, f"{tmp_dir}/{name}{small}", small=small)
+            found[name, small] = sorted((r.tree, r.feature, r.threshold, r.left, [round(v, 9) for v in r.value]) for r in grown.trees().collect())
+            assert [f[0] for f in found[name, small]] == list(range(12))
+    assert found["one", n] == found["few", n] and found["one", 300] == found["few", 300]
+    assert waves[:2] == [list(range(12))] * 2 and len(waves) > 4 and max(map(len, waves[2:])) <= 6
+    data.unpersist()
+
+
 def test_deep_forests_on_many_rows_are_grown_in_branches():
     from tidemark.operators.forest import many_leaves
 

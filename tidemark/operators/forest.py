@@ -2,7 +2,8 @@
 
 MLlib builds a histogram for every node of every tree, down to nodes of a handful of rows: 18 kB a node (6 features, 128 bins), for
 millions of nodes, from each partition. Here that is done for nodes of more than ``SMALL`` rows alone. The rows of a smaller
-node are shuffled to one group, which grows the rest of its branch by sorting them: the work of a level is that of its rows.
+node are shuffled to one group, which grows the rest of its branch: by histograms while its nodes have as many rows as there are bins, then by
+sorting them, so the work of a level is that of its rows. Trees are dealt in waves: no more than ``WAVE`` bytes of rows wait in the shuffle at once.
 
 The forest is the one that is configured: Poisson(1) bags, all features at every node, at most ``maxBins`` bins a
 feature, weighted variance, ``minInstancesPerNode`` counted in bagged rows, splits of positive gain. Its random numbers are not MLlib's, so
@@ -15,6 +16,7 @@ such node. Scoring reads the trees a few at a time, for blocks of rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-SMALL = 100_000  # rows of a node that one task grows on
+SMALL = 2_000_000  # rows of a node that one task grows on
+WAVE = 8e9  # bytes of rows dealt to branches at once
+AT_ONCE = 16_384  # rows of a branch that are added to histograms at once
+REGROUP = 2  # levels after which the rows of a branch are put in the order of its nodes
+DENSE = 0.5  # rows for each bin of a node from which on histograms are made
 MLLIB_LEAVES = 1_000_000  # leaves that MLlib's own forest is left with
 BLOCK = 65_536
 CUT_ROWS = 65_536
@@ -40,15 +46,15 @@ def many_leaves(est, rows: int) -> bool:
 # -------------------------------------------------------------- one branch
 
 
-def best_cuts(at, order, bins, c, cw, cs, n, w, s, least: int):
-    """(feature, bin, gain) of the best split of each node; ``order`` has the rows of each feature by (node, bin), -1 where there is none."""
+def best_cuts(at, order, cols, c, cw, cs, n, w, s, least: int):
+    """(feature, bin, gain) of the best split of each node; ``order`` has the rows of each feature by (node, bin), ``cols`` their bins, -1 where there is none."""
     m = len(n)
     feature, cut, gain = np.full(m, -1, np.int32), np.zeros(m, np.int32), np.zeros(m)
     own = s * s / w
     floor = LEAST_GAIN * (own + 1)
     before = [np.concatenate(([0], np.cumsum(t)))[:-1] for t in (n, w, s)]
     for f, o in enumerate(order):
-        a, b = at[o], bins[o, f]
+        a, b = at[o], cols[f][o]
         ends = np.flatnonzero((a[1:] == a[:-1]) & (b[1:] != b[:-1]))  # the last row of a bin that has others of its node behind it
         if not len(ends):
             continue
@@ -70,6 +76,36 @@ def best_cuts(at, order, bins, c, cw, cs, n, w, s, least: int):
     return feature, cut, gain
 
 
+def dense_cuts(at, nb: int, cols, c, cw, cs, n, w, s, least: int):
+    """The same, from histograms of ``nb`` bins of each node."""
+    m = len(n)
+    feature, cut, gain = np.full(m, -1, np.int32), np.zeros(m, np.int32), np.zeros(m)
+    own = s * s / w
+    floor = LEAST_GAIN * (own + 1)
+    n, w, s = n[:, None], w[:, None], s[:, None]
+    runs = [slice(i, i + AT_ONCE) for i in range(0, len(at), AT_ONCE)]
+    spans = [(int(at[r].min()), int(at[r].max()) + 1) for r in runs]
+    for f, bins in enumerate(cols):
+        h = np.zeros((3, m * nb))
+        for r, (low, high) in zip(runs, spans, strict=True):
+            k = (at[r] - low).astype(np.int64) * nb + bins[r]
+            for i, t in enumerate((c, cw, cs)):
+                h[i, low * nb : high * nb] += np.bincount(k, t[r], (high - low) * nb)
+        nl, wl, sl = np.cumsum(h.reshape(3, m, nb), axis=2)
+        ok = (nl >= least) & (n - nl >= least)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g = np.where(ok, sl * sl / wl + (s - sl) ** 2 / (w - wl) - own[:, None], -np.inf)
+        won = np.argmax(g, axis=1)
+        top = g[np.arange(m), won]
+        better = np.flatnonzero((top > floor) & (top > gain))
+        feature[better], cut[better], gain[better] = f, won[better], top[better]
+    return feature, cut, gain
+
+
+def _short(at: np.ndarray, m: int) -> np.ndarray:
+    return at.astype(np.uint16 if m < 65_536 else np.int32)  # short keys are sorted by radix
+
+
 def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, c: np.ndarray, depth: int, least: int):
     """A branch of at most ``depth`` levels: (feature or -1, bin, left child, value) of its nodes; the right child follows the left one."""
     c = c.astype(float)
@@ -77,13 +113,20 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, c: np.ndarray, depth: i
     middle = float((cw * y).sum() / cw.sum())
     cs = cw * (y - middle)
     at = np.zeros(len(y), np.int32)
-    order = [np.argsort(bins[:, f], kind="stable") for f in range(bins.shape[1])]
+    cols, nb = np.ascontiguousarray(bins.T), int(bins.max(initial=0)) + 1
+    order = None  # made once nodes are too small for histograms
     parts, first, m = [], 0, 1
     for level in range(depth + 1):
         n, ww, ss = (np.bincount(at, t, m) for t in (c, cw, cs))
         feature, cut = np.full(m, -1, np.int32), np.zeros(m, np.int32)
-        if level < depth:
-            feature, cut, _ = best_cuts(at, order, bins, c, cw, cs, n, ww, ss, least)
+        if level < depth and order is None and m * nb * DENSE <= len(at):
+            feature, cut, _ = dense_cuts(at, nb, cols, c, cw, cs, n, ww, ss, least)
+        elif level < depth:
+            if order is None:
+                node = _short(at, m)
+                order = [np.argsort(col, kind="stable") for col in cols]
+                order = [o[np.argsort(node[o], kind="stable")] for o in order]
+            feature, cut, _ = best_cuts(at, order, cols, c, cw, cs, n, ww, ss, least)
         inner = feature >= 0
         rank = np.cumsum(inner) - 1
         parts.append((feature, cut, np.where(inner, first + m + 2 * rank, -1).astype(np.int32), middle + ss / ww))
@@ -91,13 +134,19 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, c: np.ndarray, depth: i
         if not m:
             break
         kept = inner[at]
-        moved = np.cumsum(kept) - 1
-        order = [moved[o[kept[o]]] for o in order]
-        bins, c, cw, cs, at = bins[kept], c[kept], cw[kept], cs[kept], at[kept]
-        right = bins[np.arange(len(at)), feature[at]] > cut[at]
-        at = (2 * rank[at] + right).astype(np.uint16 if m < 65_536 else np.int32)  # short keys are sorted by radix
-        order = [o[np.argsort(at[o], kind="stable")] for o in order]
-        at = at.astype(np.int32)
+        if not kept.all():
+            if order is not None:
+                moved = np.cumsum(kept) - 1
+                order = [moved[o[kept[o]]] for o in order]
+            cols, c, cw, cs, at = cols[:, kept], c[kept], cw[kept], cs[kept], at[kept]
+        right = cols.ravel()[feature[at] * np.int64(len(at)) + np.arange(len(at))] > cut[at]
+        at = (2 * rank[at] + right).astype(np.int32)
+        if order is None and level % REGROUP == REGROUP - 1:  # a node's rows together, in their order: its histogram stays in the cache
+            by = np.argsort(_short(at, m), kind="stable")
+            cols, c, cw, cs, at = np.stack([col[by] for col in cols]), c[by], cw[by], cs[by], at[by]
+        if order is not None:
+            node = _short(at, m)
+            order = [o[np.argsort(node[o], kind="stable")] for o in order]
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
@@ -156,8 +205,19 @@ def _unpacked(batches: Iterator[pa.RecordBatch], d: int) -> list[tuple]:
     return [(r["part"], r["block"], np.frombuffer(r["bins"], np.uint8).reshape(-1, d), np.frombuffer(r["y"]), np.frombuffer(r["w"])) for b in batches for r in b.to_pylist()]
 
 
+_SHARES = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])  # of a Poisson(1) number's values
+_LOW, _HIGH = (np.searchsorted(_SHARES, np.arange(z, z + 65_536) / 65_536, side=e) for z, e in ((0, "right"), (1, "left")))
+_DRAWN = np.where(_LOW == _HIGH, _LOW, 255).astype(np.uint8)  # 255 where 16 bits do not tell
+
+
 def _bag(seed: int, tree: int, part: int, block: int, n: int) -> np.ndarray:
-    return np.random.default_rng([seed & 0xFFFFFFFF, tree, part, block]).poisson(1.0, n).astype(np.uint8)
+    """How often each row is in the tree's bag: Poisson(1) numbers, by the inverse of their distribution."""
+    rng = np.random.default_rng([seed & 0xFFFFFFFF, tree, part, block])
+    u = rng.integers(0, 65_536, n, np.uint16)
+    c = _DRAWN[u]
+    open_ = np.flatnonzero(c == 255)
+    c[open_] = np.searchsorted(_SHARES, (u[open_] + rng.random(len(open_))) / 65_536, side="right")
+    return c
 
 
 class _Top:
@@ -253,27 +313,29 @@ def fit(rows: DataFrame, est, path: str, small: int = SMALL) -> GrownForest:
                 t.open = []
             for r in sorted(found):
                 tops[r.tree].split(r.node, r.feature, r.cut, r.value, (r.nl, r.nr), depth, small)
-        _branches(blocks, tops, cuts, seed, depth, least).write.parquet(path)
+        wave = max(1, int(WAVE / max(1.0, total * (1 - math.exp(-1)) * (d + 17))))
+        for t in range(0, trees, wave):
+            _branches(blocks, tops, range(t, min(t + wave, trees)), cuts, seed, depth, least).write.mode("append").parquet(path)
     finally:
         blocks.unpersist()
     return GrownForest(spark, path)
 
 
-def _branches(blocks: DataFrame, tops: list[_Top], cuts: list[np.ndarray], seed: int, depth: int, least: int) -> DataFrame:
-    """The whole trees: each small node's rows go to one group, which grows its branch; a tree's branches are put below its top."""
-    d = len(cuts)
-    shapes = [(t.arrays(), sorted(t.branches)) for t in tops]
-    levels = [t.depth for t in tops]
-    values = [t.value for t in tops]
+def _branches(blocks: DataFrame, tops: list[_Top], wave: range, cuts: list[np.ndarray], seed: int, depth: int, least: int) -> DataFrame:
+    """The whole trees of a wave: each small node's rows go to one group, which grows its branch; a tree's branches are put below its top."""
+    d, before = len(cuts), np.cumsum([0, *map(len, cuts)])
+    shapes = {t: (tops[t].arrays(), sorted(tops[t].branches)) for t in wave}
+    levels = {t: tops[t].depth for t in wave}
+    values = {t: tops[t].value for t in wave}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _unpacked(batches, d)
         for part, block, bins, y, w in held:
-            for tree, (top, nodes) in enumerate(shapes):
+            for tree, (top, nodes) in shapes.items():
                 c = _bag(seed, tree, part, block, len(y))
                 at = _descend(top, bins)
                 on = np.flatnonzero(c)
-                on = on[np.argsort(at[on], kind="stable")]
+                on = on[np.argsort(_short(at, len(top[0]))[on], kind="stable")]
                 low, high = (np.searchsorted(at[on], nodes, side=s) for s in ("left", "right"))
                 cols = [[z[on[i:j]].tobytes() for i, j in zip(low, high, strict=True)] for z in (bins, y, w, c)]
                 yield pa.RecordBatch.from_arrays([pa.array([z] * len(nodes), pa.int32()) for z in (tree, part, block)] + [pa.array(nodes, pa.int32())] + [pa.array(z, pa.binary()) for z in cols], names=["tree", "part", "block", "node", "bins", "y", "w", "c"])
@@ -291,26 +353,28 @@ def _branches(blocks: DataFrame, tops: list[_Top], cuts: list[np.ndarray], seed:
         tree = key[0].as_py()
         cols = [[np.array(v)] for v in (*shapes[tree][0], values[tree])]
         have = len(values[tree])
-        for r in t.sort_by("node").to_pylist():
-            part = [np.array(r[z]) for z in ("feature", "cut", "left", "value")]
+        t = t.sort_by("node").combine_chunks()
+        for i, node in enumerate(t["node"].to_pylist()):
+            part = [t[z][i].values.to_numpy() for z in ("feature", "cut", "left", "value")]
             part[2] = np.where(part[2] > 0, part[2] + have - 1, -1)  # a branch's root takes the place of the node; the others follow
             for all_, p in zip(cols, part, strict=True):
-                all_[0][r["node"]] = p[0]
+                all_[0][node] = p[0]
                 all_.append(p[1:])
             have += len(part[0]) - 1
         feature, cut, left, value = (np.concatenate(z) for z in cols)
-        threshold = np.array([cuts[f][b] if f >= 0 else 0.0 for f, b in zip(feature, cut, strict=True)])
+        threshold, inner = np.zeros(len(feature)), feature >= 0
+        threshold[inner] = np.concatenate(cuts)[before[feature[inner]] + cut[inner]]
         return pa.table({"tree": pa.array([tree], pa.int32()), **{z: pa.array([v], k) for z, v, k in (("feature", feature, I32), ("threshold", threshold, F64), ("left", left, I32), ("value", value, F64))}})
 
     cores = blocks.sparkSession.sparkContext.defaultParallelism
-    many = sum(len(nodes) for _, nodes in shapes)
+    many = sum(len(nodes) for _, nodes in shapes.values())
     dealt = blocks.mapInArrow(deal, "tree int, part int, block int, node int, bins binary, y binary, w binary, c binary").repartition(max(1, min(many, max(16 * cores, many // 8))), "tree", "node")
     grown = dealt.groupBy("tree", "node").applyInArrow(branch, "tree int, node int, feature array<int>, cut array<int>, left array<int>, value array<double>")
-    tops_alone = [t for t, (_, nodes) in enumerate(shapes) if not nodes]  # trees that are whole already
+    tops_alone = [t for t, (_, nodes) in shapes.items() if not nodes]  # trees that are whole already
     if tops_alone:
         empty = blocks.sparkSession.createDataFrame([(t,) for t in tops_alone], "tree int").select("tree", *[F.lit(None).cast(k).alias(z) for z, k in (("node", "int"), ("feature", "array<int>"), ("cut", "array<int>"), ("left", "array<int>"), ("value", "array<double>"))])
         grown = grown.unionByName(empty)
-    return grown.repartition(min(len(tops), 2 * cores), "tree").groupBy("tree").applyInArrow(lambda key, t: whole(key, t.filter(pa.compute.is_valid(t["node"]))), TREE)
+    return grown.repartition(min(len(wave), 2 * cores), "tree").groupBy("tree").applyInArrow(lambda key, t: whole(key, t.filter(pa.compute.is_valid(t["node"]))), TREE)
 
 
 I32, F64 = pa.list_(pa.int32()), pa.list_(pa.float64())
@@ -369,6 +433,14 @@ class BoostedTrees(GrownForest):
     """A stored boosted ensemble: the values are those of the trees times their weights, so their sum is the score."""
 
 
+def _levels(leaf: np.ndarray, left: np.ndarray) -> int:
+    """Levels below the root of a tree."""
+    levels, nodes = 0, np.zeros(1, np.int64)
+    while (nodes := nodes[~leaf[nodes]]).size:
+        levels, nodes = levels + 1, np.concatenate([left[nodes], left[nodes] + 1])
+    return levels
+
+
 def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str, mean: bool) -> Iterator[pa.RecordBatch]:
     import pyarrow.dataset as ds
     from pyarrow import fs
@@ -384,10 +456,11 @@ def _scored(held: list[pa.RecordBatch], names: list[str], path: str, out: str, m
     for b in ds.dataset(at_path, filesystem=where, format="parquet").to_batches(batch_size=8, fragment_readahead=1, batch_readahead=1):
         for i in range(b.num_rows):
             tree, feature, threshold, left, value = b["tree"][i].as_py(), *(b[c][i].values.to_numpy() for c in ("feature", "threshold", "left", "value"))
-            at, on = np.zeros(len(x), np.int32), np.arange(len(x))
-            while (on := on[feature[at[on]] >= 0]).size:
-                a = at[on]
-                at[on] = left[a] + (flat[row[on] + feature[a]] > threshold[a])
+            leaf = feature < 0  # a row at a leaf stays there
+            child, feature, threshold = np.where(leaf, np.arange(len(left)), left), np.where(leaf, 0, feature), np.where(leaf, np.inf, threshold)
+            at = np.zeros(len(x), np.int64)
+            for _ in range(_levels(leaf, left)):
+                at = child[at] + (flat[row + feature[at]] > threshold[at])
             found.append(tree)
             total += value[at]
             count += 1
